@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+import sys
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,10 @@ THRESHOLD = 70.0
 _SLACK = 1e-6
 
 
-@lru_cache(maxsize=1 << 16)
+# Workers get this module's functions with the task and need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _ratio(a: str, b: str) -> float:
     """100 * (1 - d / (m + n)) with d = insertions + deletions; equal empty strings give 100.
 
@@ -42,13 +46,20 @@ def _ratio(a: str, b: str) -> float:
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
 def ratios(text: pa.Array, others: pa.Array) -> pa.Array:
     """Similarity 0..100 of one lower-cased string to each string of an array."""
-    out = []
-    for one, many in zip(text.to_pylist(), others.to_pylist(), strict=True):
-        if one is None or many is None:
-            out.append(None)
-        else:
-            one = one.lower()
-            out.append([None if other is None else _ratio(one, other.lower()) for other in many])
+    known: dict[tuple[str, str], float] = {}  # equal pairs of a batch are compared once
+
+    def ratio(a: str, b: str | None) -> float | None:
+        if b is None:
+            return None
+        pair = (a, b.lower())
+        if pair not in known:
+            known[pair] = _ratio(*pair)
+        return known[pair]
+
+    out = [
+        None if one is None or many is None else [ratio(one.lower(), other) for other in many]
+        for one, many in zip(text.to_pylist(), others.to_pylist(), strict=True)
+    ]
     return pa.array(out, type=pa.list_(pa.float64()))
 
 

@@ -25,7 +25,8 @@ from shelfmark.functions.text import strip_markup
 from shelfmark.schema import STATE_REVIEW
 
 # Where the state sits in a page, and the names inside it.
-STATE_SCRIPT = r"""(?is)<script[^>]*?\sid\s*=\s*["']?__NEXT_DATA__(?=["'\s>])[^>]*>(.*?)</script\s*>"""
+STATE_OPEN = r"""(?i)<script[^>]*?\sid\s*=\s*["']?__NEXT_DATA__(?=["'\s>])[^>]*>"""
+STATE_CLOSE = "</script"
 STATE_SCHEMA = (
     "props struct<pageProps struct<apolloState map<string,string>,"
     "initialState string,initialData string,dehydratedState string>>"
@@ -40,6 +41,15 @@ REVIEW = f"struct<{','.join(f'{f.name}:{f.dataType.simpleString()}' for f in STA
 JSON_MAP = "map<string,string>"
 
 
+def state_text(html: Column) -> Column:
+    """Content of the state script, null without one.
+
+    The page is cut at the literal end tag, which is much faster than a lazy match over the state.
+    """
+    rest = F.get(F.split(html, STATE_OPEN, 2), F.lit(1))
+    return F.nullif(F.substring_index(rest, STATE_CLOSE, 1), F.lit(""))
+
+
 def with_state(pages: DataFrame, html: str = "html") -> DataFrame:
     """Replace the page text by its parsed state.
 
@@ -47,9 +57,8 @@ def with_state(pages: DataFrame, html: str = "html") -> DataFrame:
     well-formed), ``entities`` and its ``root`` query, and the other parts of the state as JSON text.
     The parts become columns of their own so that later projections carry only what they use.
     """
-    found = F.nullif(F.regexp_extract(F.col(html), STATE_SCRIPT, 1), F.lit(""))
     kept = [c for c in pages.columns if c != html]
-    parsed = pages.select(*kept, found.alias("state_json")).withColumn(
+    parsed = pages.select(*kept, state_text(F.col(html)).alias("state_json")).withColumn(
         "state", parse(F.col("state_json"), STATE_SCHEMA)["props"]["pageProps"]
     )
     return parsed.select(

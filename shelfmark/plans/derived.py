@@ -127,14 +127,12 @@ def flat_table(spark: SparkSession, sf_dir: str, defects: bool = False) -> DataF
     )
 
 
-def _members(**values: Column) -> Column:
-    """JSON members of an object, without the braces; a null value is written as null."""
-    text = F.to_json(F.struct(*[v.alias(k) for k, v in values.items()]), {"ignoreNullFields": "false"})
-    return F.substr(text, F.lit(2), F.char_length(text) - F.lit(2))
+NULL_MARK = "(null)"
 
 
-def _object(*members: Column) -> Column:
-    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+def _object(**members: Column) -> Column:
+    """JSON object without its null members."""
+    return F.to_json(F.struct(*[value.alias(name) for name, value in members.items()]))
 
 
 def _marked_up(text: Column) -> Column:
@@ -150,46 +148,64 @@ def _by_number(*cases: Column) -> Column:
     return out
 
 
-def _content(text: Column) -> list[Column]:
+def _content(text: Column) -> dict[str, Column]:
     """Members shared by linked and inline reviews, under their alternating names."""
     no, col = F.col("event_id"), F.col
-    return [
-        # Every eleventh review has a present but null text next to a filled body.
-        F.when(no % 11 == 3, _members(text=F.lit(None).cast("string"), body=F.lit("unused")))
-        .when(no % 2 == 0, _members(text=text))
-        .otherwise(_members(body=text)),
-        F.when(col("rating").isNotNull(), _members(rating=col("rating"))),
-        _by_number(_members(likesCount=col("upvotes")), _members(likes=col("upvotes")), F.lit(None).cast("string")),
-        _by_number(_members(createdAt=col("date")), _members(dateAdded=col("date"))),
-        F.when(no % 4 == 1, _members(url=F.concat(F.lit("/review/show/"), no.cast("string")))),
-    ]
+    # Every eleventh review is to have a present but null text next to a filled body.
+    void = no % 11 == 3
+    return {
+        "text": F.when(void, NULL_MARK).when(no % 2 == 0, text),
+        "body": F.when(void, "unused").when(no % 2 == 1, text),
+        "rating": col("rating"),
+        "likesCount": F.when(no % 3 == 0, col("upvotes")),
+        "likes": F.when(no % 3 == 1, col("upvotes")),
+        "createdAt": F.when(no % 2 == 0, col("date")),
+        "dateAdded": F.when(no % 2 == 1, col("date")),
+        "url": F.when(no % 4 == 1, F.concat(F.lit("/review/show/"), no.cast("string"))),
+    }
+
+
+def _with_null_text(review: Column) -> Column:
+    nulled = F.replace(review, F.lit(f'"{NULL_MARK}"'), F.lit("null"))
+    return F.when(F.col("event_id") % 11 == 3, nulled).otherwise(review)
 
 
 def _linked_review() -> Column:
-    """Entity members of a review: user by reference, dangling reference, own user fields, or none."""
+    """A review entity: user by reference, dangling reference, own user fields, or none."""
     no, col = F.col("event_id"), F.col
     ref = F.struct(F.concat(F.lit("User:"), col("user_id")).alias("__ref"))
     gone = F.struct(F.concat(F.lit("User:gone-"), col("user_id")).alias("__ref"))
-    user = (
-        F.when(no % 5 == 0, _members(creator=ref, user=gone))
-        .when(no % 5 == 1, _members(user=ref))
-        .when(no % 5 == 2, _members(creator=gone))
-        .when(no % 5 == 3, _members(userId=col("user_id"), userName=col("user_name")))
+    text = _content(_marked_up(col("text")))
+    apart = _has_text_entity(no)
+    text["text"], text["body"] = F.when(~apart, text["text"]), F.when(~apart, text["body"])
+    plain = _object(
+        __typename=F.lit("Review"),
+        id=F.concat(F.lit("r"), no.cast("string")),
+        **text,
+        creator=F.when(no % 5 == 0, ref).when(no % 5 == 2, gone),
+        user=F.when(no % 5 == 0, gone).when(no % 5 == 1, ref),
+        userId=F.when(no % 5 == 3, col("user_id")),
+        userName=F.when(no % 5 == 3, col("user_name")),
     )
-    text_ref = F.struct(F.concat(F.lit("Text:"), no.cast("string")).alias("__ref"))
-    content = _content(_marked_up(col("text")))
-    content[0] = F.when((no % 7 == 2) & (no % 11 != 3), _members(text=text_ref)).otherwise(content[0])
-    return _object(_members(__typename=F.lit("Review"), id=F.concat(F.lit("r"), no.cast("string"))), *content, user)
+    # A text of its own entity is a reference in the review.
+    link = F.concat(F.lit('{"text":{"__ref":"Text:'), no.cast("string"), F.lit('"},'), F.substr(plain, F.lit(2)))
+    return _with_null_text(F.when(apart, link).otherwise(plain))
+
+
+def _has_text_entity(no: Column) -> Column:
+    return (no % 7 == 2) & (no % 11 != 3)
 
 
 def _inline_review() -> Column:
     no, col = F.col("event_id"), F.col
     user = F.struct(col("user_id").alias("id"), col("user_name").alias("name"))
-    return _object(
-        *_content(_marked_up(col("text"))),
-        F.when(no % 3 == 0, _members(user=user)).when(
-            no % 3 == 1, _members(userId=col("user_id"), userName=col("user_name"))
-        ),
+    return _with_null_text(
+        _object(
+            **_content(_marked_up(col("text"))),
+            user=F.when(no % 3 == 0, user),
+            userId=F.when(no % 3 == 1, col("user_id")),
+            userName=F.when(no % 3 == 1, col("user_name")),
+        )
     )
 
 
@@ -232,8 +248,7 @@ def state_pages(spark: SparkSession, sf_dir: str, shape: str | None = None) -> D
     is_linked = F.col("shape").isin("edges", "entities")
     no = F.col("event_id")
     text_entry = F.when(
-        is_linked & (no % 7 == 2) & (no % 11 != 3),
-        _entry("Text", no, _object(_members(text=_marked_up(F.col("text"))))),
+        is_linked & _has_text_entity(no), _entry("Text", no, _object(text=_marked_up(F.col("text"))))
     )
     user_entry = F.when(
         is_linked & (no % 5).isin(0, 1),
@@ -241,8 +256,9 @@ def state_pages(spark: SparkSession, sf_dir: str, shape: str | None = None) -> D
             "User",
             F.col("user_id"),
             _object(
-                _members(id=F.concat(F.lit("u"), F.col("user_id")), name=F.col("user_name")),
-                _members(legacyId=F.col("user_id").cast("bigint")),
+                id=F.concat(F.lit("u"), F.col("user_id")),
+                name=F.col("user_name"),
+                legacyId=F.col("user_id").cast("bigint"),
             ),
         ),
     )

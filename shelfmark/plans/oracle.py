@@ -381,8 +381,8 @@ shown AS (
     THEN '<i>' || replace(text, chr(10), '<br />') || '</i>' ELSE '' END AS shown
   FROM per_page p JOIN rv r ON r.no = p.first_no)
 SELECT shown.book_no, shown.page, true AS has_state, 1 + n_reviews + n_users + n_texts AS n_entities, n_reviews,
-  concat_ws(',', '__typename', 'id',
-    CASE WHEN no % 11 = 3 THEN 'text,body' WHEN no % 7 = 2 OR no % 2 = 0 THEN 'text' ELSE 'body' END,
+  concat_ws(',', CASE WHEN no % 11 <> 3 AND no % 7 = 2 THEN 'text' END, '__typename', 'id',
+    CASE WHEN no % 11 = 3 THEN 'text,body' WHEN no % 7 = 2 THEN NULL WHEN no % 2 = 0 THEN 'text' ELSE 'body' END,
     CASE WHEN rating IS NOT NULL THEN 'rating' END,
     CASE no % 3 WHEN 0 THEN 'likesCount' WHEN 1 THEN 'likes' END,
     CASE no % 2 WHEN 0 THEN 'createdAt' ELSE 'dateAdded' END,

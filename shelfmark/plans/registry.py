@@ -317,8 +317,10 @@ def page_title_links(spark, sf_dir):
 # Books, pages and reviews together
 
 
-def _extracted(spark, sf_dir):
-    return pagestate.with_reviews(derived.saved_pages(spark, sf_dir).filter(F.col("page").isNotNull()))
+def _store(spark, sf_dir):
+    """Saved pages, and the same pages with their reviews taken out."""
+    pages = derived.saved_pages(spark, sf_dir)
+    return pages, pagestate.with_reviews(pages.filter(F.col("page").isNotNull()))
 
 
 def _listed(spark, sf_dir):
@@ -327,15 +329,14 @@ def _listed(spark, sf_dir):
 
 @query
 def flat_reviews(spark, sf_dir):
-    return rv.reviews_of_books(
-        _listed(spark, sf_dir), derived.saved_pages(spark, sf_dir), _extracted(spark, sf_dir), max_pages=50
-    )
+    return rv.reviews_of_books(_listed(spark, sf_dir), *_store(spark, sf_dir), max_pages=50)
 
 
 @query
 def nested_reviews(spark, sf_dir):
-    counted = rv.with_counts(_listed(spark, sf_dir), derived.saved_pages(spark, sf_dir))
-    nested = rv.nested_reviews(paging.frontier(counted, keep_all=True), _extracted(spark, sf_dir))
+    pages, extracted = _store(spark, sf_dir)
+    counted = rv.with_counts(_listed(spark, sf_dir), pages)
+    nested = rv.nested_reviews(paging.frontier(counted, keep_all=True), extracted)
     return nested.select(
         "book_id",
         "title",
@@ -350,7 +351,7 @@ def nested_reviews(spark, sf_dir):
 @query
 def single_book_reviews(spark, sf_dir):
     busiest = derived.books(spark, sf_dir).filter("book_no = 0").select("plain_url").first()[0]
-    return rv.reviews_of_url(busiest, derived.saved_pages(spark, sf_dir), _extracted(spark, sf_dir))
+    return rv.reviews_of_url(busiest, *_store(spark, sf_dir))
 
 
 @query
