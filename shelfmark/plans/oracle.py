@@ -369,6 +369,12 @@ SELECT count(*) AS n_pages, count(*) FILTER (WHERE page_id % 11 = 4 OR contains(
     "first_pages": r"""
 SELECT regexp_replace(replace(replace(url, 'https://', ''), 'http://', ''), '[\\/*?:"<>|]', '_', 'g') AS page_key, page_id
 FROM pages ORDER BY 1 LIMIT 10""",
+    "latest_pages": r"""
+WITH keyed AS (
+  SELECT page_id, length(html) AS n_chars, CASE WHEN page_id % 3 = 0 THEN 'the same'
+    ELSE regexp_replace(replace(replace(url, 'https://', ''), 'http://', ''), '[\\/*?:"<>|]', '_', 'g') END AS page_key
+  FROM pages)
+SELECT page_key, max(page_id) AS page_id, max_by(n_chars, page_id) AS n_chars FROM keyed GROUP BY page_key""",
     "entity_profile": f"""
 WITH {REVIEWS},
 per_page AS (

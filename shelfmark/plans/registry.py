@@ -409,6 +409,16 @@ def first_pages(spark, sf_dir):
     return pagecheck.first_pages(pages.select(urls.readable_page_key(F.col("url")).alias("page_key"), "page_id"), 10)
 
 
+@query
+def latest_pages(spark, sf_dir):
+    """Every third of the pages is a copy of one and the same page."""
+    pages = derived.table(spark, sf_dir, "pages")
+    key = F.when(F.col("page_id") % 3 == 0, "the same").otherwise(urls.readable_page_key(F.col("url")))
+    return tables.latest_copies(pages.withColumn("page_key", key), "page_id").select(
+        "page_key", "page_id", F.char_length("html").alias("n_chars")
+    )
+
+
 @query
 def entity_profile(spark, sf_dir):
     return pagecheck.entity_profile(derived.state_pages(spark, sf_dir, "entities")).drop("page_url", "shape")

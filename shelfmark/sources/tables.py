@@ -102,3 +102,14 @@ def keyed_pages(pages: DataFrame) -> DataFrame:
         readable_page_key(F.col("page_url"), numbered)
     )
     return pages.withColumn("page_key", key)
+
+
+def latest_copies(pages: DataFrame, saved_at: str, key: str = "page_key") -> DataFrame:
+    """The copy saved last under each key: saving a page again replaces it.
+
+    ``saved_at`` must differ between copies of a key. The newest times are found on the narrow
+    columns, partly aggregated before the shuffle; the join back is on key and time, which is
+    unique, so a page with very many copies makes no hot key.
+    """
+    newest = pages.groupBy(key).agg(F.max(saved_at).alias(saved_at))
+    return pages.join(newest, [key, saved_at], "left_semi")
