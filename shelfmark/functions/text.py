@@ -10,10 +10,15 @@ ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"
 DATE_FORMATS = ["MMM d, yyyy", "MMMM d, yyyy", "yyyy-M-d"]
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at both ends; plain ``trim`` removes blanks only."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+
+
 def strip_markup(text: Column) -> Column:
     """Line-break tags become newlines, every other tag goes."""
     lines = F.regexp_replace(text, r"<br\s*/?>", "\n")
-    return F.regexp_replace(lines, r"<[^>]+>", "")
+    return F.when(F.contains(text, F.lit("<")), F.regexp_replace(lines, r"<[^>]+>", "")).otherwise(text)
 
 
 def preview(text: Column, length: int) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfmark.functions.text import strip
 from shelfmark.site import DEFAULT_SITE, Site
 
 
@@ -57,8 +58,8 @@ def url_path(url: Column) -> Column:
 
 
 def clean_author(author: Column) -> Column:
-    trimmed = F.trim(author)
-    without_by = F.trim(F.substring(trimmed, F.lit(4), F.char_length(trimmed)))
+    trimmed = strip(author)
+    without_by = strip(F.substring(trimmed, F.lit(4), F.char_length(trimmed)))
     return F.when(F.startswith(trimmed, F.lit("by ")), without_by).otherwise(trimmed)
 
 
@@ -69,7 +70,7 @@ def flat_page_key(url: Column, parameters: Column | None = None) -> Column:
     they stay distinct.
     """
     whole = url if parameters is None else F.concat(url, F.coalesce(parameters, F.lit("")))
-    safe = F.regexp_replace(whole, r"(?U)[^\w\-]", "_")
+    safe = F.regexp_replace(whole, r"[^\p{L}\p{N}_\-]", "_")
     cut = F.concat(F.left(safe, F.lit(190)), F.sha2(whole, 256))
     return F.when(F.char_length(safe) > 200, cut).otherwise(safe)
 

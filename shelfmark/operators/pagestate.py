@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.jsonmap import (
+    STRICT,
     as_map,
     filled,
     last_wins,
@@ -29,7 +30,7 @@ STATE_OPEN = r"""(?i)<script[^>]*?\sid\s*=\s*["']?__NEXT_DATA__(?=["'\s>])[^>]*>
 STATE_CLOSE = "</script"
 STATE_SCHEMA = (
     "props struct<pageProps struct<apolloState map<string,string>,"
-    "initialState string,initialData string,dehydratedState string>>"
+    "initialState string,initialData string,dehydratedState string>>,malformed string"
 )
 REVIEW_PREFIX = "Review:"
 BOOK_QUERY = "book("
@@ -54,18 +55,22 @@ def with_state(pages: DataFrame, html: str = "html") -> DataFrame:
     """Replace the page text by its parsed state.
 
     Adds ``state_json`` (null without a state script), ``state_ok`` (false when it is not
-    well-formed), ``entities`` and its ``root`` query, and the other parts of the state as JSON text.
+    well-formed, or holds a list or a number where an object belongs), ``entities`` and its ``root`` query, and the other parts of the state as JSON text.
     The parts become columns of their own so that later projections carry only what they use.
     """
     kept = [c for c in pages.columns if c != html]
-    parsed = pages.select(*kept, state_text(F.col(html)).alias("state_json")).withColumn(
-        "state", parse(F.col("state_json"), STATE_SCHEMA)["props"]["pageProps"]
+    options = {**STRICT, "columnNameOfCorruptRecord": "malformed"}
+    parsed = (
+        pages.select(*kept, state_text(F.col(html)).alias("state_json"))
+        .withColumn("json", F.from_json("state_json", STATE_SCHEMA, options))
+        .withColumn("state_ok", F.col("state_json").isNotNull() & F.col("json.malformed").isNull())
+        .withColumn("state", F.when(F.col("state_ok"), F.col("json.props.pageProps")))
     )
     return parsed.select(
         *kept,
         "state_json",
         F.col("state_json").isNotNull().alias("has_state"),
-        F.col("state").isNotNull().alias("state_ok"),
+        "state_ok",
         last_wins(F.col("state.apolloState")).alias("entities"),
         F.col("state.initialState").alias("initial_state"),
         F.col("state.initialData").alias("initial_data"),

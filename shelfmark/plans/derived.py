@@ -217,6 +217,15 @@ def _list(items: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
 
 
+def _by_page(rows: DataFrame) -> DataFrame:
+    """Bring the reviews of a page together before they are written out.
+
+    The grouping by page that follows needs no further shuffle, and the writing runs on all tasks
+    however few there were to read the documents.
+    """
+    return rows.repartition("book_no", "page")
+
+
 def review_total(book_no: Column, n_events: Column, n_parts: Column) -> Column:
     """Reviews of a book, from the rule that assigns events to books."""
     tail = n_parts - F.expr("_parts div 10") - (POPULAR + 1)
@@ -241,7 +250,7 @@ def state_pages(spark: SparkSession, sf_dir: str, shape: str | None = None) -> D
 
     Reviews are grouped by book *and* page, 30 to a group at most.
     """
-    rows = reviews(spark, sf_dir)
+    rows = _by_page(reviews(spark, sf_dir))
     linked, inline = _linked_review(), _inline_review()
     which = F.lit(shape) if shape else F.element_at(F.array(*map(F.lit, SHAPES)), (F.col("book_no") % 5 + 1).cast("int"))
     rows = rows.withColumn("shape", which)
@@ -434,7 +443,7 @@ def markup_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Saved review pages as markup."""
     one = F.struct("place", review_box().alias("box"))
     grouped = (
-        reviews(spark, sf_dir)
+        _by_page(reviews(spark, sf_dir))
         .groupBy("book_no", "page")
         .agg(F.array_sort(F.collect_list(one)).alias("r"), F.count("*").alias("n"))
     )

@@ -16,6 +16,9 @@ SETTINGS = {
     # Rows that reach Python carry whole pages, so batches are bounded by bytes, not only by rows.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    # The extraction plans are made of hundreds of column calls; recording where each one was
+    # written doubles the time to build them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

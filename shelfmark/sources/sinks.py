@@ -11,14 +11,18 @@ from shelfmark.site import DEFAULT_SITE, Site
 from shelfmark.sources.tables import empty_reviews
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header. CSV has no arrays, so they are written as JSON; null is an empty field."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", order: list[str] | None = None) -> None:
+    """CSV with a header. CSV has no arrays, so they are written as JSON; null is an empty field.
+
+    Rows are sorted only if ``order`` asks for it: files then follow each other in that order.
+    """
     cols = [
         F.to_json(f.name).alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name)
         for f in df.schema.fields
     ]
     options = {"header": "true", "escape": '"', "emptyValue": "", "nullValue": ""}
-    df.select(*cols).write.mode(mode).options(**options).csv(path)
+    ordered = df.orderBy(*order) if order else df
+    ordered.select(*cols).write.mode(mode).options(**options).csv(path)
 
 
 def write_reviews(reviews: DataFrame, path: str, copies: list[str] | None = None) -> DataFrame:

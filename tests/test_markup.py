@@ -23,7 +23,7 @@ def found(spark, *pages):
 
 def test_review_fields(spark):
     one = BOX.format(id="review_123456", user=12345, name="BookLover42", date="January 15, 2023", stars=5,
-                     text="A fine book &amp; more", likes=42, comments=5, shelves="fantasy, classics ,favorites")
+                     text="A fine book &amp; more", likes=42, comments=5, shelves="fantasy, classics ,\n\tfavorites")
     two = BOX.format(id="review_789012", user=67890, name="FantasyReader", date="Mar 2, 2023", stars=4,
                      text="Slow<br>but good", likes="no", comments=2, shelves="fantasy")
     first, second = found(spark, f'<div class="reviewsContainer">{one}{two}</div>')

@@ -200,11 +200,13 @@ def test_pages_without_reviews_are_kept_apart_with_reason(spark):
         '<script id="__NEXT_DATA__"></script>',
         '<script id="__NEXT_DATA__">[1]</script>',
         None,
+        page(apolloState=[1], initialState={"books": {"current": {"reviews": [{"text": "x"}]}}}),
     ]
     done = with_reviews(page_table(spark, good, *bad))
     reasons = {r.page: r.reason for r in quarantine(done).collect()}
     assert reasons == {
         2: "no_state", 3: "bad_state", 4: "bad_state", 5: "no_reviews", 6: "no_state", 7: "bad_state", 8: "no_state",
+        9: "bad_state",
     }
     assert [r.review_text for r in review_rows(done).collect()] == ["a"]
 

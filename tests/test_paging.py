@@ -79,6 +79,9 @@ def test_count_sources(spark, props, expected):
 def test_count_without_state_is_one(spark):
     assert count(spark, PAGER) == 1
     assert count(spark, page()) == 1
+    assert count(spark, page().replace("}}}", "}") + PAGER) == 1
+    assert count(spark, page(apolloState=[1]) + PAGER) == 1
+    assert count(spark, '<script id="__NEXT_DATA__">{"other": 1}</script>' + PAGER) == 17
 
 
 def test_markup_count_uses_all_div_pagers_else_any(spark):

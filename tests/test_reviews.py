@@ -67,6 +67,14 @@ def test_equal_books_each_get_the_reviews(spark, books, store):
     assert rv.reviews_of_books(twice, *store).count() == 2
 
 
+def test_count_of_an_unnumbered_page_comes_before_that_of_page_one(spark, books, store):
+    one = URL.format(1) + "/reviews"
+    first = spark.createDataFrame([(one, 1, reviews_page(["x"], 2))], PAGE_SCHEMA)
+    both = store[0].filter("page IS NULL").unionByName(first)
+    assert rv.with_counts(books.filter("book_id = 1"), both).first().page_count == 3
+    assert rv.with_counts(books.filter("book_id = 1"), first).first().page_count == 2
+
+
 def test_clean_rating(spark):
     ratings = [0.0, 0.99, 1.0, 4.5, 5.0, 5.1, None, float("nan")]
     df = spark.createDataFrame([(i, r) for i, r in enumerate(ratings)], "i int, x double")
