@@ -10,9 +10,15 @@ ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"
 DATE_FORMATS = ["MMM d, yyyy", "MMMM d, yyyy", "yyyy-M-d"]
 
 
+# Fixed value: white space of all kinds. Plain ``trim`` removes blanks only.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
-    """Without white space of any kind at both ends; plain ``trim`` removes blanks only."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def strip_markup(text: Column) -> Column:

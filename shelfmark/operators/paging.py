@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.jsonmap import as_map, or_empty, parse
-from shelfmark.functions.markup import elements, first_filled, first_match, largest_number, matching, within
+from shelfmark.functions.markup import first_filled, first_match, largest_number, matching, scan, within
 from shelfmark.functions.once import compute_once
 from shelfmark.functions.urls import review_page_key, reviews_url
 from shelfmark.operators.pagestate import JSON_MAP, book_queries, with_state
@@ -77,18 +77,20 @@ def with_page_count(pages: DataFrame, html: str = "html", site: Site = DEFAULT_S
             )
             .when(F.size("info") > 0, F.coalesce(col("info")["totalPages"].try_cast("int"), F.lit(1))),
         )
-        .withColumn("found", elements(F.when(col("known").isNull(), col(html)), [PAGER_LINK], [PAGER]))
+        .withColumn("found", scan(F.when(col("known").isNull(), col(html)), [PAGER_LINK, PAGER]))
     )
-    links = within(matching(col("found"), PAGER_LINK), first_match(col("found"), PAGER))
-    counted = compute_once(staged, page_count=F.coalesce("known", largest_number(links), F.lit(1)))
+    items = col("found.elements")
+    links = largest_number(within(matching(items, PAGER_LINK), first_match(items, PAGER)), col("found.pieces"))
+    counted = compute_once(staged, page_count=F.coalesce("known", links, F.lit(1)))
     return counted.select(*kept, "page_count")
 
 
 def with_markup_page_count(pages: DataFrame, html: str = "html", status: str | None = None) -> DataFrame:
     """Add ``page_count`` from all pagers of the markup; 1 without numbers, 0 for a failed page."""
-    found = compute_once(pages, found=elements(F.col(html), [DIV_PAGER_LINK, PAGER_LINK]))
-    links = first_filled(matching(F.col("found"), DIV_PAGER_LINK), matching(F.col("found"), PAGER_LINK))
-    count = F.coalesce(largest_number(links), F.lit(1))
+    found = compute_once(pages, found=scan(F.col(html), [DIV_PAGER_LINK, PAGER_LINK]))
+    items = F.col("found.elements")
+    links = first_filled(matching(items, DIV_PAGER_LINK), matching(items, PAGER_LINK))
+    count = F.coalesce(largest_number(links, F.col("found.pieces")), F.lit(1))
     failed = F.col(html).isNull() if status is None else F.col(html).isNull() | (F.col(status) != 200)
     return found.withColumn("page_count", F.when(failed, 0).otherwise(count)).drop("found")
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmark.functions import markup
 from shelfmark.functions import text as tx
 from shelfmark.functions import urls
 from shelfmark.operators import linking, markupreviews, pagecheck, pagestate, paging, policy, quality, report
@@ -298,19 +299,17 @@ def html_review_fields(spark, sf_dir):
 
 @query
 def page_title_links(spark, sf_dir):
-    from shelfmark.functions.markup import elements, first_match, matching
-
     pages = derived.table(spark, sf_dir, "pages")
-    found = pages.withColumn("found", elements(F.col("html"), ["title", "nav a", "article h1"]))
-    links = matching(F.col("found"), "nav a")
+    found = pages.withColumn("found", markup.scan(F.col("html"), ["title", "nav a", "article h1"]))
+    items, pieces = F.col("found.elements"), F.col("found.pieces")
+    links = markup.matching(items, "nav a")
+    title = markup.text_of(markup.first_match(items, "title"), pieces)
     return found.select(
         "page_id",
-        first_match(F.col("found"), "title")["text"].alias("title"),
+        title.alias("title"),
         F.size(links).alias("n_nav_links"),
         F.array_join(F.transform(links, lambda e: e["href"]), " ").alias("nav_links"),
-        (first_match(F.col("found"), "title")["text"] == first_match(F.col("found"), "article h1")["text"]).alias(
-            "title_is_heading"
-        ),
+        (title == markup.text_of(markup.first_match(items, "article h1"), pieces)).alias("title_is_heading"),
     )
 
 

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from shelfmark.functions.markup import elements
+from shelfmark.functions.markup import _Scan, scan, text_of
 from shelfmark.operators.markupreviews import candidate_rows, markup_reviews, with_candidates
 
 BOX = """
@@ -74,8 +74,18 @@ def test_other_review_boxes_and_broken_markup(spark):
 
 def test_elements_do_not_see_script_or_comment_text(spark):
     df = spark.createDataFrame([("<div class=a>x<script>y</script><!-- z --><style>w</style>&eacute;</div></p>",)], "html string")
-    row = df.select(elements(F.col("html"), ["div.a", "script"]).alias("e")).first()
-    assert [e.text for e in row.e] == ["xé", ""]
+    found = df.select(scan(F.col("html"), ["div.a", "script"]).alias("f"))
+    texts = F.transform("f.elements", lambda e: text_of(e, F.col("f.pieces")))
+    assert found.select(texts).first()[0] == ["xé", ""]
+
+
+def test_malformed_declaration_is_an_empty_page(spark):
+    assert found(spark, "<![bogus[ x ]]><div class=review>a</div>", "<div class=review>b</div>")[0]["i"] == 1
+
+
+def test_scan_of_deep_nesting_stays_as_small_as_the_page():
+    result = _Scan(["span.readable span"]).result("<span class=readable>" + "<span>a" * 5000)
+    assert len(result["elements"]) == 5000 and len(result["pieces"]) == 5000
 
 
 def candidates(spark, html):
