@@ -55,8 +55,9 @@ def with_state(pages: DataFrame, html: str = "html") -> DataFrame:
     """Replace the page text by its parsed state.
 
     Adds ``state_json`` (null without a state script), ``state_ok`` (false when it is not
-    well-formed, or holds a list or a number where an object belongs), ``entities`` and its ``root`` query, and the other parts of the state as JSON text.
-    The parts become columns of their own so that later projections carry only what they use.
+    well-formed, or holds a list or a number where an object belongs), ``entities`` and its
+    ``root`` query, and the other parts of the state as JSON text. The parts become columns of
+    their own so that later projections carry only what they use.
     """
     kept = [c for c in pages.columns if c != html]
     options = {**STRICT, "columnNameOfCorruptRecord": "malformed"}

@@ -227,13 +227,9 @@ def _by_page(rows: DataFrame) -> DataFrame:
 
 
 def review_total(book_no: Column, n_events: Column, n_parts: Column) -> Column:
-    """Reviews of a book, from the rule that assigns events to books."""
+    """Reviews of a book, from the rule that assigns events to books: how many k < n fall to it."""
     tail = n_parts - F.expr("_parts div 10") - (POPULAR + 1)
 
-    def in_class(rest: Column, size: Column) -> Column:
-        """Numbers k < n with k % size = rest, where n events fall into the tier."""
-        return F.floor((n_events - rest + size - 1) / size)
-
     def tier(first: int) -> Column:
         return F.floor((n_events - first + 2) / 3)
 

@@ -364,6 +364,9 @@ SELECT page_id,
   page_id % 11 = 3 OR contains(lower(html), 'captcha') AS captcha,
   page_id % 11 = 4 OR contains(html, 'No reviews yet') AS no_reviews
 FROM pages""",
+    "usable_pages": """
+SELECT page_id, length(html) + CASE WHEN page_id % 11 = 4 THEN length('<p>No reviews yet</p>') ELSE 0 END AS n_chars
+FROM pages WHERE page_id % 6 = 0 AND page_id % 11 <> 3 AND NOT contains(lower(html), 'captcha')""",
     "empty_pages": """
 SELECT count(*) AS n_pages, count(*) FILTER (WHERE page_id % 11 = 4 OR contains(html, 'No reviews yet')) AS n_empty FROM pages""",
     "first_pages": r"""

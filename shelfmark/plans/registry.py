@@ -377,17 +377,22 @@ def csv_round_trip(spark, sf_dir):
 # Pages as such
 
 
-@query
-def page_class(spark, sf_dir):
+def _answers(spark, sf_dir):
+    """Pages with a response status, some asking to solve a captcha, some without reviews."""
     pages = derived.table(spark, sf_dir, "pages")
-    status = F.element_at(F.array(*[F.lit(n) for n in (200, 404, 429, 500, 503, 301)]), (F.col("page_id") % 6 + 1).cast("int"))
+    codes = F.array(*[F.lit(n) for n in (200, 404, 429, 500, 503, 301)])
     html = (
         F.when(F.col("page_id") % 11 == 3, F.concat("html", F.lit("<b>reCAPTCHA</b>")))
         .when(F.col("page_id") % 11 == 4, F.concat(F.lit("<p>No reviews yet</p>"), "html"))
         .otherwise(F.col("html"))
     )
-    shown = pages.select("page_id", status.alias("status"), html.alias("html"))
-    return shown.select(
+    status = F.element_at(codes, (F.col("page_id") % 6 + 1).cast("int"))
+    return pages.select("page_id", status.alias("status"), html.alias("html"))
+
+
+@query
+def page_class(spark, sf_dir):
+    return _answers(spark, sf_dir).select(
         "page_id",
         pagecheck.response_class(F.col("status"), F.col("html")).alias("response_class"),
         pagecheck.is_captcha(F.col("html")).alias("captcha"),
@@ -395,11 +400,16 @@ def page_class(spark, sf_dir):
     )
 
 
+@query
+def usable_pages(spark, sf_dir):
+    return pagecheck.usable_pages(_answers(spark, sf_dir)).select(
+        "page_id", F.char_length("html").alias("n_chars")
+    )
+
+
 @query
 def empty_pages(spark, sf_dir):
-    pages = derived.table(spark, sf_dir, "pages")
-    html = F.when(F.col("page_id") % 11 == 4, F.concat(F.lit("<p>No reviews yet</p>"), "html")).otherwise(F.col("html"))
-    return pagecheck.empty_pages(pages.withColumn("html", html))
+    return pagecheck.empty_pages(_answers(spark, sf_dir))
 
 
 @query

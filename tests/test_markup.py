@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.markup import _Scan, scan, text_of
 from shelfmark.operators.markupreviews import candidate_rows, markup_reviews, with_candidates
+from shelfmark.schema import MARKUP_REVIEW
 
 BOX = """
 <div class="review" id="{id}">
@@ -38,6 +39,11 @@ def test_review_fields(spark):
     )
 
 
+def test_schema(spark):
+    df = markup_reviews(spark.createDataFrame([], "html string")).drop("pos", "date_unparsed")
+    assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in MARKUP_REVIEW]
+
+
 def test_fallbacks(spark):
     def box(inner, attributes=""):
         return f'<div class="review" {attributes}>{inner}</div>'

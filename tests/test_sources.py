@@ -74,6 +74,17 @@ def test_missing_and_empty_output(spark, tmp_path):
     assert back.columns == required_columns() and back.count() == 0
 
 
+def test_last_copy_of_a_page_counts(spark):
+    def html(text):
+        return page(apolloState={"Review:1": {"text": text}})
+
+    url = "https://x.org/1"
+    rows = [(f"{url}/reviews", 1, html(f"copy {i}"), i) for i in range(50)] + [(f"{url}/reviews", None, html(""), 0)]
+    pages = spark.createDataFrame(rows, PAGE_SCHEMA + ", saved_at int").repartition(5)
+    books = spark.createDataFrame([("1", "t", "a", url)], "book_id string, title string, author string, book_url string")
+    assert [r.review_text for r in pipeline.extract(spark, books, pages).collect()] == ["copy 49"]
+
+
 def test_quarantine_by_reason(spark, tmp_path):
     pages = page_table(spark, "<p>", page(), page(apolloState={"Review:1": {"text": "a"}}))
     sinks.write_quarantine(with_reviews(pages), str(tmp_path / "q"))
