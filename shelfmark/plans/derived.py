@@ -32,12 +32,16 @@ def _count(df: DataFrame) -> Column:
     return df.agg(F.count("*")).scalar()
 
 
+def _book_url(number: Column) -> Column:
+    """Depends on the number alone, so that pages need no join with the books to get their URL."""
+    no = number.cast("string")
+    return F.concat(F.lit(f"{DEFAULT_SITE.base_url}/book/show/"), no, F.lit(".Book_"), no)
+
+
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All parts as books. Some URLs are null, some empty, some end in slashes."""
     key = F.col("p_partkey")
-    plain = F.concat(
-        F.lit(f"{DEFAULT_SITE.base_url}/book/show/"), key.cast("string"), F.lit("."), F.translate("p_name", " ", "_")
-    )
+    plain = _book_url(key)
     url = (
         F.when(key % 17 == 5, F.lit(None))
         .when(key % 17 == 6, F.lit(""))
@@ -81,17 +85,26 @@ def reviews(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFra
         F.get_json_object("props", "$.k").cast("bigint").alias("upvotes"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
     )
-    if with_text:
-        keyed = base.withColumn("doc_id", F.col("event_id") % _count(docs))
-        base = keyed.join(docs.select("doc_id", "text"), "doc_id").drop("doc_id")
-    return base
+    keyed = base.withColumn("doc_id", F.col("event_id") % _count(docs))
+    return _with_text(keyed, docs) if with_text else keyed
+
 
+def _with_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.join(docs.select("doc_id", "text"), "doc_id").drop("doc_id")
 
-def flat_table(spark: SparkSession, sf_dir: str, defects: bool = False) -> DataFrame:
-    """The reviews as an output table, optionally with defects for the quality rules to find."""
-    rows = reviews(spark, sf_dir).join(books(spark, sf_dir).drop("book_url"), "book_no")
+
+def flat_table(
+    spark: SparkSession, sf_dir: str, defects: bool = False, with_text: bool = True
+) -> DataFrame:
+    """The reviews as an output table, optionally with defects for the quality rules to find.
+
+    Books join the narrow rows; the texts come last, on a key without skew.
+    """
+    rows = reviews(spark, sf_dir, with_text=False).join(books(spark, sf_dir).drop("book_url"), "book_no")
+    rows = _with_text(rows, table(spark, sf_dir, "documents")) if with_text else rows
     no = F.col("event_id")
-    text, reviewer, date = F.col("text"), F.col("user_id"), F.col("date")
+    text = F.col("text") if with_text else F.lit(None).cast("string")
+    reviewer, date = F.col("user_id"), F.col("date")
     rating = F.col("rating").cast("double")
     if defects:
         text = (
@@ -357,9 +370,8 @@ def state_pages(spark: SparkSession, sf_dir: str, shape: str | None = None) -> D
         F.when(col("page") == 1, links).otherwise(F.lit("")),
         F.lit('</div><div class="pagination"><a href="#">99999</a></div></body></html>'),
     )
-    # The book's URL is needed only now, one row per page instead of one per review.
-    named = sized.withColumn("html", html).join(books(spark, sf_dir).select("book_no", "plain_url"), "book_no")
-    return named.select("book_no", reviews_url(col("plain_url")).alias("page_url"), "page", "shape", "html")
+    url = reviews_url(_book_url(col("book_no")))
+    return sized.select("book_no", url.alias("page_url"), "page", "shape", html.alias("html"))
 
 
 def saved_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,10 +31,10 @@ rv AS (
 BOOKS = f"""
 books AS (
   SELECT p_partkey AS book_no, CAST(p_partkey AS VARCHAR) AS book_id, p_name AS title, p_brand AS author,
-    '{BASE}/book/show/' || p_partkey || '.' || replace(p_name, ' ', '_') AS plain_url,
+    '{BASE}/book/show/' || p_partkey || '.Book_' || p_partkey AS plain_url,
     CASE p_partkey % 17 WHEN 5 THEN NULL WHEN 6 THEN ''
-      WHEN 7 THEN '{BASE}/book/show/' || p_partkey || '.' || replace(p_name, ' ', '_') || '//'
-      ELSE '{BASE}/book/show/' || p_partkey || '.' || replace(p_name, ' ', '_') END AS book_url
+      WHEN 7 THEN '{BASE}/book/show/' || p_partkey || '.Book_' || p_partkey || '//'
+      ELSE '{BASE}/book/show/' || p_partkey || '.Book_' || p_partkey END AS book_url
   FROM part)
 """
 

@@ -476,17 +476,19 @@ def real_dates(spark, sf_dir):
 
 @query
 def review_summary(spark, sf_dir):
-    return report.review_summary(derived.flat_table(spark, sf_dir))
+    return report.review_summary(derived.flat_table(spark, sf_dir, with_text=False))
 
 
 @query
 def rating_distribution(spark, sf_dir):
-    return report.rating_distribution(derived.flat_table(spark, sf_dir))
+    return report.rating_distribution(derived.flat_table(spark, sf_dir, with_text=False))
 
 
 @query
 def review_coverage(spark, sf_dir):
-    return report.review_coverage(derived.books(spark, sf_dir), derived.flat_table(spark, sf_dir))
+    return report.review_coverage(
+        derived.books(spark, sf_dir), derived.flat_table(spark, sf_dir, with_text=False)
+    )
 
 
 @query
@@ -496,7 +498,7 @@ def sample_reviews(spark, sf_dir):
 
 @query
 def first_reviews(spark, sf_dir):
-    return report.first_reviews(derived.flat_table(spark, sf_dir), ["event_id"]).select(
+    return report.first_reviews(derived.flat_table(spark, sf_dir, with_text=False), ["event_id"]).select(
         "event_id", "title", "reviewer_id", "review_rating"
     )
 
