@@ -6,6 +6,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from shelfmark.plans.oracle import ORACLE
+from shelfmark.plans.registry import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -31,7 +33,9 @@ def normal(value):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLE.items() <= entry.oracle_sql().items()
 
 
 def test_entry(spark):
@@ -39,7 +43,7 @@ def test_entry(spark):
     assert df.columns == ["review_rating", "n_reviews", "percentage"] and df.count() == 5
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, DATA)
     names = sorted(df.columns)
