@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontaminate, simhash
+from shelfmark.llm import decontaminate, langid, simhash, toxicity
 from shelfmark.llm.common import table, unpacked
 
+# Scores from which a document counts as toxic.
+THRESHOLD = 0.3
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -19,6 +22,20 @@ def query(fn):
     return fn
 
 
+def remainder(column: str, modulus: int):
+    """crc32 of the id as text, modulo; -1 for a null id."""
+    return F.coalesce(F.pmod(F.crc32(F.col(column).cast("string")), F.lit(modulus)), F.lit(-1))
+
+
+@query
+def op2_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder("doc_id", 3) == 1
+    network = langid.fit(docs, learn=~held_out)
+    found = langid.with_language(docs, network, keep=["doc_id"])
+    return unpacked(found, "lang_pred", "score").select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op6_benchmark_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,6 +73,17 @@ FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+@query
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 4) == 2
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=~held_out)
+    found = unpacked(toxicity.with_toxicity(docs, model, keep=["doc_id"]), "score", "evidence")
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence"
+    )
+
+
 @query
 def op10_simhash_near_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
