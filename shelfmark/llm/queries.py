@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontaminate, langid, simhash, toxicity
+from shelfmark.llm import decontaminate, langid, packing, secrets, simhash, toxicity, vectors
 from shelfmark.llm.common import table, unpacked
 
 # Scores from which a document counts as toxic.
@@ -27,6 +28,20 @@ def remainder(column: str, modulus: int):
     return F.coalesce(F.pmod(F.crc32(F.col(column).cast("string")), F.lit(modulus)), F.lit(-1))
 
 
+@query
+def op1_secret_scan(spark, sf_dir):
+    found = secrets.with_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+        secrets.joined(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 @query
 def op2_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -73,6 +88,17 @@ FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+@query
+def op7_nearest_neighbours(spark, sf_dir):
+    found = vectors.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+@query
+def op8_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
