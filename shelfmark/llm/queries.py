@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontaminate, langid, packing, secrets, simhash, toxicity, vectors
+from shelfmark.llm import decontaminate, langid, packing, secrets, simhash, substring, toxicity, vectors
 from shelfmark.llm.common import table, unpacked
 
 # Scores from which a document counts as toxic.
@@ -51,6 +51,29 @@ def op2_language_id(spark, sf_dir):
     return unpacked(found, "lang_pred", "score").select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op4_substring_dedup(spark, sf_dir):
+    found = substring.without_repeats(table(spark, sf_dir, "documents"), width=13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op4_substring_dedup"] = r"""
+WITH
+dw AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM dw WHERE len(w) >= 13)),
+firsts AS (SELECT gram, min(doc_id) AS first_id FROM grams GROUP BY gram HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS place
+  FROM grams JOIN firsts USING (gram) WHERE doc_id > first_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM dw),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM dw LEFT JOIN kept USING (doc_id)
+"""
+
+
 @query
 def op6_benchmark_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
