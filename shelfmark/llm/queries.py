@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontaminate, langid, packing, secrets, simhash, substring, toxicity, vectors
+from shelfmark.llm import decontaminate, langid, lines, packing, secrets, simhash, substring, toxicity, vectors
 from shelfmark.llm.common import table, unpacked
 
 # Scores from which a document counts as toxic.
@@ -74,6 +74,45 @@ FROM dw LEFT JOIN kept USING (doc_id)
 """
 
 
+@query
+def op5_line_dedup(spark, sf_dir):
+    found = lines.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_lines=2, long_line=40)
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_lines",
+        "n_removed",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+ORACLE["op5_line_dedup"] = r"""
+WITH
+parts AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+every AS (SELECT doc_id, unnest(range(0, len(parts))) AS i, unnest(parts) AS line FROM parts),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM every
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+pairs AS (SELECT *, lead(line) OVER w AS line2, lead(i) OVER w AS upto FROM numbered WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+firsts1 AS (SELECT line, min((doc_id, k)) AS f FROM numbered GROUP BY line HAVING count(*) > 1),
+firsts2 AS (SELECT line, line2, min((doc_id, k)) AS f FROM pairs WHERE line2 IS NOT NULL GROUP BY line, line2 HAVING count(*) > 1),
+cuts AS (
+  SELECT doc_id, i, i AS upto FROM numbered JOIN firsts1 USING (line)
+  WHERE length(line) >= 40 AND (f[1] <> doc_id OR f[2] + 1 <= k)
+  UNION ALL
+  SELECT doc_id, i, upto FROM pairs JOIN firsts2 USING (line, line2) WHERE f[1] <> doc_id OR f[2] + 2 <= k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, upto + 1)) AS i FROM cuts),
+runs AS (SELECT doc_id, count(*) AS n_runs FROM gone g
+  WHERE NOT EXISTS (SELECT 1 FROM gone p WHERE p.doc_id = g.doc_id AND p.i = g.i - 1) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM every ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_lines FROM numbered GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n_removed FROM numbered SEMI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
+  CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept.text, '')) END AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN runs USING (doc_id)
+  LEFT JOIN removed USING (doc_id)
+"""
+
+
 @query
 def op6_benchmark_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
