@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontaminate, langid, lines, packing, secrets, simhash, substring, toxicity, vectors
+from shelfmark.llm import decontaminate, langid, licenses, lines, packing, secrets, simhash, substring, toxicity, vectors
 from shelfmark.llm.common import table, unpacked
 
 # Scores from which a document counts as toxic.
@@ -51,6 +51,49 @@ def op2_language_id(spark, sf_dir):
     return unpacked(found, "lang_pred", "score").select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op3_license_scan(spark, sf_dir):
+    found = licenses.with_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_sentences",
+        F.array_join(F.transform("known", lambda k: F.concat_ws(":", k["place"].cast("string"), k["id"])), ",").alias("sentences"),
+        F.array_join("licenses", ",").alias("licenses"),
+    )
+
+
+def license_sql() -> str:
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    known = ", ".join(f"({quote(s)}, {quote(i)})" for s, i in licenses.known_sentences().items())
+    chain = "sequence"
+    for number, (_, ids) in enumerate(licenses.RULES):
+        chain = f"replace({chain}, {quote(';' + ';;'.join(ids) + ';')}, ';#{number};')"
+    names = ", ".join(quote(name) for name, _ in licenses.RULES)
+    return rf"""
+WITH
+sentences(sentence, id) AS (VALUES {known}),
+lowered AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+-- The blanks behind a mark become a line break, since these expressions cannot look behind.
+cut AS (SELECT doc_id, string_split_regex(regexp_replace(t, '([.;:!?])[ 	]+', '' || chr(10), 'g'), '[
+
+]+') AS raw
+  FROM lowered),
+plain AS (SELECT doc_id, list_filter(list_transform(raw, lambda s: trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))),
+  lambda s: s <> '') AS s FROM cut),
+each AS (SELECT doc_id, unnest(s) AS sentence, unnest(range(0, len(s))) AS place FROM plain),
+known AS (SELECT doc_id, string_agg(place || ':' || id, ',' ORDER BY place) AS sentences,
+  ';' || string_agg(id, ';;' ORDER BY place) || ';' AS sequence FROM each JOIN sentences USING (sentence) GROUP BY doc_id),
+taken AS (SELECT doc_id, sentences, regexp_extract_all({chain}, '#([0-9]+);', 1) AS rules FROM known)
+SELECT doc_id, len(s) AS n_sentences, coalesce(sentences, '') AS sentences,
+  coalesce(array_to_string(list_transform(rules, lambda n: [{names}][CAST(n AS INTEGER) + 1]), ','), '') AS licenses
+FROM plain LEFT JOIN taken USING (doc_id)
+"""
+
+
+ORACLE["op3_license_scan"] = license_sql()
+
+
 @query
 def op4_substring_dedup(spark, sf_dir):
     found = substring.without_repeats(table(spark, sf_dir, "documents"), width=13)
