@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,6 +86,17 @@ def unpacked(df: DataFrame, *more: Column) -> DataFrame:
     return df.select(*[F.col("row").getField(n).alias(n) for n in names], *more)
 
 
+def first_of_each(rows: DataFrame, keys: list[str], order: list[str], n: int, salts: int = 64) -> DataFrame:
+    """The first ``n`` rows of each key, and their number ``r``.
+
+    A key's rows are limited in parts first, so a key with a large share of all rows is spread.
+    """
+    part = F.pmod(F.xxhash64(*order), F.lit(salts))
+    some = rows.withColumn("part", part).withColumn("r", F.row_number().over(Window.partitionBy(*keys, "part").orderBy(*order)))
+    some = some.filter(F.col("r") <= n).drop("part")
+    return some.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("r") <= n)
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of links (a, b): a row (node, root) per linked node, root the least node.
 

@@ -14,10 +14,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import with_text_columns
+from shelfmark.llm.common import first_of_each, with_text_columns
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -144,10 +144,9 @@ def training_windows(
     """
     labelled = docs.filter(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
     key = F.xxhash64(F.col(doc_id).cast("string"))
-    ranked = labelled.select(F.col(doc_id).alias("i"), F.col(lang).cast("string").alias("lang"), key.alias("h")).withColumn(
-        "r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "i"))
-    )
-    chosen = ranked.filter(F.col("r") <= per_language).orderBy("r", "h", "lang").limit(max_texts).select("i", "lang")
+    named = labelled.select(F.col(doc_id).alias("i"), F.col(lang).cast("string").alias("lang"), key.alias("h"))
+    ranked = first_of_each(named, ["lang"], ["h", "i"], per_language)
+    chosen = ranked.orderBy("r", "h", "lang").limit(max_texts).select("i", "lang")
     texts = labelled.select(F.col(doc_id).alias("i"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     sample = texts.join(F.broadcast(chosen.distinct()), ["i", "lang"])
 

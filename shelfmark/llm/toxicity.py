@@ -17,10 +17,10 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stored, with_text_columns
+from shelfmark.llm.common import first_of_each, stored, with_text_columns
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -172,9 +172,8 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int) ->
     named = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & learn)
     one = named.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("y"))
     totals = {r["y"]: r["count"] for r in one.groupBy("y").count().collect()}
-    order = Window.partitionBy("y").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    chosen = one.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_label)
-    chosen = chosen.select(F.col("doc_id").alias("i"), "y")
+    hashed = one.select(F.col("doc_id").alias("i"), "y", F.xxhash64(F.col("doc_id").cast("string")).alias("h"))
+    chosen = first_of_each(hashed, ["y"], ["h", "i"], per_label).select("i", "y")
     texts = docs.select(F.col("doc_id").alias("i"), F.col("text"))
     # At most 2 * per_label ids of 16 bytes.
     return texts.join(F.broadcast(chosen), "i"), totals

@@ -48,7 +48,7 @@ def choose_pivots(rows: DataFrame, n_pivots: int) -> np.ndarray:
     """Different vectors, the first by a hash of their components: a bounded sample of the rows."""
     seen = rows.select("v", F.xxhash64("v").alias("h")).groupBy("h").agg(F.first("v").alias("v"))
     chosen = seen.orderBy("h").limit(n_pivots).collect()
-    return np.array([r["v"] for r in chosen], float).reshape(len(chosen), -1)
+    return np.array([r["v"] for r in chosen], float) if chosen else np.empty((0, 0))
 
 
 def lifted(x: np.ndarray, largest: float) -> np.ndarray:

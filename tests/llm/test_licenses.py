@@ -1,0 +1,42 @@
+from shelfmark.llm import licenses as li
+
+MIT = "\n".join(li.SENTENCES[i][0] for i in ("MITgrant", "MITnotice", "MITwarranty"))
+
+
+def found(make, *texts):
+    rows = li.with_licenses(make(*enumerate(texts))).collect()
+    return {r["row"]["doc_id"]: r for r in rows}
+
+
+def test_rules_are_ordered_and_sequences_whole(make):
+    got = found(make, MIT, "Some words. Released under the MIT License.\nMore.", "MIT License\n" + MIT, None, "", "the mit licence")
+    assert [got[i]["licenses"] for i in range(6)] == [["MIT"], ["MIT"], ["MIT"], [], [], []]
+    assert [len(got[i]["known"]) for i in range(6)] == [3, 1, 4, 0, 0, 0]
+    assert got[1]["known"][0]["place"] == 1 and got[3]["n_sentences"] == 0
+
+
+def test_several_licenses_in_order_and_noise(make):
+    got = found(
+        make,
+        "Licensed### under CC BY-NC 4.0.\nthis work is licensed under the GNU General Public License, version 3! x",
+        li.SENTENCES["MITgrant"][0],
+        "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nAll rights reserved.",
+        "v. 2.0.",
+    )
+    assert got[0]["licenses"] == ["CC-BY-NC-4.0", "GPL-3.0-only"]
+    assert got[1]["licenses"] == [] and len(got[1]["known"]) == 1
+    assert got[2]["licenses"] == ["Apache-2.0", "Proprietary"]
+    assert got[3]["licenses"] == []
+
+
+def test_each_sentence_has_one_identifier():
+    assert len(li.known_sentences()) <= 200
+    assert all(len(s.split()) >= 2 or s == "unlicense" for s in li.known_sentences())
+    used = {i for _, ids in li.RULES for i in ids}
+    assert used <= set(li.SENTENCES)
+
+
+def test_native_without_shuffle_and_empty(make):
+    df = li.with_licenses(make())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert df.count() == 0 and "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
