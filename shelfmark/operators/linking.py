@@ -61,7 +61,7 @@ def link_books(
 ) -> DataFrame:
     """Every book with the URL of its best match, null when it has none.
 
-    ``search_pages`` holds ``search_key`` and ``candidates``, one row per saved search page.
+    ``search_pages`` holds ``search_key`` and ``candidates``, one row per search page.
     """
     keyed = books.withColumn(SEARCH_KEY, search_page_key(F.col("title"), F.col("author"), site))
     joined = keyed.join(search_pages.select(SEARCH_KEY, "candidates"), SEARCH_KEY, "left")

@@ -16,10 +16,17 @@ PAGER = ".pagination"
 PAGER_LINK = ".pagination a"
 DIV_PAGER_LINK = "div.pagination a"
 
+# Pages of a book that fan out in one task.
+PAGES_PER_BLOCK = 1000
+# No count is taken to mean more pages than this.
+MOST_PAGES = 10**15
+
 
 def pages_for(reviews: Column, per_page: int = DEFAULT_SITE.reviews_per_page) -> Column:
-    """Ceiling division."""
-    return F.floor((reviews + F.lit(per_page - 1)) / F.lit(per_page)).cast("int")
+    """Ceiling division of whole numbers, of any size."""
+    n = reviews.cast("bigint")
+    whole = F.call_function("div", n, F.lit(per_page).cast("bigint"))
+    return whole + F.when(n % F.lit(per_page) > 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
 
 
 def _query_page_info(root: Column) -> Column:
@@ -40,9 +47,13 @@ def _dehydrated_page_info(dehydrated: Column) -> Column:
     return parse(last["book"], f"reviews struct<pageInfo {JSON_MAP}>")["reviews"]["pageInfo"]
 
 
-def with_page_count(pages: DataFrame, html: str = "html", site: Site = DEFAULT_SITE) -> DataFrame:
+def with_page_count(
+    pages: DataFrame, html: str = "html", site: Site = DEFAULT_SITE, status: str | None = None
+) -> DataFrame:
     """Add ``page_count`` from the embedded state, else from the first pager of the markup, else 1.
 
+    A failed page, where ``status`` names the column of answers, counts 1.
+
     Only pages whose state lacks the number are handed to the markup scan.
     """
     kept = pages.columns
@@ -68,20 +79,23 @@ def with_page_count(pages: DataFrame, html: str = "html", site: Site = DEFAULT_S
         )
         .withColumn(
             "known",
-            F.when(~col("state_ok"), 1)
+            F.when(~col("state_ok"), F.lit(1).cast("bigint"))
             .when(
                 col("by_stats"),
                 pages_for(
                     F.coalesce(col("stats")["totalReviews"].try_cast("bigint"), F.lit(0)), site.reviews_per_page
                 ),
             )
-            .when(F.size("info") > 0, F.coalesce(col("info")["totalPages"].try_cast("int"), F.lit(1))),
+            .when(F.size("info") > 0, F.coalesce(col("info")["totalPages"].try_cast("bigint"), F.lit(1).cast("bigint"))),
         )
         .withColumn("found", scan(F.when(col("known").isNull(), col(html)), [PAGER_LINK, PAGER]))
     )
     items = col("found.elements")
     links = largest_number(within(matching(items, PAGER_LINK), first_match(items, PAGER)), col("found.pieces"))
-    counted = compute_once(staged, page_count=F.coalesce("known", links, F.lit(1)))
+    count = F.coalesce("known", links, F.lit(1).cast("bigint"))
+    if status is not None:
+        count = F.when(F.coalesce(col(status) != 200, F.lit(True)), F.lit(1).cast("bigint")).otherwise(count)
+    counted = compute_once(staged, page_count=count)
     return counted.select(*kept, "page_count")
 
 
@@ -104,16 +118,35 @@ def frontier(
 ) -> DataFrame:
     """One row per book and needed page, numbered 1..n, with the page's URL and storage key.
 
-    The cap is applied before the fan-out. Books without URL or without pages give no row, or with
-    ``keep_all`` one row with a null ``page``.
+    The cap is applied before the fan-out. A book fans out to blocks of pages first, blocks are dealt
+    to all tasks, and only then their pages are written out: neither a book with very many pages nor
+    a senseless count makes one task or one array large. Books without URL or without pages give no
+    row, or with ``keep_all`` one row with a null ``page``.
     """
-    url = F.col(url_column)
-    capped = F.col(page_count) if max_pages is None else F.least(F.col(page_count), F.lit(max_pages))
+    url, block, size = F.col(url_column), F.col("_block"), F.lit(PAGES_PER_BLOCK)
+    most = MOST_PAGES if max_pages is None else min(max_pages, MOST_PAGES)
+    # ``least`` would take an unknown count for the bound.
+    capped = F.when(F.col(page_count).isNotNull(), F.least(F.col(page_count).cast("bigint"), F.lit(most)))
     # A sequence from 1 to 0 would count down, hence the guard.
-    wanted = F.when(url.isNotNull() & (url != "") & (capped >= 1), F.sequence(F.lit(1), capped.cast("int")))
+    last = F.when(url.isNotNull() & (url != "") & (capped >= 1), capped)
     fan_out = F.explode_outer if keep_all else F.explode
+    counted = books.withColumn("_last", last).withColumn("_block", F.when(F.col("_last").isNotNull(), F.lit(0).cast("bigint")))
+    # In steps, each from a block to its parts, so that no list of blocks is long.
+    for power in (3, 2, 1):
+        first = block * size
+        upto = F.least(F.expr(f"(_last - 1) div {PAGES_PER_BLOCK**power}"), first + size - 1)
+        if power == 3:
+            upto = F.expr(f"(_last - 1) div {PAGES_PER_BLOCK**power}")
+        counted = counted.withColumn("_block", fan_out(F.when(block.isNotNull(), F.sequence(first, upto))))
+    # With a number, since these rows are few and small until they fan out and would be put together.
+    tasks = int(books.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = counted.repartition(tasks, F.col(url_column), block)
+    pages = F.when(
+        block.isNotNull(), F.sequence(block * size + 1, F.least(F.col("_last"), block * size + size))
+    )
     return (
-        books.withColumn("page", fan_out(wanted))
+        counted.withColumn("page", fan_out(pages))
+        .drop("_last", "_block")
         .withColumn("page_url", reviews_url(url))
         .withColumn("page_key", F.when(F.col("page").isNotNull(), review_page_key(F.col("page_url"), F.col("page"))))
     )

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RULES = "agent string, kind string, pattern string"
 
-# Up to this many rules are written into the expression; beyond it the rules are joined.
-INLINE_RULES = 500
-
 
 def parse_rules(text: str) -> list[tuple[str, str, str]]:
     """Rules of one robots.txt as (agent, allow|disallow, pattern), one per agent of a group."""
@@ -40,14 +37,16 @@ def _regex(pattern: str) -> str:
 
 
 def _applicable(rules: list[tuple[str, str, str]], mode: str, agent: str) -> list[tuple[str, str]]:
-    """The rules the mode looks at: all prohibitions, or the agent's group, or the ``*`` group."""
+    """The rules the mode looks at: all prohibitions, or the agent's group, or the ``*`` group.
+
+    An empty pattern says nothing in either mode.
+    """
     if mode == "any_agent":
-        return sorted({("disallow", p) for _, kind, p in rules if kind == "disallow"})
+        return sorted({("disallow", p) for _, kind, p in rules if kind == "disallow" and p})
     if mode != "agent":
         raise ValueError(f"unknown mode {mode!r}")
     names = {a for a, _, _ in rules}
     group = agent.lower() if agent.lower() in names else "*"
-    # An empty pattern of a group says nothing.
     return sorted({(kind, p) for a, kind, p in rules if a == group and p})
 
 
@@ -57,54 +56,33 @@ def with_policy(
     rules: list[tuple[str, str, str]],
     mode: str = "any_agent",
     agent: str = "*",
-    inline_rules: int = INLINE_RULES,
 ) -> DataFrame:
     """Add ``allowed`` to a table with a column of URL paths.
 
     ``any_agent``: not allowed if any prohibition of any agent is a literal prefix of the path.
     ``agent``: rules of the agent's group only, with wildcards; the longest pattern wins, permission
-    beats prohibition at equal length.
+    beats prohibition at equal length. A null path is allowed.
+
+    An equi-join of path prefixes with the literal heads of the rules, then the full test. A path is
+    cut only at the lengths that heads have. Distinct paths are tested once, however often they
+    occur; partial aggregation folds the cut rows of a path before the shuffle.
     """
     used = _applicable(rules, mode, agent)
-    literal = mode == "any_agent"
-    if len(used) <= inline_rules:
-        return urls.withColumn("allowed", _inline(F.col(path), used, literal))
-    return _joined(urls, path, used, literal)
-
-
-def _verdict(best: Column) -> Column:
-    return F.coalesce(best["allow"], F.lit(True))
-
-
-def _inline(path: Column, used: list[tuple[str, str]], literal: bool) -> Column:
-    """One compiled test per rule, row-local."""
     if not used:
-        return F.lit(True)
-    hits = []
-    for kind, pattern in used:
-        plain = literal or not re.search(r"[*$]", pattern)
-        test = F.startswith(path, F.lit(pattern)) if plain else path.rlike(_regex(pattern))
-        value = F.struct(F.lit(len(pattern)).alias("length"), F.lit(kind == "allow").alias("allow"))
-        hits.append(F.when(test, value))
-    return _verdict(F.array_max(F.array(*hits)))
-
-
-def _joined(urls: DataFrame, path: str, used: list[tuple[str, str]], literal: bool) -> DataFrame:
-    """Equi-join of path prefixes with the literal heads of the rules, then the full test.
-
-    A path is cut only at the lengths that heads have. Distinct paths are tested once, however
-    often they occur; partial aggregation folds the cut rows of a path before the shuffle.
-    """
-    spark = urls.sparkSession
+        return urls.withColumn("allowed", F.lit(True))
+    literal = mode == "any_agent"
     rows = []
     for kind, pattern in used:
         head = pattern if literal else re.split(r"[*$]", pattern)[0]
-        rows.append((head, "^" + re.escape(pattern) if literal else _regex(pattern), len(pattern), kind == "allow"))
-    table = spark.createDataFrame(rows, "head string, regex string, length int, allow boolean")
+        rows.append((head, None if literal else _regex(pattern), len(pattern), kind == "allow"))
+    table = urls.sparkSession.createDataFrame(rows, "head string, regex string, length int, allow boolean")
     lengths = F.array(*[F.lit(n) for n in sorted({len(r[0]) for r in rows})])
-    paths = urls.select(path).distinct()
-    cut = paths.withColumn("n", F.explode(F.filter(lengths, lambda n: n <= F.char_length(F.col(path)))))
-    hits = cut.withColumn("head", F.left(F.col(path), F.col("n"))).join(table, "head")
-    hits = hits.filter(F.regexp_like(path, "regex"))
-    best = hits.groupBy(path).agg(F.max(F.struct("length", "allow")).alias("best"))
-    return urls.join(best, path, "left").withColumn("allowed", _verdict(F.col("best"))).drop("best")
+    paths = urls.select(F.col(path).alias("path")).distinct()
+    cut = paths.withColumn("n", F.explode(F.filter(lengths, lambda n: n <= F.char_length("path"))))
+    hits = cut.withColumn("head", F.left("path", F.col("n"))).join(table, "head")
+    if not literal:
+        hits = hits.filter(F.regexp_like("path", "regex"))
+    best = hits.groupBy("path").agg(F.max(F.struct("length", "allow")).alias("best"))
+    joined = urls.join(best, urls[path] == best["path"], "left")
+    allowed = F.coalesce(best["best"]["allow"], F.lit(True))
+    return joined.select(*[urls[c] for c in urls.columns], allowed.alias("allowed"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import is_iso_timestamp, is_real_timestamp
-from shelfmark.schema import required_columns
+from shelfmark.schema import RAW_RATING, required_columns
 from shelfmark.site import DEFAULT_SITE, Site
 
 FAIL, WARN, REPORT = "fail", "warn", "report"
@@ -28,10 +28,23 @@ def _null_safe(test: Column) -> Column:
 
 @dataclass(frozen=True)
 class Rule:
-    """A condition on one column that a good row does not meet."""
+    """A condition on one column that a good row does not meet.
+
+    ``broken`` takes the value and the value as written, which differ in a rating read from text.
+    """
 
     column: str
-    broken: Callable[[Column], Column]
+    condition: Callable[..., Column]
+    as_written: bool = False
+
+    def broken(self, df: DataFrame) -> Column:
+        if not self.as_written:
+            return self.condition(F.col(self.column))
+        return self.condition(F.col(self.column), self.written(df))
+
+    def written(self, df: DataFrame) -> Column:
+        raw = self.column == "review_rating" and RAW_RATING in df.columns
+        return F.col(RAW_RATING if raw else self.column)
 
 
 RULES = {
@@ -40,12 +53,14 @@ RULES = {
     "mock_user": Rule("reviewer_id", lambda c: _null_safe(F.startswith(c, F.lit(MOCK_USER)))),
     "null_book_id": Rule("book_id", lambda c: c.isNull()),
     "null_review_text": Rule("review_text", lambda c: c.isNull()),
-    "null_review_rating": Rule("review_rating", lambda c: c.isNull()),
+    "null_review_rating": Rule("review_rating", lambda c, raw: raw.isNull(), as_written=True),
     "empty_text": Rule("review_text", lambda c: c.isNull() | (c == "")),
     # Null counts as invalid here, and 4.5 is valid ...
     "rating_range": Rule("review_rating", lambda c: ~_null_safe(c.between(1, 5))),
-    # ... while here null is left out, and 4.5 is invalid.
-    "rating_whole": Rule("review_rating", lambda c: c.isNotNull() & ~c.isin(1, 2, 3, 4, 5)),
+    # ... while here null is left out, and 4.5 is invalid, as is a word.
+    "rating_whole": Rule(
+        "review_rating", lambda c, raw: raw.isNotNull() & ~_null_safe(c.isin(1, 2, 3, 4, 5)), as_written=True
+    ),
     "date_form": Rule("review_date", lambda c: ~is_iso_timestamp(c)),
     "date_real": Rule("review_date", lambda c: ~is_real_timestamp(c)),
 }
@@ -54,13 +69,17 @@ NULL_RULES = ["null_book_id", "null_review_text", "null_review_rating"]
 
 @dataclass(frozen=True)
 class Suite:
-    """``empty``: severity of a table without rows, or None if it passes without further checks."""
+    """``empty``: severity of a table without rows, or None if it passes without further checks.
+
+    ``extra``: severity of columns beyond the required ones, or None if they are not looked at.
+    """
 
     rules: dict[str, str]
     columns: str
     empty: str | None = FAIL
     with_reviewer_name: bool = False
     few_books: str | None = None
+    extra: str | None = None
 
 
 def _all(names: list[str], severity: str) -> dict[str, str]:
@@ -68,8 +87,8 @@ def _all(names: list[str], severity: str) -> dict[str, str]:
 
 
 SUITES = {
-    "format": Suite(_all([*NULL_RULES, "rating_range", "date_form"], REPORT), REPORT, REPORT),
-    "sample": Suite(_all([*NULL_RULES, "rating_range", "date_form"], FAIL), FAIL, REPORT),
+    "format": Suite(_all([*NULL_RULES, "rating_range", "date_form"], REPORT), REPORT, REPORT, extra=REPORT),
+    "sample": Suite(_all([*NULL_RULES, "rating_range", "date_form"], FAIL), FAIL, REPORT, extra=REPORT),
     "subset": Suite(
         _all(["mock_text_start", "mock_user", *NULL_RULES, "rating_range", "date_form"], FAIL), FAIL, None
     ),
@@ -88,7 +107,8 @@ SUITES = {
 
 
 def missing_and_extra(df: DataFrame, required: list[str]) -> tuple[list[str], list[str]]:
-    return [c for c in required if c not in df.columns], [c for c in df.columns if c not in required]
+    extra = [c for c in df.columns if c not in required and c != RAW_RATING]
+    return [c for c in required if c not in df.columns], extra
 
 
 def _usable(df: DataFrame, suite: Suite) -> dict[str, str]:
@@ -100,8 +120,8 @@ def run_suite(df: DataFrame, suite_name: str, site: Site = DEFAULT_SITE) -> Data
     """One row per rule: ``rule, severity, violations, passed``. One pass, one global aggregation."""
     suite = SUITES[suite_name]
     rules = _usable(df, suite)
-    missing, _ = missing_and_extra(df, required_columns(site.url_column, suite.with_reviewer_name))
-    counts = [F.count_if(RULES[name].broken(F.col(RULES[name].column))).alias(name) for name in rules]
+    missing, extra = missing_and_extra(df, required_columns(site.url_column, suite.with_reviewer_name))
+    counts = [F.count_if(RULES[name].broken(df)).alias(name) for name in rules]
     counts.append(F.count("*").alias("n_rows"))
     few_books = suite.few_books and "book_id" in df.columns
     if few_books:
@@ -117,6 +137,8 @@ def run_suite(df: DataFrame, suite_name: str, site: Site = DEFAULT_SITE) -> Data
     if suite.empty is None:
         n_missing = F.when(F.col("n_rows") == 0, 0).otherwise(n_missing)
     rows = [row("required_columns", suite.columns, n_missing)]
+    if suite.extra is not None:
+        rows.append(row("extra_columns", suite.extra, F.lit(len(extra))))
     if suite.empty is not None:
         rows.append(row("not_empty", suite.empty, (F.col("n_rows") == 0).cast("int")))
     rows += [row(name, severity, F.col(name)) for name, severity in rules.items()]
@@ -141,8 +163,8 @@ def broken_rows(df: DataFrame, suite_name: str) -> DataFrame:
     checks = [
         F.struct(
             F.lit(name).alias("rule"),
-            F.col(RULES[name].column).cast("string").alias("value"),
-            RULES[name].broken(F.col(RULES[name].column)).alias("broken"),
+            RULES[name].written(df).cast("string").alias("value"),
+            RULES[name].broken(df).alias("broken"),
         )
         for name in rules
     ]

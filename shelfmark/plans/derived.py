@@ -19,6 +19,7 @@ PER_PAGE = DEFAULT_SITE.reviews_per_page
 POPULAR = 20
 CANDIDATES = 10
 STRIDE = 37
+PAGER_LINKS = 9
 
 SHAPES = ["edges", "entities", "state", "data", "queries"]
 
@@ -38,6 +39,10 @@ def _book_url(number: Column) -> Column:
     return F.concat(F.lit(f"{DEFAULT_SITE.base_url}/book/show/"), no, F.lit(".Book_"), no)
 
 
+def page_url(number: Column) -> Column:
+    return reviews_url(_book_url(number))
+
+
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All parts as books. Some URLs are null, some empty, some end in slashes."""
     key = F.col("p_partkey")
@@ -356,9 +361,12 @@ def state_pages(spark: SparkSession, sf_dir: str, shape: str | None = None) -> D
             )
         )
     )
+    # As on real pages: the first few pages, and the last one.
+    last = F.greatest(last_page.cast("int"), F.lit(1))
+    shown = F.array_distinct(F.concat(F.sequence(F.lit(1), F.least(last, F.lit(PAGER_LINKS))), F.array(last)))
     links = F.array_join(
         F.transform(
-            F.sequence(F.lit(1), F.greatest(last_page.cast("int"), F.lit(1))),
+            shown,
             lambda p: F.concat(F.lit('<a href="?page='), p.cast("string"), F.lit('"> '), p.cast("string"), F.lit(" </a>")),
         ),
         "",
@@ -370,8 +378,7 @@ def state_pages(spark: SparkSession, sf_dir: str, shape: str | None = None) -> D
         F.when(col("page") == 1, links).otherwise(F.lit("")),
         F.lit('</div><div class="pagination"><a href="#">99999</a></div></body></html>'),
     )
-    url = reviews_url(_book_url(col("book_no")))
-    return sized.select("book_no", url.alias("page_url"), "page", "shape", html.alias("html"))
+    return sized.select("book_no", page_url(col("book_no")).alias("page_url"), "page", "shape", html.alias("html"))
 
 
 def saved_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

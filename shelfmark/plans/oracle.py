@@ -187,15 +187,37 @@ def _extraction(shape: str) -> str:
     return f"WITH {REVIEWS}, {SHAPED.format(shape=shape)} SELECT * FROM extracted"
 
 
-def _suite(columns: str, empty: str | None, rules: dict[str, str], few_books: str | None = None, missing: int = 0) -> str:
+def _suite(
+    columns: str,
+    empty: str | None,
+    rules: dict[str, str],
+    few_books: str | None = None,
+    missing: int = 0,
+    extra: int | None = None,
+    broken: dict[str, str] = BROKEN,
+    head: str = "",
+    more: str = "",
+) -> str:
     rows = [f"SELECT 'required_columns' AS rule, '{columns}' AS severity, CAST({missing} AS BIGINT) AS violations"]
+    if extra is not None:
+        rows.append(f"SELECT 'extra_columns', 'report', CAST({extra} AS BIGINT)")
     if empty:
         rows.append(f"SELECT 'not_empty', '{empty}', CAST(count(*) = 0 AS BIGINT) FROM damaged")
     for name, severity in rules.items():
-        rows.append(f"SELECT '{name}', '{severity}', count(*) FILTER (WHERE {BROKEN[name]}) FROM damaged")
+        rows.append(f"SELECT '{name}', '{severity}', count(*) FILTER (WHERE {broken[name]}) FROM damaged")
     if few_books:
         rows.append(f"SELECT 'few_books', '{few_books}', CAST(count(DISTINCT book_id) < 2 AS BIGINT) FROM damaged")
-    return f"WITH {FLAT} SELECT *, violations = 0 AS passed FROM ({' UNION ALL '.join(rows)})"
+    return f"{head or f'WITH {FLAT}'} SELECT *, violations = 0 AS passed{more} FROM ({' UNION ALL '.join(rows)})"
+
+
+# A rating that is written as a word is there, but no number; a table read from CSV has no empty texts.
+READ = {
+    **BROKEN,
+    "null_review_rating": "review_rating IS NULL AND event_id % 53 <> 14",
+    "rating_range": "event_id % 53 = 14 OR NOT coalesce(review_rating BETWEEN 1 AND 5, false)",
+    "rating_whole": "event_id % 53 = 14 OR (review_rating IS NOT NULL AND review_rating NOT IN (1, 2, 3, 4, 5))",
+    "null_review_text": "review_text IS NULL OR review_text = ''",
+}
 
 
 def _rules(severity: str, *names: str) -> dict[str, str]:
@@ -223,6 +245,25 @@ needed AS (
   WHERE coalesce(book_url, '') <> '')
 """
 
+# Reviews as the markup shows them.
+MARKUP = f"""
+boxes AS (
+  SELECT book_no, page, row_number() OVER (PARTITION BY book_no, page ORDER BY place) - 1 AS pos,
+    trim(text, ' ' || chr(10) || chr(9) || chr(13)) AS review_text,
+    CAST(CASE no % 4 WHEN 0 THEN rating WHEN 1 THEN rating + 0.5
+      ELSE CASE WHEN rating BETWEEN 1 AND 5 THEN rating END END AS DOUBLE) AS review_rating,
+    CASE WHEN no % 6 <> 5 THEN user_id END AS reviewer_id,
+    CASE WHEN no % 6 <> 5 THEN user_name END AS reviewer_name,
+    CASE WHEN no % 3 < 2 THEN upvotes ELSE 0 END AS review_upvotes,
+    CAST(0 AS BIGINT) AS review_downvotes,
+    CASE WHEN no % 5 < 3 THEN left(date, 10) || 'T00:00:00' END AS review_date,
+    '{BASE}/review/show/' || CASE WHEN no % 5 = 0 THEN '' ELSE 'review_' END || no AS review_url,
+    CASE no % 3 WHEN 0 THEN 'shelf ' || user_id || '|to read' WHEN 1 THEN 'shelf ' || user_id || '|owned' ELSE '' END AS shelves,
+    CASE WHEN no % 4 = 0 THEN no % 9 ELSE 0 END AS comment_count,
+    no % 5 = 3 AS date_unparsed
+  FROM rv)
+"""
+
 ORACLE: dict[str, str] = {
     "booklist_alias_required": """
 SELECT CAST(p_partkey AS VARCHAR) AS book_id, p_name AS title, p_brand AS author, CAST(p_size AS BIGINT) AS p_size,
@@ -265,6 +306,11 @@ WITH shown AS (
 SELECT o_orderkey, shown, CASE WHEN o_orderkey % 5 < 4 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00' END AS iso
 FROM shown""",
     "page_frontier": f"WITH {NEEDED} SELECT book_id, page, page_url, page_key FROM needed WHERE page <= 5",
+    "page_frontier_odd_counts": f"""
+WITH {BOOKS},
+counted AS (SELECT *, CASE book_no % 4 WHEN 0 THEN 1200 WHEN 1 THEN 1200 WHEN 2 THEN least(book_no % 9 - 2, 1200) END AS n FROM books)
+SELECT book_id, CAST(n AS BIGINT) AS n_pages, CAST(n AS BIGINT) AS last_page FROM counted
+WHERE n >= 1 AND coalesce(book_url, '') <> ''""",
     "cache_hits": f"""
 WITH {NEEDED} SELECT book_id, page, page_key FROM needed WHERE (page + book_no) % 2 = 0""",
     "cache_misses": f"""
@@ -308,37 +354,55 @@ FROM all_pages LEFT JOIN good g USING (book_no, page) WHERE kind < 3 OR g.page I
 WITH {REVIEWS}, {PAGE_COUNTS}, pages_of AS (SELECT DISTINCT book_no, page FROM rv)
 SELECT book_no, page, ['edges', 'entities', 'state', 'data', 'queries'][book_no % 5 + 1] AS shape,
   CASE WHEN page = 1 OR book_no % 5 IN (0, 2, 4) THEN page_count ELSE 1 END AS page_count
+FROM pages_of JOIN counts USING (book_no)""",
+    "page_count_answers": f"""
+WITH {REVIEWS}, {PAGE_COUNTS}, pages_of AS (SELECT DISTINCT book_no, page FROM rv)
+SELECT book_no, page,
+  CASE WHEN book_no % 7 NOT IN (3, 4) AND (page = 1 OR book_no % 5 IN (0, 2, 4)) THEN page_count ELSE 1 END AS page_count
 FROM pages_of JOIN counts USING (book_no)""",
     "page_count_html": f"""
 WITH {REVIEWS}
 SELECT DISTINCT book_no, page, CASE WHEN book_no % 7 = 3 THEN 0 ELSE page END AS page_count FROM rv""",
-    "html_review_fields": f"""
-WITH {REVIEWS}
-SELECT book_no, page, row_number() OVER (PARTITION BY book_no, page ORDER BY place) - 1 AS pos,
-  trim(text, ' ' || chr(10) || chr(9) || chr(13)) AS review_text,
-  CAST(CASE no % 4 WHEN 0 THEN rating WHEN 1 THEN rating + 0.5
-    ELSE CASE WHEN rating BETWEEN 1 AND 5 THEN rating END END AS DOUBLE) AS review_rating,
-  CASE WHEN no % 6 <> 5 THEN user_id END AS reviewer_id,
-  CASE WHEN no % 6 <> 5 THEN user_name END AS reviewer_name,
-  CASE WHEN no % 3 < 2 THEN upvotes ELSE 0 END AS review_upvotes,
-  CAST(0 AS BIGINT) AS review_downvotes,
-  CASE WHEN no % 5 < 3 THEN left(date, 10) || 'T00:00:00' END AS review_date,
-  '{BASE}/review/show/' || CASE WHEN no % 5 = 0 THEN '' ELSE 'review_' END || no AS review_url,
-  CASE no % 3 WHEN 0 THEN 'shelf ' || user_id || '|to read' WHEN 1 THEN 'shelf ' || user_id || '|owned' ELSE '' END AS shelves,
-  CASE WHEN no % 4 = 0 THEN no % 9 ELSE 0 END AS comment_count,
-  no % 5 = 3 AS date_unparsed
-FROM rv""",
+    "html_review_fields": f"WITH {REVIEWS}, {MARKUP} SELECT * FROM boxes",
     "flat_reviews": f"""
 WITH {REVIEWS}, {BOOKS}, {SHAPED.format(shape="mixed")}
 SELECT book_id, title, author, book_url, page, pos, review_text,
   CAST(CASE WHEN review_rating BETWEEN 1 AND 5 THEN review_rating END AS BIGINT) AS review_rating,
   reviewer_id, reviewer_name, review_upvotes, review_date, review_url
-FROM extracted JOIN books USING (book_no) WHERE coalesce(book_url, '') <> '' AND page <= 50""",
+FROM extracted JOIN books USING (book_no) WHERE coalesce(book_url, '') <> ''""",
+    "flat_reviews_gaps": f"""
+WITH {REVIEWS}, {BOOKS}, {SHAPED.format(shape="mixed")}
+SELECT book_id, page, pos, reviewer_id
+FROM extracted JOIN books USING (book_no) WHERE coalesce(book_url, '') <> '' AND page BETWEEN 2 AND 40""",
+    "answered_reviews": f"""
+WITH {REVIEWS}, {BOOKS}, {SHAPED.format(shape="mixed")}
+SELECT book_id, page, pos, reviewer_id,
+  CAST(CASE WHEN review_rating BETWEEN 1 AND 5 THEN review_rating END AS BIGINT) AS review_rating
+FROM extracted JOIN books USING (book_no) WHERE coalesce(book_url, '') <> '' AND (book_no + page) % 5 NOT IN (1, 2)""",
+    "flat_markup_reviews": f"""
+WITH {REVIEWS}, {BOOKS}, {MARKUP}
+SELECT book_id, title, author, book_url, page, pos, review_text,
+  CAST(CASE WHEN review_rating BETWEEN 1 AND 5 THEN trunc(review_rating) END AS BIGINT) AS review_rating, reviewer_id,
+  reviewer_name, review_upvotes, review_downvotes, review_date, review_url, shelves, comment_count
+FROM boxes JOIN books USING (book_no) WHERE coalesce(book_url, '') <> ''""",
+    "markup_csv_round_trip": f"""
+WITH {REVIEWS}, {BOOKS}, {MARKUP}
+SELECT book_id, title, author, book_url, CAST(page AS VARCHAR) AS page, CAST(pos AS VARCHAR) AS pos,
+  CAST(CASE WHEN review_rating BETWEEN 1 AND 5 THEN trunc(review_rating) END AS DOUBLE) AS review_rating, reviewer_id,
+  reviewer_name, review_upvotes, review_downvotes, review_date, review_url, shelves, comment_count
+FROM boxes JOIN books USING (book_no) WHERE coalesce(book_url, '') <> ''""",
+    "linked_list_round_trip": f"""
+WITH {BOOKS} SELECT book_id, title, author, nullif(book_url, '') AS book_url FROM books""",
+    "empty_reviews_written": """
+SELECT 'book_id,title,author,book_url,review_text,review_rating,reviewer_id,review_upvotes,review_date' AS header,
+  CAST(count(*) AS BIGINT) AS n_rows FROM events WHERE event_id < 0""",
+    "ordered_csv": f"""
+WITH {FLAT} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_unordered, CAST(0 AS BIGINT) AS n_overlapping FROM flat""",
     "nested_reviews": f"""
-WITH {REVIEWS}, {BOOKS}, {SHAPED.format(shape="mixed")}, {PAGE_COUNTS},
+WITH {REVIEWS}, {BOOKS}, {SHAPED.format(shape="mixed")},
+held AS (SELECT DISTINCT book_no, page FROM rv),
 wanted AS (
-  SELECT b.*, t.page FROM books b LEFT JOIN counts USING (book_no),
-    unnest(CASE WHEN coalesce(book_url, '') = '' THEN [NULL::BIGINT] ELSE range(1, coalesce(page_count, 1) + 1) END) t(page))
+  SELECT b.*, h.page FROM books b LEFT JOIN held h ON h.book_no = b.book_no AND coalesce(book_url, '') <> '')
 SELECT book_id, title, author, w.page, count(e.pos) AS n_reviews,
   coalesce(string_agg(e.reviewer_id, '|' ORDER BY e.pos), '') AS reviewer_ids,
   coalesce(string_agg(md5(e.review_text), '|' ORDER BY e.pos), '') AS text_digests
@@ -377,7 +441,9 @@ WITH keyed AS (
   SELECT page_id, length(html) AS n_chars, CASE WHEN page_id % 3 = 0 THEN 'the same'
     ELSE regexp_replace(replace(replace(url, 'https://', ''), 'http://', ''), '[\\/*?:"<>|]', '_', 'g') END AS page_key
   FROM pages)
-SELECT page_key, max(page_id) AS page_id, max_by(n_chars, page_id) AS n_chars FROM keyed GROUP BY page_key""",
+SELECT page_key, page_id, n_chars FROM keyed
+QUALIFY row_number() OVER (PARTITION BY page_key
+  ORDER BY CASE WHEN page_id % 5 <> 0 THEN page_id // 10 END DESC NULLS LAST, page_id DESC) = 1""",
     "entity_profile": f"""
 WITH {REVIEWS},
 per_page AS (
@@ -414,8 +480,21 @@ UNION ALL SELECT 'Text', count(*) FROM linked WHERE no % 7 = 2 AND no % 11 <> 3"
 WITH {REVIEWS}
 SELECT count(*) AS n_reviews, count(*) FILTER (WHERE no % 11 <> 3) AS n_with_text,
   count(*) FILTER (WHERE rating <> 0) AS n_with_rating FROM rv""",
-    "quality_format": _suite("report", "report", _rules("report", *NULLS, "rating_range", "date_form")),
-    "quality_sample": _suite("fail", "report", _rules("fail", *NULLS, "rating_range", "date_form")),
+    "quality_format": _suite("report", "report", _rules("report", *NULLS, "rating_range", "date_form"), extra=1),
+    "quality_sample": _suite("fail", "report", _rules("fail", *NULLS, "rating_range", "date_form"), extra=1),
+    "quality_read_csv": " UNION ALL ".join(
+        "SELECT * FROM (" + _suite(*suite, broken=READ, more=f", '{name}' AS suite") + ")"
+        for name, suite in {
+            "sample": ("fail", "report", _rules("fail", *NULLS, "rating_range", "date_form"), None, 1, 2),
+            "release": (
+                "fail",
+                "fail",
+                {**_rules("fail", "mock_text_inside"), **_rules("warn", *NULLS, "empty_text", "rating_whole")},
+                "warn",
+                1,
+            ),
+        }.items()
+    ),
     "quality_subset": _suite(
         "fail", None, _rules("fail", "mock_text_start", "mock_user", *NULLS, "rating_range", "date_form")
     ),

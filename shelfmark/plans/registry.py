@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions import markup
 from shelfmark.functions import text as tx
 from shelfmark.functions import urls
-from shelfmark.operators import linking, markupreviews, pagecheck, pagestate, paging, policy, quality, report
+from shelfmark.operators import copies, linking, markupreviews, pagecheck, pagestate, paging, policy, quality, report
 from shelfmark.operators import reviews as rv
-from shelfmark.plans import derived
+from shelfmark.plans import derived, pipeline
+from shelfmark.schema import RAW_RATING
 from shelfmark.session import work_folder
+from shelfmark.site import DEFAULT_SITE
 from shelfmark.sources import sinks, tables
 from shelfmark.streaming import incremental
 
@@ -159,6 +161,18 @@ def _stored_keys(spark, sf_dir):
     return held.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(1) + (F.col("book_no") % 3).cast("int"))))
 
 
+@query
+def page_frontier_odd_counts(spark, sf_dir):
+    """Counts that are too large to be true, zero, negative and unknown."""
+    odd = (
+        F.when(F.col("book_no") % 4 == 0, F.lit(3_000_000_000))
+        .when(F.col("book_no") % 4 == 1, F.lit(2**62))
+        .when(F.col("book_no") % 4 == 2, F.col("book_no") % 9 - 2)
+    )
+    needed = paging.frontier(derived.books(spark, sf_dir).withColumn("page_count", odd), max_pages=1200)
+    return needed.groupBy("book_id").agg(F.count("*").alias("n_pages"), F.max("page").alias("last_page"))
+
+
 @query
 def cache_hits(spark, sf_dir):
     needed = paging.frontier(_counted_books(spark, sf_dir))
@@ -174,8 +188,7 @@ def cache_misses(spark, sf_dir):
 @query
 def url_policy(spark, sf_dir):
     pages = derived.table(spark, sf_dir, "pages").select("page_id", urls.url_path(F.col("url")).alias("path"))
-    rules = [r for r in policy.parse_rules(RULES_TEXT) if r[2]]
-    return policy.with_policy(pages, "path", rules, "any_agent")
+    return policy.with_policy(pages, "path", policy.parse_rules(RULES_TEXT), "any_agent")
 
 
 @query
@@ -187,7 +200,7 @@ def url_policy_agent(spark, sf_dir):
 @query
 def url_policy_joined(spark, sf_dir):
     pages = derived.table(spark, sf_dir, "pages").select("page_id", urls.url_path(F.col("url")).alias("path"))
-    return policy.with_policy(pages, "path", policy.parse_rules(RULES_TEXT), "agent", inline_rules=0)
+    return policy.with_policy(pages, "path", policy.parse_rules(RULES_TEXT), "agent")
 
 
 # Linking
@@ -211,10 +224,21 @@ def fuzzy_best_match(spark, sf_dir):
     )
 
 
+def _search_store(spark, sf_dir):
+    """Search pages in several copies: older and undated ones with other content, and equal ones."""
+    pages = derived.keyed_search_pages(spark, sf_dir)
+    copies = F.array(
+        F.struct(F.lit(2).alias("saved_at"), F.col("html")),
+        F.struct(F.lit(2).alias("saved_at"), F.col("html")),
+        F.struct(F.lit(1).alias("saved_at"), F.lit("<html></html>").alias("html")),
+        F.struct(F.lit(None).cast("int").alias("saved_at"), F.lit("<html>none</html>").alias("html")),
+    )
+    return pages.withColumn("c", F.explode(copies)).select("search_key", "c.saved_at", "c.html")
+
+
 def _linked(spark, sf_dir):
-    pages = markupreviews.with_candidates(derived.keyed_search_pages(spark, sf_dir))
     books = derived.book_queries(spark, sf_dir).select("book_id", "title", "author")
-    return linking.link_books(books, pages)
+    return pipeline.link(spark, books, _search_store(spark, sf_dir))
 
 
 @query
@@ -280,6 +304,14 @@ def page_count_json(spark, sf_dir):
     return paging.with_page_count(derived.state_pages(spark, sf_dir)).select("book_no", "page", "shape", "page_count")
 
 
+@query
+def page_count_answers(spark, sf_dir):
+    """Page counts where some answers failed: those count one page."""
+    status = F.when(F.col("book_no") % 7 == 3, 404).when(F.col("book_no") % 7 == 4, F.lit(None)).otherwise(200)
+    pages = derived.state_pages(spark, sf_dir).withColumn("status", status)
+    return paging.with_page_count(pages, status="status").select("book_no", "page", "page_count")
+
+
 @query
 def page_count_html(spark, sf_dir):
     pages = derived.markup_pages(spark, sf_dir)
@@ -316,26 +348,25 @@ def page_title_links(spark, sf_dir):
 # Books, pages and reviews together
 
 
-def _store(spark, sf_dir):
-    """Saved pages, and the same pages with their reviews taken out."""
-    pages = derived.saved_pages(spark, sf_dir)
-    return pages, pagestate.with_reviews(pages.filter(F.col("page").isNotNull()))
-
-
 def _listed(spark, sf_dir):
     return derived.books(spark, sf_dir).drop("plain_url", "book_no")
 
 
 @query
 def flat_reviews(spark, sf_dir):
-    return rv.reviews_of_books(_listed(spark, sf_dir), *_store(spark, sf_dir), max_pages=50)
+    return rv.reviews_of_books(_listed(spark, sf_dir), derived.saved_pages(spark, sf_dir))
+
+
+@query
+def flat_reviews_gaps(spark, sf_dir):
+    """A store without first pages: what it holds is extracted, whatever count was printed there."""
+    pages = derived.saved_pages(spark, sf_dir).filter("page > 1")
+    return rv.reviews_of_books(_listed(spark, sf_dir), pages, max_pages=40).select("book_id", "page", "pos", "reviewer_id")
 
 
 @query
 def nested_reviews(spark, sf_dir):
-    pages, extracted = _store(spark, sf_dir)
-    counted = rv.with_counts(_listed(spark, sf_dir), pages)
-    nested = rv.nested_reviews(paging.frontier(counted, keep_all=True), extracted)
+    nested = rv.nested_of_books(_listed(spark, sf_dir), derived.saved_pages(spark, sf_dir))
     return nested.select(
         "book_id",
         "title",
@@ -349,8 +380,90 @@ def nested_reviews(spark, sf_dir):
 
 @query
 def single_book_reviews(spark, sf_dir):
-    busiest = derived.books(spark, sf_dir).filter("book_no = 0").select("plain_url").first()[0]
-    return rv.reviews_of_url(busiest, *_store(spark, sf_dir))
+    return rv.reviews_of_url(f"{DEFAULT_SITE.base_url}/book/show/0.Book_0", derived.saved_pages(spark, sf_dir))
+
+
+@query
+def answered_reviews(spark, sf_dir):
+    """Pages with failed answers and captchas among them, and older copies of the others."""
+    pages = derived.state_pages(spark, sf_dir)
+    kind = (F.col("book_no") + F.col("page")) % 5
+    copies = F.array(
+        F.struct(F.lit(5).alias("saved_at"), F.col("html")),
+        F.struct(F.lit(5).alias("saved_at"), F.col("html")),
+        F.struct(F.lit(4).alias("saved_at"), F.lit("<html></html>").alias("html")),
+    )
+    stored = pages.select(
+        "page_url",
+        "page",
+        F.when(kind == 1, 404).otherwise(200).alias("status"),
+        F.explode(copies).alias("c"),
+        (kind == 2).alias("asks"),
+    )
+    html = F.when(F.col("asks"), F.concat(F.lit("<b>Captcha</b>"), "c.html")).otherwise(F.col("c.html"))
+    stored = stored.select("page_url", "page", "status", "c.saved_at", html.alias("html"))
+    return pipeline.extract(spark, _listed(spark, sf_dir), stored).select("book_id", "page", "pos", "reviewer_id", "review_rating")
+
+
+@query
+def flat_markup_reviews(spark, sf_dir):
+    found = rv.markup_reviews_of_books(_listed(spark, sf_dir), _markup_store(spark, sf_dir))
+    return found.withColumn("shelves", F.array_join("shelves", "|"))
+
+
+def _markup_store(spark, sf_dir):
+    pages = derived.markup_pages(spark, sf_dir)
+    return pages.select(derived.page_url(F.col("book_no")).alias("page_url"), "page", "html")
+
+
+@query
+def markup_csv_round_trip(spark, sf_dir):
+    """The table of reviews in markup, with its arrays, written as CSV and read again."""
+    folder = work_folder(spark, "markup")
+    found = rv.markup_reviews_of_books(_listed(spark, sf_dir), _markup_store(spark, sf_dir))
+    sinks.write_reviews(found.drop("review_text"), f"{folder}/reviews", [f"{folder}/csv"])
+    back = tables.read_reviews(spark, f"{folder}/csv").drop(RAW_RATING)
+    return back.withColumn("shelves", F.array_join("shelves", "|"))
+
+
+@query
+def linked_list_round_trip(spark, sf_dir):
+    """The linked list written as CSV and read again by its path."""
+    folder = work_folder(spark, "linked")
+    sinks.write_csv(_listed(spark, sf_dir), f"{folder}/linked")
+    return tables.linked_books(spark, f"{folder}/linked")
+
+
+@query
+def empty_reviews_written(spark, sf_dir):
+    """A run that finds nothing leaves a header; the books are those whose pages are not stored."""
+    folder = work_folder(spark, "empty")
+    pages = derived.saved_pages(spark, sf_dir).filter("page < 0")
+    found = rv.reviews_of_books(_listed(spark, sf_dir), pages)
+    if found.isEmpty():
+        sinks.write_empty_reviews(spark, f"{folder}/csv")
+    back = tables.read_csv(spark, f"{folder}/csv")
+    return back.agg(F.lit(",".join(back.columns)).alias("header"), F.count("*").alias("n_rows"))
+
+
+@query
+def ordered_csv(spark, sf_dir):
+    """A table written in order: no row before a smaller one in its file, no file across another."""
+    folder = work_folder(spark, "ordered")
+    table = derived.flat_table(spark, sf_dir, with_text=False).select("event_id", "book_id")
+    sinks.write_csv(table, f"{folder}/csv", order=["event_id"])
+    rows = tables.read_csv(spark, f"{folder}/csv", multiLine="false").select(
+        F.col("event_id").cast("bigint"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at")
+    )
+    before = F.lag("event_id").over(Window.partitionBy("file").orderBy("at"))
+    files = rows.withColumn("before", before).groupBy("file").agg(
+        F.count("*").alias("n"), F.count_if(F.col("before") > F.col("event_id")).alias("wrong"),
+        F.min("event_id").alias("lo"), F.max("event_id").alias("hi"),
+    )
+    files = files.withColumn("last", F.lag("hi").over(Window.orderBy("file")))
+    return files.agg(
+        F.sum("n").alias("n_rows"), F.sum("wrong").alias("n_unordered"), F.count_if(F.col("last") > F.col("lo")).alias("n_overlapping")
+    )
 
 
 @query
@@ -371,7 +484,7 @@ def incremental_reviews(spark, sf_dir):
 def csv_round_trip(spark, sf_dir):
     folder = work_folder(spark, "csv")
     sinks.write_reviews(derived.flat_table(spark, sf_dir), f"{folder}/reviews", [f"{folder}/csv"])
-    return tables.read_reviews(spark, f"{folder}/csv")
+    return tables.read_reviews(spark, f"{folder}/csv").drop(RAW_RATING)
 
 
 # Pages as such
@@ -420,12 +533,14 @@ def first_pages(spark, sf_dir):
 
 @query
 def latest_pages(spark, sf_dir):
-    """Every third of the pages is a copy of one and the same page."""
+    """Every third of the pages is a copy of one and the same page; some times are equal or unknown."""
     pages = derived.table(spark, sf_dir, "pages")
     key = F.when(F.col("page_id") % 3 == 0, "the same").otherwise(urls.readable_page_key(F.col("url")))
-    return tables.latest_copies(pages.withColumn("page_key", key), "page_id").select(
-        "page_key", "page_id", F.char_length("html").alias("n_chars")
+    saved_at = F.when(F.col("page_id") % 5 != 0, F.expr("page_id div 10"))
+    narrow = pages.select(
+        key.alias("page_key"), "page_id", F.char_length("html").alias("n_chars"), saved_at.alias("saved_at")
     )
+    return copies.latest_copies(narrow, ["page_key"], "saved_at", "page_id").drop("saved_at")
 
 
 @query
@@ -460,6 +575,18 @@ for _suite_name in quality.SUITES:
     query(_run)
 
 
+@query
+def quality_read_csv(spark, sf_dir):
+    """A table read from CSV, with words among the ratings, one column missing and two too many."""
+    folder = work_folder(spark, "quality")
+    table = derived.flat_table(spark, sf_dir, defects=True)
+    rating = F.when(F.col("event_id") % 53 == 14, "five").otherwise(F.col("review_rating").cast("string"))
+    sinks.write_csv(table.withColumn("review_rating", rating).drop("review_upvotes"), f"{folder}/csv")
+    back = tables.read_reviews(spark, f"{folder}/csv")
+    suites = [quality.run_suite(back, name).withColumn("suite", F.lit(name)) for name in ("sample", "release")]
+    return suites[0].union(suites[1])
+
+
 @query
 def quality_violations(spark, sf_dir):
     return quality.first_broken(derived.flat_table(spark, sf_dir, defects=True), "subset", ["event_id"])

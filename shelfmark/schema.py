@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 HEADER_ALIASES = {"Book ID": "book_id", "Title": "title", "Author": "author"}
 BOOK_COLUMNS = ["book_id", "title", "author"]
 
+# A review table read from CSV carries the rating as it was written next to its number.
+RAW_RATING = "review_rating_raw"
+
 
 def required_columns(url_column: str = "book_url", with_reviewer_name: bool = False) -> list[str]:
     """The columns a review table must have; one contract also asks for the reviewer's name."""

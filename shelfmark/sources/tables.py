@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.urls import readable_page_key
-from shelfmark.schema import BOOK_COLUMNS, HEADER_ALIASES, required_columns, review_table
+from shelfmark.schema import BOOK_COLUMNS, HEADER_ALIASES, RAW_RATING, required_columns, review_table
 from shelfmark.site import DEFAULT_SITE, Site
 
 # Quotes are doubled inside quoted fields, which may span lines.
@@ -60,7 +60,11 @@ def linked_books(spark: SparkSession, books: DataFrame | str, site: Site = DEFAU
 
 
 def read_reviews(spark: SparkSession, path: str, site: Site = DEFAULT_SITE) -> DataFrame | None:
-    """A review table from CSV; None if there is no such file. The rating is read as written."""
+    """A review table from CSV; None if there is no such file.
+
+    The rating is read as a number, null where it is none, and ``review_rating_raw`` keeps it as it
+    was written: the rules tell a missing rating from one that is no number.
+    """
     schema = review_table(site.url_column)
     schema["review_rating"].dataType = T.DoubleType()
     schema = schema.add("review_downvotes", T.LongType()).add("comment_count", T.LongType())
@@ -71,6 +75,8 @@ def read_reviews(spark: SparkSession, path: str, site: Site = DEFAULT_SITE) -> D
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    if "review_rating" in raw.columns:
+        raw = raw.withColumn(RAW_RATING, F.col("review_rating"))
     return conform(raw, schema)
 
 
@@ -102,14 +108,3 @@ def keyed_pages(pages: DataFrame) -> DataFrame:
         readable_page_key(F.col("page_url"), numbered)
     )
     return pages.withColumn("page_key", key)
-
-
-def latest_copies(pages: DataFrame, saved_at: str, key: str = "page_key") -> DataFrame:
-    """The copy saved last under each key: saving a page again replaces it.
-
-    ``saved_at`` must differ between copies of a key. The newest times are found on the narrow
-    columns, partly aggregated before the shuffle; the join back is on key and time, which is
-    unique, so a page with very many copies makes no hot key.
-    """
-    newest = pages.groupBy(key).agg(F.max(saved_at).alias(saved_at))
-    return pages.join(newest, [key, saved_at], "left_semi")

@@ -76,6 +76,33 @@ def test_count_sources(spark, props, expected):
     assert count(spark, page(**props) + PAGER) == expected
 
 
+def test_counts_of_any_size(spark):
+    many = {"apolloState": {"ROOT_QUERY": {"book(1)": book(pageInfo={"totalPages": 3_000_000_000})}}}
+    assert count(spark, page(**many)) == 3_000_000_000
+    stats = {"books": {"current": {"reviewStats": {"totalReviews": 2**62}}}}
+    assert count(spark, page(initialState=stats)) == -(-(2**62) // 30)
+    assert count(spark, page() + '<div class="pagination"><a>5000000000</a></div>') == 5_000_000_000
+    html = '<div class="pagination"><a>5000000000</a></div>'
+    assert paging.with_markup_page_count(page_table(spark, html)).first().page_count == 5_000_000_000
+
+
+def test_failed_answer_counts_one(spark):
+    html = page(initialState={"books": {"current": {"reviewStats": {"totalReviews": 3329}}}})
+    rows = [(1, html, 200), (2, html, 404), (3, html, None)]
+    df = spark.createDataFrame(rows, "i int, html string, status int")
+    assert [r.page_count for r in paging.with_page_count(df, status="status").orderBy("i").collect()] == [111, 1, 1]
+
+
+def test_frontier_of_odd_counts(spark):
+    rows = [("1", "u", 3_000_000_000), ("2", "u", 2**63 - 1), ("3", "u", -5), ("4", "u", None), ("5", "u", 2500)]
+    df = spark.createDataFrame(rows, "book_id string, book_url string, page_count bigint")
+    got = paging.frontier(df, max_pages=2500).groupBy("book_id").agg(F.count("*").alias("n"), F.countDistinct("page").alias("d"), F.max("page").alias("m"))
+    assert sorted(tuple(r) for r in got.collect()) == [(i, 2500, 2500, 2500) for i in "125"]
+    assert paging.frontier(df, keep_all=True, max_pages=1).count() == 5
+    large = paging.frontier(df.filter("book_id = 1")).limit(3)
+    assert large.count() == 3
+
+
 def test_count_without_state_is_one(spark):
     assert count(spark, PAGER) == 1
     assert count(spark, page()) == 1

@@ -45,28 +45,41 @@ def test_parse(spark):
     assert rule_table(spark, TEXT).count() == len(rules) == 11
 
 
-@pytest.mark.parametrize("inline", [500, 0])
-def test_any_agent_takes_every_prohibition_literally(urls, inline):
+def test_any_agent_takes_every_prohibition_literally(urls):
     rules = parse_rules(TEXT)
-    assert allowed(with_policy(urls, "path", rules, inline_rules=inline)) == set()
+    assert allowed(with_policy(urls, "path", rules)) == set()
     some = [r for r in rules if r[2] not in ("/", "")]
-    assert allowed(with_policy(urls, "path", some, inline_rules=inline)) == {
+    assert allowed(with_policy(urls, "path", some)) == {
         "/book/show/", "/a/filters?x", "/file.txt", "/file.txt2", "/",
     }
 
 
-@pytest.mark.parametrize("inline", [500, 0])
-def test_agent_group_longest_match_and_wildcards(urls, inline):
+def test_agent_group_longest_match_and_wildcards(urls):
     rules = parse_rules(TEXT)
 
     def of(agent):
-        return allowed(with_policy(urls, "path", rules, "agent", agent, inline_rules=inline))
+        return allowed(with_policy(urls, "path", rules, "agent", agent))
 
     assert of("*") == of("somebody") == {"/book/show/", "/work/editions", "/file.txt2", "/"}
     assert of("Spider") == set()
     assert of("two") == set(PATHS)
 
 
+def test_empty_prohibition_says_nothing(urls):
+    assert allowed(with_policy(urls, "path", [("a", "disallow", "")], "any_agent")) == set(PATHS)
+    assert allowed(with_policy(urls, "path", [("a", "disallow", ""), ("b", "disallow", "/w")], "any_agent")) == {
+        p for p in PATHS if not p.startswith("/w")
+    }
+
+
+def test_columns_keep_their_order(spark):
+    table = spark.createDataFrame([(1, "/search", "x"), (2, None, "y")], "no int, path string, tail string")
+    for mode in ("any_agent", "agent"):
+        got = with_policy(table, "path", parse_rules(TEXT), mode)
+        assert got.columns == ["no", "path", "tail", "allowed"]
+        assert {r.no: r.allowed for r in got.collect()} == {1: False, 2: True}
+
+
 def test_no_rules_allow_all(urls):
     assert allowed(with_policy(urls, "path", [], "agent")) == set(PATHS)
     with pytest.raises(ValueError):

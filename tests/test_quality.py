@@ -1,7 +1,9 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from shelfmark.operators import quality as q
-from shelfmark.schema import required_columns
+from shelfmark.schema import RAW_RATING, required_columns
 
 SCHEMA = (
     "book_id string, title string, author string, book_url string, review_text string, review_rating double,"
@@ -28,7 +30,9 @@ OTHER = row(book_id="2")
 
 @pytest.mark.parametrize("suite", q.SUITES)
 def test_good_rows_pass(spark, suite):
-    assert run(spark, suite, row(), OTHER) == ({}, True)
+    # Two contracts do not ask for the reviewer's name, and say what else is there.
+    extra = {"extra_columns": 1} if suite in ("format", "sample") else {}
+    assert run(spark, suite, row(), OTHER) == (extra, True)
 
 
 @pytest.mark.parametrize(
@@ -78,15 +82,17 @@ def test_empty_tables(spark):
     assert run(spark, "subset") == ({}, True)
     assert run(spark, "subset", drop=["author"]) == ({}, True)
     assert run(spark, "release") == ({"not_empty": 1, "few_books": 1}, False)
-    assert run(spark, "sample") == ({"not_empty": 1}, True)
+    assert run(spark, "sample") == ({"not_empty": 1, "extra_columns": 1}, True)
     assert run(spark, "contract", drop=["author"]) == ({"not_empty": 1, "required_columns": 1}, False)
 
 
 def test_missing_columns(spark):
-    assert run(spark, "sample", row(), drop=["author", "review_date"]) == ({"required_columns": 2}, False)
+    assert run(spark, "sample", row(), drop=["author", "review_date"]) == ({"required_columns": 2, "extra_columns": 1}, False)
     assert run(spark, "sample", row(), drop=["reviewer_name"]) == ({}, True)
     assert run(spark, "release", row(), OTHER, drop=["reviewer_name"]) == ({"required_columns": 1}, False)
-    assert run(spark, "format", row(review_rating=9.0), drop=["title"]) == ({"required_columns": 1, "rating_range": 1}, True)
+    assert run(spark, "format", row(review_rating=9.0), drop=["title"]) == (
+        {"required_columns": 1, "extra_columns": 1, "rating_range": 1}, True,
+    )
 
 
 def test_missing_and_extra(spark):
@@ -101,3 +107,14 @@ def test_first_broken_values_per_rule(spark):
     ratings = sorted((r.n, r.value) for r in found if r.rule == "rating_range")
     assert ratings == [(i + 1, str(10.0 + i)) for i in range(5)]
     assert [r.value for r in sorted(found, key=lambda r: r.n) if r.rule == "date_form"] == ["bad", "bad", "bad", None, "bad"]
+
+
+def test_ratings_as_written(spark):
+    df = spark.createDataFrame([row(), OTHER, row(review_rating=None), row(review_rating=None)], SCHEMA)
+    written = [None if i == 2 else "five" if i == 3 else "4" for i in range(4)]
+    numbered = df.coalesce(1).withColumn("i", F.monotonically_increasing_id().cast("int"))
+    df = numbered.withColumn(RAW_RATING, F.get(F.array(*[F.lit(w) for w in written]), F.col("i"))).drop("i")
+    report = {r.rule: r.violations for r in q.run_suite(df, "release").collect()}
+    assert (report["null_review_rating"], report["rating_whole"]) == (1, 1)
+    assert {r.rule: r.violations for r in q.run_suite(df, "sample").collect()}["rating_range"] == 2
+    assert [r.value for r in q.first_broken(df, "sample", ["book_id"]).filter("rule = 'rating_range'").collect()].count("five") == 1

@@ -2,9 +2,8 @@ import pytest
 from conftest import PAGE_SCHEMA, page
 from pyspark.sql import functions as F
 
-from shelfmark.operators import paging, report
+from shelfmark.operators import copies, report
 from shelfmark.operators import reviews as rv
-from shelfmark.operators.pagestate import with_reviews
 from shelfmark.schema import review_table
 
 URL = "https://books.example.org/book/show/{}"
@@ -29,8 +28,7 @@ def store(spark):
         (two, 1, reviews_page(["c"])),
         (two, 2, reviews_page(["not counted"])),
     ]
-    pages = spark.createDataFrame(rows, PAGE_SCHEMA)
-    return pages, with_reviews(pages.filter("page IS NOT NULL"))
+    return spark.createDataFrame(rows, PAGE_SCHEMA)
 
 
 @pytest.fixture(scope="module")
@@ -40,37 +38,94 @@ def books(spark):
     return spark.createDataFrame(rows, "book_id string, title string, author string, book_url string")
 
 
-def test_flat_reviews_follow_count_and_cap_and_keep_repeats(books, store):
-    flat = rv.reviews_of_books(books, *store)
+def texts(df):
+    return sorted((r.book_id, r.page, r.pos, r.review_text) for r in df.collect())
+
+
+def test_flat_reviews_follow_the_store_and_the_cap_and_keep_repeats(books, store):
+    flat = rv.reviews_of_books(books, store)
     assert [f.name for f in review_table().fields if f.name not in flat.columns] == []
-    rows = [(r.book_id, r.page, r.pos, r.review_text) for r in flat.orderBy("book_id", "page", "pos").collect()]
-    assert rows == [("1", 1, 0, "a"), ("1", 1, 1, "b"), ("1", 2, 0, "a"), ("2", 1, 0, "c")]
-    assert rv.reviews_of_books(books, *store, max_pages=1).count() == 3
+    assert texts(flat) == [
+        ("1", 1, 0, "a"), ("1", 1, 1, "b"), ("1", 2, 0, "a"), ("1", 4, 0, "beyond the count"),
+        ("2", 1, 0, "c"), ("2", 2, 0, "not counted"),
+    ]
+    assert rv.reviews_of_books(books, store, max_pages=1).count() == 3
+
+
+def test_pages_without_a_first_page_are_extracted(books, store):
+    assert texts(rv.reviews_of_books(books, store.filter("page > 1"))) == [
+        ("1", 2, 0, "a"), ("1", 4, 0, "beyond the count"), ("2", 2, 0, "not counted"),
+    ]
+
+
+def test_one_copy_of_each_page(spark, books, store):
+    rows = [(r.page_url, r.page, r.html, r.page) for r in store.collect()]
+    one = URL.format(1) + "/reviews"
+    rows += rows + [(one, 2, reviews_page(["undated"]), None), (one, 1, reviews_page([]), 9), (one, 1, reviews_page([]), 9)]
+    copies = spark.createDataFrame(rows, PAGE_SCHEMA + ", saved_at int").repartition(4)
+    assert texts(rv.reviews_of_books(books, copies)) == texts(rv.reviews_of_books(books, store))[2:]
+    assert rv.reviews_of_books(books, copies.drop("saved_at").dropDuplicates().union(copies.drop("saved_at"))).groupBy(
+        "book_id", "page", "pos"
+    ).count().filter("count > 1").isEmpty()
+
+
+def test_only_listed_books_are_read_however_the_list_is(books, store, monkeypatch):
+    want = texts(rv.reviews_of_books(books.filter("book_id = 2"), store))
+    assert len(want) == 2
+    monkeypatch.setattr(copies, "MOST_KEYS", 0)
+    assert texts(rv.reviews_of_books(books.filter("book_id = 2"), store)) == want
+
+
+def test_failed_answers_and_captchas_are_left_out(books, store):
+    answers = store.withColumn("status", F.when(F.col("page") == 2, 500).otherwise(200))
+    asks = F.when(F.col("page") == 4, F.concat(F.lit("<p>CAPTCHA"), "html")).otherwise(F.col("html"))
+    assert texts(rv.reviews_of_books(books, answers.withColumn("html", asks))) == [
+        ("1", 1, 0, "a"), ("1", 1, 1, "b"), ("2", 1, 0, "c"),
+    ]
 
 
 def test_nested_reviews_keep_every_book(books, store):
-    needed = paging.frontier(rv.with_counts(books, store[0]), keep_all=True)
-    rows = rv.nested_reviews(needed, store[1]).collect()
+    rows = rv.nested_of_books(books, store).collect()
     found = sorted((r.book_id, r.page or 0, [x.review_text for x in r.reviews]) for r in rows)
-    assert found == [("1", 1, ["a", "b"]), ("1", 2, ["a"]), ("1", 3, []), ("2", 1, ["c"]), ("3", 0, []), ("4", 0, []), ("5", 1, [])]
+    assert found == [("1", 1, ["a", "b"]), ("1", 2, ["a"]), ("1", 3, []), ("1", 4, ["beyond the count"]), ("2", 1, ["c"]),
+                     ("2", 2, ["not counted"]), ("3", 0, []), ("4", 0, []), ("5", 0, [])]
 
 
 def test_reviews_of_one_url(store):
-    rows = rv.reviews_of_url(URL.format(1) + "//", *store).orderBy("page", "pos").collect()
-    assert [r.review_text for r in rows] == ["a", "b", "a"]
-    assert [r.review_text for r in rv.reviews_of_url(URL.format(2), *store).collect()] == ["c"]
-    assert rv.reviews_of_url(URL.format(99), *store).count() == 0
+    rows = rv.reviews_of_url(URL.format(1) + "//", store).orderBy("page", "pos").collect()
+    assert [r.review_text for r in rows] == ["a", "b", "a", "beyond the count"]
+    assert [r.review_text for r in rv.reviews_of_url(URL.format(2), store).orderBy("page").collect()] == ["c", "not counted"]
+    assert rv.reviews_of_url(URL.format(99), store).count() == 0
+
+
+BOX = '<div class="review" id="review_{0}"><span class="readable"><span>{0}</span></span><div class="shelves">Shelves: x, y</div></div>'
+
+
+def test_markup_book_table(spark, books):
+    def markup(*texts):
+        return "<div>" + "".join(BOX.format(t) for t in texts) + "</div>"
+
+    one, two = URL.format(1) + "/reviews", URL.format(2) + "/reviews"
+    rows = [
+        (one, 1, markup("old", "gone"), 1), (one, 1, markup("a"), 2), (one, 1, markup("a"), 2),
+        (one, 2, markup("b", "b"), None), (two, 1, markup("c"), 1), (two, 1, markup(), 2), (one, None, markup("x"), 3),
+    ]
+    pages = spark.createDataFrame(rows, PAGE_SCHEMA + ", saved_at int")
+    found = rv.markup_reviews_of_books(books, pages)
+    assert texts(found) == [("1", 1, 0, "a"), ("1", 2, 0, "b"), ("1", 2, 1, "b")]
+    assert found.first().shelves == ["x", "y"] and found.first().review_downvotes == 0
+    assert rv.markup_reviews_of_books(books, pages, max_pages=1).count() == 1
 
 
 def test_equal_books_each_get_the_reviews(spark, books, store):
     twice = books.filter("book_id = 2").union(books.filter("book_id = 2"))
-    assert rv.reviews_of_books(twice, *store).count() == 2
+    assert rv.reviews_of_books(twice, store).count() == 4
 
 
 def test_count_of_an_unnumbered_page_comes_before_that_of_page_one(spark, books, store):
     one = URL.format(1) + "/reviews"
     first = spark.createDataFrame([(one, 1, reviews_page(["x"], 2))], PAGE_SCHEMA)
-    both = store[0].filter("page IS NULL").unionByName(first)
+    both = store.filter("page IS NULL").unionByName(first)
     assert rv.with_counts(books.filter("book_id = 1"), both).first().page_count == 3
     assert rv.with_counts(books.filter("book_id = 1"), first).first().page_count == 2
 
