@@ -19,8 +19,9 @@ FALSY = ["", "0", "-0", "0.0", "-0.0", "false", "{}", "[]"]
 
 
 def as_map(text: Column) -> Column:
-    """Parse a JSON object; anything else gives null."""
-    return F.from_json(text, "map<string,string>", STRICT)
+    """Parse a JSON object; anything else gives null. Of a repeated key the last value counts."""
+    # Bound in a list of one, so that the parse is not copied to where its result is used.
+    return F.get(F.transform(F.array(F.from_json(text, "map<string,string>", STRICT)), last_wins), F.lit(0))
 
 
 def parse(text: Column, schema: str) -> Column:

@@ -28,10 +28,14 @@ from shelfmark.schema import STATE_REVIEW
 # Where the state sits in a page, and the names inside it.
 STATE_OPEN = r"""(?i)<script[^>]*?\sid\s*=\s*["']?__NEXT_DATA__(?=["'\s>])[^>]*>"""
 STATE_CLOSE = "</script"
+# The state is read as one member of an object with a second member behind it. A reader stops at the
+# end of the first value; text after the state's own end makes the object malformed or hides the mark.
+END_MARK = "_end_of_state"
 STATE_SCHEMA = (
-    "props struct<pageProps struct<apolloState map<string,string>,"
-    "initialState string,initialData string,dehydratedState string>>,malformed string"
+    "state struct<props struct<pageProps struct<apolloState map<string,string>,"
+    f"initialState string,initialData string,dehydratedState string>>>,{END_MARK} int,malformed string"
 )
+COMMENT_OPEN, COMMENT_CLOSE = "<!--", "-->"
 REVIEW_PREFIX = "Review:"
 BOOK_QUERY = "book("
 TEXT = ["text", "body"]
@@ -42,20 +46,45 @@ REVIEW = f"struct<{','.join(f'{f.name}:{f.dataType.simpleString()}' for f in STA
 JSON_MAP = "map<string,string>"
 
 
+def _ends_in_comment(text: Column, inside: Column | bool = False) -> Column:
+    """Whether a comment is open at the end of a text; ``inside``: whether one was at its start."""
+    opened = F.contains(text, F.lit(COMMENT_OPEN))
+    tail = F.when(opened, F.substring_index(text, COMMENT_OPEN, -1)).otherwise(text)
+    start = inside if isinstance(inside, Column) else F.lit(inside)
+    return (opened | start) & ~F.contains(tail, F.lit(COMMENT_CLOSE))
+
+
 def state_text(html: Column) -> Column:
-    """Content of the state script, null without one.
+    """Content of the first state script that is not in a comment, null without one.
 
     The page is cut at the literal end tag, which is much faster than a lazy match over the state.
+    Only if a comment is open before the first such tag, all of them are looked at.
     """
-    rest = F.get(F.split(html, STATE_OPEN, 2), F.lit(1))
-    return F.nullif(F.substring_index(rest, STATE_CLOSE, 1), F.lit(""))
+    parts = F.split(html, STATE_OPEN, 2)
+    every = F.split(html, STATE_OPEN)
+    # Folded over the parts: whether a comment is open behind them, and the first part that none hides.
+    seen = F.aggregate(
+        F.slice(every, F.lit(2), F.size(every)),
+        F.struct(_ends_in_comment(F.get(every, F.lit(0))).alias("inside"), F.lit(None).cast("string").alias("found")),
+        lambda s, part: F.struct(
+            _ends_in_comment(part, s["inside"]).alias("inside"),
+            F.when(s["found"].isNull() & ~s["inside"], part).otherwise(s["found"]).alias("found"),
+        ),
+        lambda s: s["found"],
+    )
+    rest = F.when(_ends_in_comment(F.get(parts, F.lit(0))), seen).otherwise(F.get(parts, F.lit(1)))
+    cut = F.substring_index(rest, STATE_CLOSE, 1)
+    # Tags are spelled in any case; the slower search is for states that hold something like one.
+    alike = F.contains(cut, F.lit("</s")) | F.contains(cut, F.lit("</S"))
+    return F.nullif(F.when(alike, F.get(F.split(cut, f"(?i){STATE_CLOSE}", 2), F.lit(0))).otherwise(cut), F.lit(""))
 
 
 def with_state(pages: DataFrame, html: str = "html") -> DataFrame:
     """Replace the page text by its parsed state.
 
     Adds ``state_json`` (null without a state script), ``state_ok`` (false when it is not
-    well-formed, or holds a list or a number where an object belongs), ``entities`` and its
+    well-formed, goes on after its end, or holds a list or a number where an object belongs),
+    ``entities`` and its
     ``root`` query, and the other parts of the state as JSON text. The parts become columns of
     their own so that later projections carry only what they use.
     """
@@ -63,9 +92,13 @@ def with_state(pages: DataFrame, html: str = "html") -> DataFrame:
     options = {**STRICT, "columnNameOfCorruptRecord": "malformed"}
     parsed = (
         pages.select(*kept, state_text(F.col(html)).alias("state_json"))
-        .withColumn("json", F.from_json("state_json", STATE_SCHEMA, options))
-        .withColumn("state_ok", F.col("state_json").isNotNull() & F.col("json.malformed").isNull())
-        .withColumn("state", F.when(F.col("state_ok"), F.col("json.props.pageProps")))
+        .withColumn("wrapped", F.concat(F.lit('{"state":'), "state_json", F.lit(f',"{END_MARK}":1}}')))
+        .withColumn("json", F.from_json("wrapped", STATE_SCHEMA, options))
+        .withColumn(
+            "state_ok",
+            F.col("state_json").isNotNull() & F.col("json.malformed").isNull() & F.col(f"json.{END_MARK}").isNotNull(),
+        )
+        .withColumn("state", F.when(F.col("state_ok"), F.col("json.state.props.pageProps")))
     )
     return parsed.select(
         *kept,

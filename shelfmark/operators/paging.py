@@ -9,7 +9,7 @@ from shelfmark.functions.jsonmap import as_map, or_empty, parse
 from shelfmark.functions.markup import first_filled, first_match, largest_number, matching, scan, within
 from shelfmark.functions.once import compute_once
 from shelfmark.functions.urls import review_page_key, reviews_url
-from shelfmark.operators.pagestate import JSON_MAP, book_queries, with_state
+from shelfmark.operators.pagestate import book_queries, with_state
 from shelfmark.site import DEFAULT_SITE, Site
 
 PAGER = ".pagination"
@@ -35,16 +35,16 @@ def _query_page_info(root: Column) -> Column:
         F.transform(book_queries(root), as_map), lambda q: F.coalesce(F.map_contains_key(q, "reviews"), F.lit(False))
     )
     last = F.try_element_at(with_reviews, F.lit(-1))
-    return parse(last["reviews"], f"pageInfo {JSON_MAP}")["pageInfo"]
+    return as_map(parse(last["reviews"], "pageInfo string")["pageInfo"])
 
 
 def _dehydrated_page_info(dehydrated: Column) -> Column:
     """Page info of the last dehydrated query that is about a book."""
     queries = or_empty(parse(dehydrated, "queries array<string>")["queries"], "string")
-    data = F.transform(queries, lambda q: parse(q, f"state struct<data {JSON_MAP}>")["state"]["data"])
+    data = F.transform(queries, lambda q: as_map(parse(q, "state struct<data string>")["state"]["data"]))
     about_book = F.filter(data, lambda d: F.coalesce(F.map_contains_key(d, "book"), F.lit(False)))
     last = F.try_element_at(about_book, F.lit(-1))
-    return parse(last["book"], f"reviews struct<pageInfo {JSON_MAP}>")["reviews"]["pageInfo"]
+    return as_map(parse(last["book"], "reviews struct<pageInfo string>")["reviews"]["pageInfo"])
 
 
 def with_page_count(
@@ -65,9 +65,11 @@ def with_page_count(
             "stats",
             F.when(
                 F.coalesce(F.size("info"), F.lit(0)) == 0,
-                parse(col("initial_state"), f"books struct<current struct<reviewStats {JSON_MAP}>>")["books"][
-                    "current"
-                ]["reviewStats"],
+                as_map(
+                    parse(col("initial_state"), "books struct<current struct<reviewStats string>>")["books"]["current"][
+                        "reviewStats"
+                    ]
+                ),
             ),
         )
         .withColumn("by_stats", F.size("stats") > 0)

@@ -227,6 +227,11 @@ def _inline_review() -> Column:
     )
 
 
+def _said_twice(value: Column, member: str) -> Column:
+    """A JSON object with a member that is repeated; the later one is the right one."""
+    return F.concat(F.lit(f'{{"{member}":"said before",'), F.substr(value, F.lit(2)))
+
+
 def _entry(kind: str, key: Column, value: Column) -> Column:
     return F.concat(F.lit(f'"{kind}:'), key.cast("string"), F.lit('":'), value)
 
@@ -271,17 +276,20 @@ def state_pages(spark: SparkSession, sf_dir: str, shape: str | None = None) -> D
     is_linked = F.col("shape").isin("edges", "entities")
     no = F.col("event_id")
     text_entry = F.when(
-        is_linked & _has_text_entity(no), _entry("Text", no, _object(text=_marked_up(F.col("text"))))
+        is_linked & _has_text_entity(no), _entry("Text", no, _said_twice(_object(text=_marked_up(F.col("text"))), "text"))
     )
     user_entry = F.when(
         is_linked & (no % 5).isin(0, 1),
         _entry(
             "User",
             F.col("user_id"),
-            _object(
-                id=F.concat(F.lit("u"), F.col("user_id")),
-                name=F.col("user_name"),
-                legacyId=F.col("user_id").cast("bigint"),
+            _said_twice(
+                _object(
+                    name=F.col("user_name"),
+                    id=F.concat(F.lit("u"), F.col("user_id")),
+                    legacyId=F.col("user_id").cast("bigint"),
+                ),
+                "name",
             ),
         ),
     )

@@ -345,11 +345,15 @@ FROM candidates""",
     "reviews_fallback_mix": _extraction("mixed"),
     "quarantine_pages": f"""
 WITH {REVIEWS}, {SHAPED.format(shape="mixed")},
-all_pages AS (SELECT DISTINCT book_no, page, (book_no + page) % 6 AS kind FROM rv),
+all_pages AS (SELECT DISTINCT book_no, page, (book_no + page) % 8 AS kind FROM rv),
 good AS (SELECT DISTINCT book_no, page FROM extracted)
 SELECT book_no, page,
-  CASE kind WHEN 0 THEN 'bad_state' WHEN 1 THEN 'no_state' ELSE 'no_reviews' END AS reason, kind <> 1 AS has_state
-FROM all_pages LEFT JOIN good g USING (book_no, page) WHERE kind < 3 OR g.page IS NULL""",
+  CASE WHEN kind IN (0, 3) THEN 'bad_state' WHEN kind IN (1, 5) THEN 'no_state' ELSE 'no_reviews' END AS reason,
+  kind NOT IN (1, 5) AS has_state
+FROM all_pages LEFT JOIN good g USING (book_no, page) WHERE kind IN (0, 1, 2, 3, 5) OR g.page IS NULL""",
+    "odd_state_reviews": f"""
+WITH {REVIEWS}, {SHAPED.format(shape="mixed")}
+SELECT book_no, page, pos, reviewer_id, reviewer_name, review_rating FROM extracted WHERE (book_no + page) % 8 IN (4, 6, 7)""",
     "page_count_json": f"""
 WITH {REVIEWS}, {PAGE_COUNTS}, pages_of AS (SELECT DISTINCT book_no, page FROM rv)
 SELECT book_no, page, ['edges', 'entities', 'state', 'data', 'queries'][book_no % 5 + 1] AS shape,

@@ -281,13 +281,18 @@ for _name, _shape in {
 
 
 def _bad_pages(spark, sf_dir):
-    """Saved pages with some states cut short, some taken out, some emptied."""
+    """Saved pages with some states cut short, taken out, emptied or going on after their end, some
+    behind a state in a comment, and some in a comment themselves."""
     pages = derived.state_pages(spark, sf_dir)
-    kind = (F.col("book_no") + F.col("page")) % 6
+    kind = (F.col("book_no") + F.col("page")) % 8
+    hidden = '<!-- <script id="__NEXT_DATA__">{"props":{"pageProps":{}}}</script> -->'
     html = (
         F.when(kind == 0, F.regexp_replace("html", r"\}\s*</script>", "</script>"))
         .when(kind == 1, F.replace("html", F.lit("__NEXT_DATA__"), F.lit("__OTHER_DATA__")))
         .when(kind == 2, F.lit('<script id="__NEXT_DATA__">{"props":{"pageProps":{}}}</script>'))
+        .when(kind == 3, F.regexp_replace("html", r"\}\s*</script>", "} }more</script>"))
+        .when(kind == 4, F.concat(F.lit(hidden), "html"))
+        .when(kind == 5, F.concat(F.lit("<!-- "), "html", F.lit(" -->")))
         .otherwise(F.col("html"))
     )
     return pages.withColumn("html", html)
@@ -299,6 +304,13 @@ def quarantine_pages(spark, sf_dir):
     return bad.select("book_no", "page", "reason", F.char_length("state_json").isNotNull().alias("has_state"))
 
 
+@query
+def odd_state_reviews(spark, sf_dir):
+    """What the pages of which some states are odd still give."""
+    found = pagestate.review_rows(pagestate.with_reviews(_bad_pages(spark, sf_dir)))
+    return found.select("book_no", "page", "pos", "reviewer_id", "reviewer_name", "review_rating")
+
+
 @query
 def page_count_json(spark, sf_dir):
     return paging.with_page_count(derived.state_pages(spark, sf_dir)).select("book_no", "page", "shape", "page_count")

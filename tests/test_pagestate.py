@@ -226,3 +226,45 @@ def test_forms_of_the_script_tag(spark, tag):
 def test_other_scripts_are_not_state(spark):
     html = page(apolloState={"Review:1": {"text": "a"}})
     assert extract(spark, html.replace("__NEXT_DATA__", "__NEXT_DATA__2"))[0] == "no_state"
+
+
+def one_review(spark, html):
+    row = with_reviews(page_table(spark, html)).first()
+    return [r.review_text for r in row.reviews], row.review_source
+
+
+GOOD = page(apolloState={"Review:1": {"text": "real", "rating": 1}})
+
+
+@pytest.mark.parametrize("tail", ["}garbage", " }", "]", ", 1", ' {"a": 1}', "\n// note"])
+def test_text_after_the_state_is_malformed(spark, tail):
+    assert one_review(spark, GOOD.replace("\n</script>", tail + "</script>")) == ([], "bad_state")
+
+
+def test_white_space_after_the_state_is_fine(spark):
+    assert one_review(spark, GOOD.replace("\n</script>", " \n\t </script>")) == (["real"], "entities")
+
+
+def test_last_of_repeated_keys_counts(spark):
+    html = GOOD.replace('"text": "real"', '"text": "first", "rating": 5, "text": "last"').replace('"rating": 1', '"rating": 2')
+    row = with_reviews(page_table(spark, html)).first().reviews[0]
+    assert (row.review_text, row.review_rating) == ("last", 2.0)
+
+
+OTHER = GOOD.replace("real", "hidden")
+
+
+@pytest.mark.parametrize(
+    "html, found",
+    [
+        (f"<!-- {OTHER} -->{GOOD}", ["real"]),
+        (f"<!-- a --><!-- {OTHER} {OTHER} --> x --> {GOOD}{OTHER}", ["real"]),
+        (f"<!-- a -->{GOOD}<!-- {OTHER} -->", ["real"]),
+        (f"--> {GOOD}", ["real"]),
+        (f"<!-- {OTHER}", []),
+        (f"<!-- {OTHER} -->", []),
+        (f"<!-- <!-- {OTHER} -->{GOOD}", ["real"]),
+    ],
+)
+def test_states_in_comments_are_passed_over(spark, html, found):
+    assert one_review(spark, html) == (found, "entities" if found else "no_state")
