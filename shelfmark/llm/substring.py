@@ -12,8 +12,8 @@ surroundings, and equal windows hold it at the same place. The job follows from
 
 1. Each cut is announced under the name of its surroundings. Names that more than one document
    announces reveal candidates; a document learns which of its own cuts are shared.
-2. Only windows around shared cuts are announced, under 96 bits of their words, which verifies the
-   repeat: an answer says that a smaller document has the same window.
+2. Only windows around shared cuts are announced, under a 64-bit name in a bucket chosen by another
+   hash, which verifies the repeat: an answer says that a smaller document has the same window.
 3. The covered words are removed.
 
 A slice of documents announces a name once and settles its own repeats at once, so a passage that a
@@ -29,6 +29,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,13 +43,16 @@ LIMITS = (1, 2, 2)
 REACH, LONGEST = 4, 4
 # Words that a slice gathers before it announces, and bytes of text per bucket.
 SLICE_WORDS = 1 << 20
-BUCKET_BYTES = 8 << 20
-MOST_BUCKETS = 1 << 17
+BUCKET_BYTES = 32 << 20
+LEAST_BUCKETS, MOST_BUCKETS = 24, 1 << 17
+BUCKET = np.uint32
+# Bytes of a cut's name that travel; false candidates cost little, since windows are verified.
+CUT_BYTES = 5
 NO_ID = (1 << 63) - 1
 MEMO = 500_000
 
-PACKED = "bucket int, known boolean, names binary, checks binary, owners binary, places binary, d binary, dk binary"
-FLAT = "dk bigint, d bigint, place int"
+MESSAGE = "bucket int, known boolean, size int, names binary, docs binary, dk binary, places binary"
+ANSWER = "d bigint, dk int, places binary"
 
 
 class Names(dict):
@@ -118,68 +122,103 @@ class Slice:
         return at, sequences(self.words, at - REACH, 2 * REACH, 1)
 
 
-def message(bucket: int, known: bool, names, checks, owners, places, d, dk) -> dict:
-    """Entries of one bucket; the documents' ids once each."""
-    seen, own = np.unique(owners, return_inverse=True)
-    parts = {"names": (names, "<u8"), "checks": (checks, "<u4"), "owners": (own, "<u4"), "places": (places, "<u4")}
-    parts |= {"d": (d[seen], "<i8"), "dk": (dk[seen], "<i8")}
-    return {"bucket": bucket, "known": known} | {k: v.astype(t).tobytes() for k, (v, t) in parts.items()}
+def small(values: np.ndarray, kind: str) -> bytes:
+    """Whole numbers as differences, byte plane by byte plane, compressed."""
+    steps = np.diff(values.astype(kind), prepend=np.zeros(1, kind)).astype(kind)
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, steps.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def announced(names, checks, owners, places, d, dk, n_buckets: int, smaller_only: bool) -> list[dict]:
-    """Messages of a slice. Names that its documents share are settled here: known to all of them or,
-    with ``smaller_only``, to those with a larger id than another; one entry goes out for a name."""
-    order = np.lexsort((places, owners, d[owners], checks, names))
-    names, checks, owners, places = names[order], checks[order], owners[order], places[order]
+def large(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    steps = np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+    return np.cumsum(steps, dtype=kind)
+
+
+def message(bucket: int, known: bool, names: np.ndarray, owners: np.ndarray, places: np.ndarray, d, dk, size: int) -> dict:
+    """Entries of one bucket, ``size`` bytes of each name; a document's id is there once."""
+    docs, counts = np.unique(owners, return_counts=True)
+    return {
+        "bucket": bucket,
+        "known": known,
+        "size": size,
+        "names": names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes(),
+        "docs": small(np.concatenate([d[docs], counts]), "<i8"),
+        "dk": dk[docs].astype("<i4").tobytes(),
+        "places": small(places, "<u4"),
+    }
+
+
+def entries(m: dict) -> tuple[np.ndarray, ...]:
+    """Names, ids, text keys and places of a message's entries."""
+    size = m["size"]
+    names = np.zeros((len(m["names"]) // size, 8), np.uint8)
+    names[:, :size] = np.frombuffer(m["names"], np.uint8).reshape(-1, size)
+    d, counts = np.split(large(m["docs"], "<i8"), 2)
+    dk = np.frombuffer(m["dk"], "<i4")
+    return names.view("<u8").ravel(), np.repeat(d, counts), np.repeat(dk, counts), large(m["places"], "<u4")
+
+
+def announced(names, buckets, owners, places, d, dk, size: int, smaller_only: bool) -> list[dict]:
+    """Messages of a slice, whose entries come by document, the documents by id.
+
+    Names that its documents share are settled here: known to all of them or, with ``smaller_only``,
+    to those with a larger id than another. One entry goes out for a name.
+    """
+    order = np.argsort(names, kind="stable")
+    sorted_names, sorted_owners = names[order], owners[order]
     new = np.ones(len(names), bool)
-    new[1:] = (names[1:] != names[:-1]) | (checks[1:] != checks[:-1])
+    new[1:] = sorted_names[1:] != sorted_names[:-1]
     # A document speaks once for a name.
     once = new.copy()
-    once[1:] |= owners[1:] != owners[:-1]
-    names, checks, owners, places, new = names[once], checks[once], owners[once], places[once], new[once]
+    once[1:] |= sorted_owners[1:] != sorted_owners[:-1]
+    order, new, sorted_owners = order[once], new[once], sorted_owners[once]
     group = np.cumsum(new) - 1
-    head = np.flatnonzero(new)
-    least = d[owners[head]][group]
     if smaller_only:
-        known = d[owners] > least
+        known = d[sorted_owners] > d[sorted_owners[new]][group]
         asks = ~known
     else:
-        known = np.bincount(group)[group] > 1
+        known = np.bincount(group)[group] > 1 if len(group) else new
         asks = new
-    bucket = (names >> np.uint64(20)) % np.uint64(n_buckets)
     out = []
     for which, is_known in ((known, True), (asks, False)):
-        at = np.flatnonzero(which)
-        at = at[np.lexsort((owners[at], bucket[at]))]
-        edges = np.flatnonzero(np.diff(bucket[at], prepend=-1 if len(at) else 0) != 0) if len(at) else []
+        at = np.sort(order[which])
+        at = at[np.argsort(buckets[at], kind="stable")]
+        edges = np.flatnonzero(np.diff(buckets[at].astype(np.int64), prepend=-1)).tolist() if len(at) else []
         for lo, hi in zip(edges, [*edges[1:], len(at)]):
             x = at[lo:hi]
-            out.append(message(int(bucket[x[0]]), is_known, names[x], checks[x], owners[x], places[x], d, dk))
+            out.append(message(int(buckets[x[0]]), is_known, names[x], owners[x], places[x], d, dk, size))
     return out
 
 
 def answers(smaller_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Buckets come one after another; the answers are (dk, d, place) of the entries to be told."""
+    """Buckets come one after another; a document is told the places of its entries that are shared."""
 
     def settle(rows: list[dict]) -> pa.RecordBatch:
-        told: list[tuple[np.ndarray, ...]] = []
-        asked: list[tuple[np.ndarray, ...]] = []
-        for r in rows:
-            own = np.frombuffer(r["owners"], "<u4")
-            d, dk = np.frombuffer(r["d"], "<i8")[own], np.frombuffer(r["dk"], "<i8")[own]
-            entry = (np.frombuffer(r["names"], "<u8"), np.frombuffer(r["checks"], "<u4"), d, dk, np.frombuffer(r["places"], "<u4"))
-            (told if r["known"] else asked).append(entry)
+        told = [entries(r)[1:] for r in rows if r["known"]]
+        asked = [entries(r) for r in rows if not r["known"]]
         if asked:
-            names, checks, d, dk, places = (np.concatenate(x) for x in zip(*asked))
-            order = np.lexsort((d, checks, names))
-            names, checks, d, dk, places = (x[order] for x in (names, checks, d, dk, places))
+            names, d, dk, places = (np.concatenate(x) for x in zip(*asked))
+            order = np.argsort(names, kind="stable")
+            names = names[order]
             new = np.ones(len(names), bool)
-            new[1:] = (names[1:] != names[:-1]) | (checks[1:] != checks[:-1])
+            new[1:] = names[1:] != names[:-1]
             group = np.cumsum(new) - 1
-            keep = d > d[np.flatnonzero(new)][group] if smaller_only else np.bincount(group)[group] > 1
-            told.append((names[keep], checks[keep], d[keep], dk[keep], places[keep]))
-        _, _, d, dk, places = (np.concatenate(x) for x in zip(*told))
-        return pa.RecordBatch.from_arrays([pa.array(dk), pa.array(d), pa.array(places.astype(np.int32))], ["dk", "d", "place"])
+            if smaller_only:
+                keep = d[order] > np.minimum.reduceat(d[order], np.flatnonzero(new))[group]
+            else:
+                keep = np.bincount(group)[group] > 1
+            told.append((d[order][keep], dk[order][keep], places[order][keep]))
+        d, dk, places = (np.concatenate(x) for x in zip(*told))
+        order = np.lexsort((places, dk, d))
+        d, dk, places = d[order], dk[order], places[order].astype("<u4")
+        first = np.ones(len(d), bool)
+        first[1:] = (d[1:] != d[:-1]) | (dk[1:] != dk[:-1])
+        heads = np.flatnonzero(first)
+        body = pa.py_buffer(places.tobytes())
+        offsets = pa.py_buffer((4 * np.append(heads, len(d))).astype("<i4").tobytes())
+        lists = pa.Array.from_buffers(pa.binary(), len(heads), [None, offsets, body])
+        return pa.RecordBatch.from_arrays([pa.array(d[heads]), pa.array(dk[heads]), lists], ["d", "dk", "places"])
 
     def run(batches):
         rows, bucket = [], None
@@ -199,18 +238,27 @@ def answers(smaller_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 def gathered(packed: DataFrame, smaller_only: bool, column: str) -> DataFrame:
     """Shuffle messages by bucket, answer them, and collect a document's answers."""
     by_bucket = packed.repartition("bucket").sortWithinPartitions("bucket")
-    flat = by_bucket.mapInArrow(answers(smaller_only), FLAT)
-    return flat.groupBy("dk", "d").agg(F.collect_list("place").alias(column))
+    told = by_bucket.mapInArrow(answers(smaller_only), ANSWER)
+    return told.groupBy("dk", "d").agg(F.collect_list("places").alias(column))
+
+
+def joined(places: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(places), "<u4").astype(np.int64)
 
 
 def in_slices(batches: Iterator[pa.RecordBatch], work: Callable[[list[dict], list[np.ndarray]], list[dict]]) -> Iterator[pa.RecordBatch]:
     """Name the words of whole documents and hand them on in slices."""
     names = Names()
     schema = pa.schema(
-        [("bucket", pa.int32()), ("known", pa.bool_())]
-        + [(c, pa.binary()) for c in ("names", "checks", "owners", "places", "d", "dk")]
+        [("bucket", pa.int32()), ("known", pa.bool_()), ("size", pa.int32())]
+        + [(c, pa.binary()) for c in ("names", "docs", "dk", "places")]
     )
     rows, named, size = [], [], 0
+
+    def messages() -> pa.RecordBatch:
+        order = sorted(range(len(rows)), key=lambda i: (rows[i]["d"], rows[i]["dk"]))
+        return pa.RecordBatch.from_pylist(work([rows[i] for i in order], [named[i] for i in order]), schema)
+
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             for r in batch.slice(at, 64).to_pylist():
@@ -219,10 +267,10 @@ def in_slices(batches: Iterator[pa.RecordBatch], work: Callable[[list[dict], lis
                 named.append(np.fromiter(map(names.__getitem__, words), np.uint64, len(words)))
                 size += len(words)
             if size >= SLICE_WORDS:
-                yield pa.RecordBatch.from_pylist(work(rows, named), schema)
+                yield messages()
                 rows, named, size = [], [], 0
     if rows:
-        yield pa.RecordBatch.from_pylist(work(rows, named), schema)
+        yield messages()
 
 
 def ids_of(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
@@ -245,11 +293,11 @@ def without_repeats(
         raise ValueError(f"windows need {2 * REACH + LONGEST - 1} words at least")
     if n_buckets is None:
         size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
-        n_buckets = min(MOST_BUCKETS, max(64, size // BUCKET_BYTES))
+        n_buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, size // BUCKET_BYTES))
     keyed = docs.select(
         F.col(f"`{id_column}`").cast("bigint").alias("doc_id"),
         F.coalesce(F.col(f"`{id_column}`").cast("bigint"), F.lit(NO_ID)).alias("d"),
-        F.xxhash64(F.col(f"`{id_column}`").cast("bigint"), F.col(f"`{text}`")).alias("dk"),
+        F.xxhash64(F.col(f"`{text}`")).bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("dk"),
         F.col(f"`{text}`").cast("string").cast("binary").alias("utf8"),
     )
 
@@ -258,7 +306,8 @@ def without_repeats(
             part = Slice(named)
             at, names = part.cuts()
             own = part.owner[at]
-            return announced(names, np.zeros(len(at), np.uint32), own, at - part.start[own], *ids_of(rows), n_buckets, False)
+            buckets = ((names >> np.uint64(40)) % np.uint64(n_buckets)).astype(BUCKET)
+            return announced(names, buckets, own, at - part.start[own], *ids_of(rows), CUT_BYTES, False)
 
         yield from in_slices(batches, work)
 
@@ -267,7 +316,7 @@ def without_repeats(
             part = Slice(named)
             at, names = part.cuts()
             own = part.owner[at]
-            shared = np.concatenate([part.start[i] + np.array(r["places"], np.int64) for i, r in enumerate(rows)])
+            shared = np.concatenate([part.start[i] + joined(r["places"]) for i, r in enumerate(rows)])
             # All cuts of the document with the name of a shared one.
             tagged = mixed(names + factors(1, 3)[0] * own.astype(np.uint64))
             at = at[np.isin(tagged, tagged[np.isin(at, shared)])]
@@ -280,9 +329,9 @@ def without_repeats(
             np.add.at(edge, hi + 1, -1)
             starts = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
             own = part.owner[starts]
-            checks = (sequences(part.words, starts, width, 5) >> np.uint64(32)).astype(np.uint32)
             windows = sequences(part.words, starts, width, 2)
-            return announced(windows, checks, own, starts - part.start[own], *ids_of(rows), n_buckets, True)
+            buckets = (sequences(part.words, starts, width, 5) % np.uint64(n_buckets)).astype(BUCKET)
+            return announced(windows, buckets, own, starts - part.start[own], *ids_of(rows), 8, True)
 
         yield from in_slices(batches, work)
 
@@ -297,7 +346,7 @@ def without_repeats(
                     if r["starts"]:
                         named = np.fromiter(map(names.__getitem__, words), np.uint64, n)
                         every = sequences(named, np.arange(n - width + 1), width, 2)
-                        starts = np.flatnonzero(np.isin(every, every[np.array(r["starts"])]))
+                        starts = np.flatnonzero(np.isin(every, every[joined(r["starts"])]))
                         edge = np.zeros(n + 1, np.int64)
                         np.add.at(edge, starts, 1)
                         np.add.at(edge, starts + width, -1)
@@ -310,8 +359,8 @@ def without_repeats(
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out.values(), kinds)], list(out))
 
     # The texts are shuffled once, by document, for both joins.
-    shared = gathered(keyed.select("d", "dk", "utf8").mapInArrow(name_cuts, PACKED), False, "places")
+    shared = gathered(keyed.select("d", "dk", "utf8").mapInArrow(name_cuts, MESSAGE), False, "places")
     revealed = keyed.join(shared, ["dk", "d"])
-    covered = gathered(revealed.mapInArrow(name_windows, PACKED), True, "starts")
+    covered = gathered(revealed.mapInArrow(name_windows, MESSAGE), True, "starts")
     judged = keyed.join(covered, ["dk", "d"], "left")
     return judged.mapInArrow(remove, "doc_id bigint, n_words bigint, n_removed bigint, kept string")
