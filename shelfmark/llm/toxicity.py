@@ -14,6 +14,7 @@ import math
 import sys
 from collections import Counter
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -34,8 +35,10 @@ LEAST_LIFT = 4.0
 LEAST_Z = 6.0
 NEIGHBOURS = 15
 BLOCK = 64
-# Words remembered per task with their terms.
+FIRST_BLOCKS = 4
+# Terms that a task counts before it hands them on, and vectors whose scores it remembers.
 MEMO = 400_000
+SCORED = 50_000
 
 LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -45,33 +48,28 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def grams_of(word: bytes) -> set[str]:
-    marked = f"^{word.decode('utf-8', 'replace')}$"
+    """N-grams of a word; a blank marks its ends."""
+    marked = f" {word.decode('utf-8', 'replace')} "
     return {marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
 
 
-class Terms(dict):
-    """Word to the numbers of its terms; forgets all when it is full."""
+class Terms:
+    """Finds all terms in a text in one pass of an automaton."""
 
     def __init__(self, numbers: dict[str, int]):
-        self.numbers = numbers
-
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= MEMO:
-            self.clear()
-        get = self.numbers.get
-        found = self[word] = tuple(sorted(n for g in grams_of(word) if (n := get(g)) is not None))
-        return found
+        self.automaton = ahocorasick.Automaton()
+        for term, number in numbers.items():
+            self.automaton.add_word(term, number)
+        if numbers:
+            self.automaton.make_automaton()
+        self.empty = not numbers
 
     def count(self, text: bytes | None) -> dict[int, int]:
         words = words_of(text)
-        known = {w for w in set(words) if self[w]}
-        if not known:
+        if self.empty or not words:
             return {}
-        total: Counter[int] = Counter()
-        for word, n in Counter(w for w in words if w in known).items():
-            for term in self[word]:
-                total[term] += n
-        return total
+        marked = b" ".join([b"", *words, b""]).decode("utf-8", "replace")
+        return Counter(number for _, number in self.automaton.iter(marked))
 
 
 class Model:
@@ -94,16 +92,18 @@ class Model:
         kept.sort(key=lambda x: (int(x[1][0][x[1][1].argmax()]), x[0][0]))
         self.ids = np.array([e[0] for e, _ in kept], np.int64)
         self.labels = np.array([e[1] for e, _ in kept], np.float64)
-        n_blocks = -(-len(kept) // BLOCK)
-        self.most = np.zeros((len(terms), n_blocks))
-        postings: list[list[list[tuple[int, float]]]] = [[[] for _ in terms] for _ in range(n_blocks)]
-        for row, (_, (ids, weights)) in enumerate(kept):
-            for term, weight in zip(ids.tolist(), weights.tolist()):
-                postings[row // BLOCK][term].append((row % BLOCK, weight))
-                self.most[term, row // BLOCK] = max(self.most[term, row // BLOCK], weight)
-        self.postings = [
-            {t: (np.array([r for r, _ in p]), np.array([w for _, w in p])) for t, p in enumerate(block) if p} for block in postings
-        ]
+        # Postings by term, then example; a term's postings of a block lie between two offsets.
+        self.n_blocks = -(-len(kept) // BLOCK)
+        term = np.concatenate([v[0] for _, v in kept] or [np.empty(0, np.int64)])
+        self.weights = np.concatenate([v[1] for _, v in kept] or [np.empty(0)])
+        self.rows = np.repeat(np.arange(len(kept)), [len(v[0]) for _, v in kept])
+        order = np.lexsort((self.rows, term))
+        term, self.rows, self.weights = term[order], self.rows[order], self.weights[order]
+        cell = term * self.n_blocks + self.rows // BLOCK
+        self.offsets = np.searchsorted(cell, np.arange(len(terms) * self.n_blocks + 1))
+        self.most = np.zeros(len(terms) * self.n_blocks)
+        np.maximum.at(self.most, cell, self.weights)
+        self.most = self.most.reshape(len(terms), self.n_blocks)
         self.steps = np.array([0.0]), np.array([prior])
         if len(kept):
             raw = [self.vote(*v, without=row)[0] for row, (_, v) in enumerate(kept)]
@@ -120,23 +120,33 @@ class Model:
         if not len(ids) or not len(self.labels):
             return []
         bounds = weights @ self.most[ids]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < best[-1][0] - 1e-9:
-                break
-            scores = np.zeros(BLOCK)
-            index = self.postings[block]
-            for term, weight in zip(ids.tolist(), weights.tolist()):
-                if term in index:
-                    rows, own = index[term]
-                    scores[rows] += weight * own
-            for r in np.flatnonzero(scores > 0).tolist():
-                if (row := block * BLOCK + r) != without:
-                    best.append((round(float(scores[r]), 12), row))
-            best.sort(key=lambda x: (-x[0], x[1]))
-            del best[k:]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        # The blocks of the largest bounds first; then all others that can still reach the k-th.
+        best = self.closest(order[:FIRST_BLOCKS], ids, weights, k, without)
+        rest = order[FIRST_BLOCKS:]
+        if len(best) == k:
+            rest = rest[bounds[rest] >= best[-1][0] - 1e-9]
+        if len(rest):
+            best = sorted(best + self.closest(rest, ids, weights, k, without), key=lambda x: (-x[0], x[1]))[:k]
         return best
 
+    def closest(self, blocks: np.ndarray, ids: np.ndarray, weights: np.ndarray, k: int, without: int) -> list[tuple[float, int]]:
+        """The k largest cosines among the examples of some blocks."""
+        cells = (ids[:, None] * self.n_blocks + blocks[None, :]).ravel()
+        sizes = self.offsets[cells + 1] - self.offsets[cells]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1]) + np.repeat(self.offsets[cells] - (ends - sizes), sizes)
+        parts = self.weights[at] * np.repeat(np.repeat(weights, len(blocks)), sizes)
+        scores = np.bincount(self.rows[at], parts, minlength=len(self.labels)).round(12)
+        if without >= 0:
+            scores[without] = 0
+        found = np.flatnonzero(scores > 0)
+        if len(found) > k:
+            found = found[scores[found] >= np.partition(scores[found], -k)[-k]]
+        found = found[np.lexsort((found, -scores[found]))][:k]
+        return list(zip(scores[found].tolist(), found.tolist()))
+
     def vote(self, ids: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, list[tuple[float, int]]]:
         """Votes weighted by closeness, cosine over distance; a faint prior vote for clean."""
         near = self.nearest(ids, weights, NEIGHBOURS, without)
@@ -280,9 +290,19 @@ def with_toxicity(docs: DataFrame, model: Model, text: str = "text", keep: list[
 
     def make():
         terms = Terms(model.numbers)
+        known: dict[tuple, tuple[float, list[dict]]] = {}
+
+        def one(text):
+            counts = terms.count(text)
+            key = tuple(sorted(counts.items()))
+            if key not in known:
+                if len(known) >= SCORED:
+                    known.clear()
+                known[key] = model.score(counts)
+            return known[key]
 
         def score(texts):
-            found = [model.score(terms.count(t)) for t in texts]
+            found = [one(t) for t in texts]
             return [pa.array([x[0] for x in found], pa.float64()), pa.array([x[1] for x in found], kind)]
 
         return score
