@@ -42,6 +42,56 @@ def op1_secret_scan(spark, sf_dir):
     )
 
 
+def secret_sql() -> str:
+    """Windows are judged one by one here, from the counts of their characters."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    patterns = [p for _, p, _, _ in secrets.BASE] + [c.pattern for c in secrets.CLASSES]
+    groups = [g for _, _, g, _ in secrets.BASE] + [0] * len(secrets.CLASSES)
+    found = " UNION ALL ".join(
+        f"""SELECT doc_id, {kind} AS kind, unnest(range(1, len(m) + 1)) AS i, unnest(m) AS m, unnest(v) AS v, unnest(gaps[1:len(m)]) AS gap
+        FROM (SELECT doc_id, regexp_extract_all(t, {quote(p)}) AS m, regexp_extract_all(t, {quote(p)}, {g}) AS v,
+          string_split_regex(t, {quote(p)}) AS gaps FROM texts)"""
+        for kind, (p, g) in enumerate(zip(patterns, groups))
+    )
+    least = " ".join(f"WHEN {kind} THEN {n}" for kind, (_, _, _, n) in enumerate(secrets.BASE))
+    first = len(secrets.BASE)
+    allowed = " OR ".join(f"regexp_matches(m, {quote(a)})" for a in secrets.ALLOWED)
+    hot = " UNION ALL ".join(
+        f"""SELECT doc_id, kind, i, lo, s, {c.window} AS w FROM (
+          SELECT doc_id, kind, i, lo, unnest(range(1, length(m) - {c.window - 2})) AS s, m FROM candidates WHERE kind = {kind})
+        WHERE list_sum(list_transform(map_values(list_aggregate(string_split(substr(m, s, {c.window}), ''), 'histogram')),
+          lambda n: {c.table[1:]}[CAST(n AS BIGINT)])) <= {c.most}"""
+        for kind, c in enumerate(secrets.CLASSES, first)
+    )
+    names = ", ".join(quote(k) for k in secrets.KINDS)
+    return f"""
+WITH
+texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({found}),
+placed AS (SELECT *, hi - length(m) AS lo FROM (
+  SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS hi FROM found)),
+base AS (SELECT doc_id, kind, lo, hi FROM placed WHERE kind < {first} AND length(v) >= CASE kind {least} END),
+candidates AS (SELECT * FROM placed WHERE kind >= {first} AND NOT ({allowed})),
+hot AS ({hot}),
+islands AS (SELECT *, sum(CASE WHEN s <= before + w THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, kind, i ORDER BY s) AS island
+  FROM (SELECT *, lag(s) OVER (PARTITION BY doc_id, kind, i ORDER BY s) AS before FROM hot)),
+merged AS (SELECT doc_id, kind, lo + min(s) - 1 AS lo, lo + max(s) - 1 + w AS hi FROM islands GROUP BY doc_id, kind, i, lo, w, island),
+added AS (SELECT * FROM merged m WHERE NOT EXISTS (
+  SELECT 1 FROM base b WHERE b.doc_id = m.doc_id AND b.lo <= m.lo AND b.hi >= m.hi)),
+every AS (SELECT *, true AS is_base FROM base UNION ALL SELECT *, false FROM added),
+told AS (SELECT *, [{names}][kind + 1] || ':' || CAST(lo AS BIGINT) || ':' || CAST(hi AS BIGINT) AS name FROM every),
+joined AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+  count(*) FILTER (kind = 2) AS n_hex, string_agg(name, ',' ORDER BY lo, kind, hi) FILTER (is_base) AS base,
+  string_agg(name, ',' ORDER BY lo, kind, hi) AS spans FROM told GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN joined USING (doc_id)
+"""
+
+
+ORACLE["op1_secret_scan"] = secret_sql()
+
+
 @query
 def op2_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

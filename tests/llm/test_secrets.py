@@ -2,9 +2,11 @@ import hashlib
 import math
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.llm import secrets as s
+from shelfmark.llm.queries import ORACLE
 
 BLOB = "k7Qz9xWp3LmT5vRb8NcY2sJd4HfG6aE1"
 CASES = [
@@ -89,3 +91,14 @@ def test_no_python_and_no_shuffle(make):
 
 def test_empty_table(make):
     assert s.with_secrets(make()).count() == 0
+
+
+def test_sql_says_the_same():
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(CASES)))
+    spans = dict(con.execute(f"SELECT doc_id, spans FROM ({ORACLE['op1_secret_scan']})").fetchall())
+    for i, text in enumerate(CASES):
+        every = sorted(sum(brute(text), []))
+        assert spans[i] == ",".join(f"{s.KINDS[kind]}:{lo}:{hi}" for lo, kind, hi in every)
