@@ -448,6 +448,9 @@ WITH keyed AS (
 SELECT page_key, page_id, n_chars FROM keyed
 QUALIFY row_number() OVER (PARTITION BY page_key
   ORDER BY CASE WHEN page_id % 5 <> 0 THEN page_id // 10 END DESC NULLS LAST, page_id DESC) = 1""",
+    "saved_page_files": r"""
+SELECT regexp_replace(replace(replace(url, 'https://', ''), 'http://', ''), '[\\/*?:"<>|]', '_', 'g') || '_page=' || page_id AS page_key,
+  page_id AS page, md5(html) AS digest FROM pages""",
     "entity_profile": f"""
 WITH {REVIEWS},
 per_page AS (

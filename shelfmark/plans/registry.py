@@ -555,6 +555,19 @@ def latest_pages(spark, sf_dir):
     return copies.latest_copies(narrow, ["page_key"], "saved_at", "page_id").drop("saved_at")
 
 
+@query
+def saved_page_files(spark, sf_dir):
+    """Pages saved as a file each, those of one kind read again by a pattern."""
+    folder = work_folder(spark, "files")
+    pages = derived.table(spark, sf_dir, "pages")
+    numbered = F.create_map(F.lit("page"), F.col("page_id").cast("string"))
+    keyed = pages.select(urls.readable_page_key(F.col("url"), numbered).alias("page_key"), F.col("html").alias("value"))
+    keyed.write.partitionBy("page_key").text(f"{folder}/pages")
+    back = tables.read_saved_pages(spark, f"{folder}/pages", "*.txt")
+    # The writer ends each file with a line feed.
+    return back.select("page_key", "page", F.md5(F.regexp_replace("html", r"\n\z", "")).alias("digest"))
+
+
 @query
 def entity_profile(spark, sf_dir):
     return pagecheck.entity_profile(derived.state_pages(spark, sf_dir, "entities")).drop("page_url", "shape")

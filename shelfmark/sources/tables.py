@@ -89,11 +89,13 @@ def empty_reviews(spark: SparkSession, site: Site = DEFAULT_SITE) -> DataFrame:
 def read_saved_pages(spark: SparkSession, folder: str, pattern: str = "*.html") -> DataFrame:
     """Saved pages, one file each: ``page_key`` is the file name, ``page`` the number in it.
 
+    Where files lie in folders named ``page_key=...``, as Spark writes them, that is the key.
     Invalid bytes are replaced, not fatal. Many small files are slow to list at scale: write the
     result once as parquet and read that afterwards.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    key = F.regexp_replace(F.url_decode(F.regexp_extract("path", r"([^/]+)$", 1)), r"\.html?$", "")
+    named = F.regexp_replace(F.url_decode(F.regexp_extract("path", r"([^/]+)$", 1)), r"\.html?$", "")
+    key = F.col("page_key").cast("string") if "page_key" in files.columns else named
     return files.select(
         key.alias("page_key"),
         F.regexp_extract(key, r"_page=(\d+)$", 1).try_cast("int").alias("page"),
