@@ -136,7 +136,9 @@ def without_repeated_lines(
     starts = later_copies(keyed.select("dk", "d", "t"), min_lines, long_line)
     entry = F.struct("i", "h", "upto", "cut", "from_d", "from_i")
     per_doc = starts.groupBy(*DOC).agg(F.collect_list(entry).alias("starts"), F.max("cut").alias("any_cut"))
-    judged = keyed.join(per_doc.filter("any_cut").select(*DOC, "starts"), DOC, "left").select("row", "t", "starts")
+    # The text is shuffled once, inside the row.
+    judged = keyed.drop("t").join(per_doc.filter("any_cut").select(*DOC, "starts"), DOC, "left")
+    judged = judged.select("row", F.col("row").getField(text).cast("string").alias("t"), "starts")
     added = "kept string, n_lines bigint, n_removed bigint, runs array<struct<lo:int,hi:int,from_doc:bigint,from_line:int>>"
     schema = T.StructType([judged.schema["row"], *T._parse_datatype_string(added).fields])
 
