@@ -1,8 +1,8 @@
 """Near-duplicates by SimHash with pivot distance tables.
 
 Fingerprints of word shingles are reduced to distinct ones. Two fingerprints within the bit limit k
-agree on at least two of k + 2 bit blocks, so distinct fingerprints meet under the values of each
-pair of blocks. In such a bucket the Hamming distances of every fingerprint to the reference
+agree on at least t of k + t bit blocks, so distinct fingerprints meet under the values of every t
+blocks; t follows from their number, so that buckets stay small. In such a bucket the Hamming distances of every fingerprint to the reference
 fingerprints (pivots), computed once beforehand, are compared: by the triangle inequality a pair
 whose distances to any pivot differ by more than k is discarded unseen, and only survivors are
 verified. A bucket gives a spanning forest of its links, not all pairs.
@@ -102,20 +102,32 @@ def forest(fps: np.ndarray, tables: np.ndarray, max_bits: int) -> tuple[np.ndarr
     return fps[child], fps[label[child]]
 
 
-def links(fingerprints: DataFrame, max_bits: int = 3, chunk: int = CHUNK, n_pivots: int = N_PIVOTS) -> DataFrame:
+def agreeing_blocks(n: int, max_bits: int) -> int:
+    """Fewest blocks, two at least, whose values tell n fingerprints apart; the links stay the same."""
+    return next(t for t in range(2, 64) if 2 ** (64 * t / (max_bits + t)) >= n or max_bits + t >= 12)
+
+
+def links(
+    fingerprints: DataFrame,
+    max_bits: int = 3,
+    chunk: int = CHUNK,
+    n_pivots: int = N_PIVOTS,
+    agreeing: int | None = None,
+) -> DataFrame:
     """Links (a, b) among distinct fingerprints ``fp`` that give the components of all links.
 
     Every pair of at most ``max_bits`` differing bits shares a bucket, so no link between
     components is lost at any size of a bucket.
     """
-    n_blocks = max_bits + 2
+    agreeing = agreeing_blocks(fingerprints.count(), max_bits) if agreeing is None else agreeing
+    n_blocks = max_bits + agreeing
     edges = [64 * i // n_blocks for i in range(n_blocks + 1)]
     masks = [((1 << (hi - lo)) - 1) << lo for lo, hi in zip(edges, edges[1:])]
-    pairs = [signed(x | y) for x, y in itertools.combinations(masks, 2)]
+    together = [signed(sum(some)) for some in itertools.combinations(masks, agreeing)]
     refs = [signed(p) for p in pivots(n_pivots)]
     fp = F.col("fp")
     keyed = fingerprints.select(
-        "fp", F.posexplode(F.array(*[fp.bitwiseAND(F.lit(m)) for m in pairs])).alias("blocks", "value")
+        "fp", F.posexplode(F.array(*[fp.bitwiseAND(F.lit(m)) for m in together])).alias("blocks", "value")
     )
     sizes = keyed.groupBy("blocks", "value").agg(F.count("*").alias("n")).filter("n > 1")
     # Chunks c of a bucket: a row goes to the groups {c, other} for every other chunk.

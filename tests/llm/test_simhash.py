@@ -53,19 +53,19 @@ def near_prints(rng, n):
     return out
 
 
-def linked(spark, prints, max_bits, chunk):
+def linked(spark, prints, max_bits, chunk, agreeing=None):
     df = spark.createDataFrame([(simhash.signed(p),) for p in set(prints)], "fp bigint")
-    pairs = [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in simhash.links(df, max_bits, chunk=chunk).collect()]
+    pairs = [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in simhash.links(df, max_bits, chunk=chunk, agreeing=agreeing).collect()]
     assert all((a ^ b).bit_count() <= 64 and a != b for a, b in pairs)
     return pairs
 
 
 def test_links_give_all_components(spark):
     rng = random.Random(11)
-    for chunk in (4096, 5):
+    for chunk, agreeing in ((4096, None), (5, None), (4096, 4)):
         # Many prints within a few bits of each other fill buckets beyond the chunk.
         prints = sorted(set(near_prints(rng, 400)))
-        pairs = linked(spark, prints, 3, chunk)
+        pairs = linked(spark, prints, 3, chunk, agreeing)
         place = {p: i for i, p in enumerate(prints)}
         label = list(range(len(prints)))
 
@@ -80,6 +80,10 @@ def test_links_give_all_components(spark):
         assert [root(i) for i in range(len(prints))] == brute_classes(prints, 3)
 
 
+def test_blocks_follow_the_number_of_fingerprints():
+    assert [simhash.agreeing_blocks(n, 3) for n in (0, 10**5, 10**8, 3 * 10**10)] == [2, 2, 3, 4]
+
+
 def test_forest_is_small():
     rng = random.Random(5)
     base = rng.getrandbits(64)
