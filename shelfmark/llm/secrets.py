@@ -69,15 +69,30 @@ KINDS = [kind for kind, *_ in BASE] + [c.name for c in CLASSES]
 SPANS = "array<struct<lo:int,kind:int,hi:int>>"
 
 
+# Matches whose places are added up in one list.
+TOGETHER = 500
+
+
 def placed(i: int) -> Column:
-    """Start and end of every match of pattern i, from the gaps before the matches and the matches."""
+    """Start and end of every match of pattern i, from the gaps before the matches and the matches.
+
+    Lists grow by copying, so long ones are made of parts: places within a part first, then the
+    parts' own places.
+    """
+    places = "array<struct<lo:int,hi:int>>"
     return F.expr(
-        f"""if(size(found_{i}) = 0, cast(array() as array<struct<lo:int,hi:int>>), aggregate(
-        zip_with(slice(gaps_{i}, 1, size(found_{i})), found_{i}, (g, f) -> struct(length(g) as g, length(f) as f)),
-        struct(0 as upto, cast(array() as array<struct<lo:int,hi:int>>) as spans),
-        (s, x) -> struct(s.upto + x.g + x.f as upto,
-          array_append(s.spans, struct(s.upto + x.g as lo, s.upto + x.g + x.f as hi)) as spans),
-        s -> s.spans))"""
+        f"""if(size(found_{i}) = 0, cast(array() as {places}), flatten(aggregate(
+        transform(
+          transform(sequence(0, (size(found_{i}) - 1) div {TOGETHER}), n -> zip_with(
+            slice(gaps_{i}, n * {TOGETHER} + 1, least({TOGETHER}, size(found_{i}) - n * {TOGETHER})),
+            slice(found_{i}, n * {TOGETHER} + 1, {TOGETHER}), (g, f) -> struct(length(g) as g, length(f) as f))),
+          part -> aggregate(part, struct(0 as upto, cast(array() as {places}) as spans),
+            (s, x) -> struct(s.upto + x.g + x.f as upto,
+              array_append(s.spans, struct(s.upto + x.g as lo, s.upto + x.g + x.f as hi)) as spans))),
+        struct(0 as upto, cast(array() as array<{places}>) as parts),
+        (s, part) -> struct(s.upto + part.upto as upto, array_append(s.parts,
+          transform(part.spans, p -> struct(s.upto + p.lo as lo, s.upto + p.hi as hi))) as parts),
+        s -> s.parts)))"""
     )
 
 
@@ -115,8 +130,8 @@ def with_secrets(docs: DataFrame, text: str = "text", allowed: list[str] | None
 
     Base spans are the leftmost matches of each kind that do not overlap, without those that are too
     short. Added spans are merged windows of high entropy; the allow-list suppresses only these. A
-    null text counts as empty and has no span. Very long texts take linear time as long as they
-    hold few matches. Repeated rows get equal results; an empty table gives none.
+    null text counts as empty and has no span. Very long texts with very many matches are added up
+    in parts. Repeated rows get equal results; an empty table gives none.
     """
     patterns = [p for _, p, _, _ in BASE] + [c.pattern for c in CLASSES]
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])

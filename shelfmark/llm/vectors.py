@@ -63,8 +63,11 @@ def orders(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :prefix]
 
 
-def footrule(queries: np.ndarray, own: np.ndarray, n_pivots: int, wanted: int) -> np.ndarray:
-    """For every query the rows of the ``wanted`` closest orders of the block, from posting lists."""
+def footrule(queries: np.ndarray, own: np.ndarray, n_pivots: int, wanted: int) -> list[np.ndarray]:
+    """For every query the rows of the ``wanted`` closest orders of the block, from posting lists.
+
+    Rows that are as close as the last of them come along, so equal vectors stay together.
+    """
     prefix = own.shape[1]
     row, place = np.divmod(np.arange(own.size), prefix)
     by_pivot = np.argsort(own.ravel(), kind="stable")
@@ -81,8 +84,9 @@ def footrule(queries: np.ndarray, own: np.ndarray, n_pivots: int, wanted: int) -
             p = asked_place[a]
             distance[asked_row[a], rows] += np.abs(p - places) - (prefix - p) - (prefix - places)
     if wanted >= len(own):
-        return np.broadcast_to(np.arange(len(own)), distance.shape)
-    return np.argpartition(distance, wanted - 1, axis=1)[:, :wanted]
+        return [np.arange(len(own))] * len(queries)
+    last = np.partition(distance, wanted - 1, axis=1)[:, wanted - 1]
+    return [np.flatnonzero(d <= upto) for d, upto in zip(distance, last)]
 
 
 def nearest(

@@ -28,6 +28,7 @@ CASES = [
     "example-" + BLOB,
     "9" * 60,
     (BLOB + " ") * 40,
+    " ".join(f"token=abcdefgh{i} \n x" for i in range(2600)),
 ]
 
 
