@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -41,5 +42,11 @@ def work_folder(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="shelfmark-")
+        root = _local_root().name
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_root() -> tempfile.TemporaryDirectory:
+    """One folder per process, removed when it ends."""
+    return tempfile.TemporaryDirectory(prefix="shelfmark-", ignore_cleanup_errors=True)
