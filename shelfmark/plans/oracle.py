@@ -264,10 +264,22 @@ boxes AS (
   FROM rv)
 """
 
+QUARANTINE = f"""
+WITH {REVIEWS}, {SHAPED.format(shape="mixed")},
+all_pages AS (SELECT DISTINCT book_no, page, (book_no + page) % 8 AS kind FROM rv),
+good AS (SELECT DISTINCT book_no, page FROM extracted)
+SELECT book_no, page,
+  CASE WHEN kind IN (0, 3) THEN 'bad_state' WHEN kind IN (1, 5) THEN 'no_state' ELSE 'no_reviews' END AS reason,
+  kind NOT IN (1, 5) AS has_state
+FROM all_pages LEFT JOIN good g USING (book_no, page) WHERE kind IN (0, 1, 2, 3, 5) OR g.page IS NULL"""
+
 ORACLE: dict[str, str] = {
     "booklist_alias_required": """
 SELECT CAST(p_partkey AS VARCHAR) AS book_id, p_name AS title, p_brand AS author, CAST(p_size AS BIGINT) AS p_size,
   CAST(NULL AS VARCHAR) AS book_url FROM part""",
+    "booklist_csv": """
+SELECT CAST(p_partkey AS VARCHAR) AS book_id, p_name || ' "new", vol. 1' || chr(10) || p_type AS title,
+  CASE WHEN p_partkey % 9 <> 4 THEN p_brand END AS author, CAST(p_size AS VARCHAR) AS p_size FROM part""",
     "search_key_encoded": f"""
 WITH asked AS (SELECT p_partkey, p_name || ' & sons* ~' || p_type || ' ' || p_brand AS q FROM part),
 coded AS (SELECT *, 'q=' || replace(url_encode(q), '%20', '+') AS parameters FROM asked),
@@ -343,14 +355,8 @@ FROM candidates""",
     "reviews_inline_data": _extraction("'data'"),
     "reviews_dehydrated": _extraction("'queries'"),
     "reviews_fallback_mix": _extraction("mixed"),
-    "quarantine_pages": f"""
-WITH {REVIEWS}, {SHAPED.format(shape="mixed")},
-all_pages AS (SELECT DISTINCT book_no, page, (book_no + page) % 8 AS kind FROM rv),
-good AS (SELECT DISTINCT book_no, page FROM extracted)
-SELECT book_no, page,
-  CASE WHEN kind IN (0, 3) THEN 'bad_state' WHEN kind IN (1, 5) THEN 'no_state' ELSE 'no_reviews' END AS reason,
-  kind NOT IN (1, 5) AS has_state
-FROM all_pages LEFT JOIN good g USING (book_no, page) WHERE kind IN (0, 1, 2, 3, 5) OR g.page IS NULL""",
+    "quarantine_pages": QUARANTINE,
+    "quarantine_written": f"SELECT reason, book_no, count(*) AS n_pages FROM ({QUARANTINE}) GROUP BY ALL",
     "odd_state_reviews": f"""
 WITH {REVIEWS}, {SHAPED.format(shape="mixed")}
 SELECT book_no, page, pos, reviewer_id, reviewer_name, review_rating FROM extracted WHERE (book_no + page) % 8 IN (4, 6, 7)""",

@@ -64,6 +64,21 @@ def booklist_alias_required(spark, sf_dir):
     return tables.unlinked(listed)
 
 
+@query
+def booklist_csv(spark, sf_dir):
+    """A book list as a CSV file, with quotes and line ends in its fields, read by its header."""
+    folder = work_folder(spark, "books")
+    part = derived.table(spark, sf_dir, "part")
+    listed = part.select(
+        F.col("p_partkey").alias("Book ID"),
+        F.concat("p_name", F.lit(' "new", vol. 1\n'), "p_type").alias("Title"),
+        F.when(F.col("p_partkey") % 9 != 4, F.col("p_brand")).alias("Author"),
+        "p_size",
+    )
+    sinks.write_csv(listed, f"{folder}/books")
+    return tables.read_book_list(spark, f"{folder}/books")
+
+
 @query
 def search_key_encoded(spark, sf_dir):
     part = derived.table(spark, sf_dir, "part")
@@ -304,6 +319,14 @@ def quarantine_pages(spark, sf_dir):
     return bad.select("book_no", "page", "reason", F.char_length("state_json").isNotNull().alias("has_state"))
 
 
+@query
+def quarantine_written(spark, sf_dir):
+    """The pages without reviews, written by reason and read again."""
+    folder = work_folder(spark, "quarantine")
+    sinks.write_quarantine(pagestate.with_reviews(_bad_pages(spark, sf_dir)), f"{folder}/pages")
+    return spark.read.parquet(f"{folder}/pages").groupBy("reason", "book_no").agg(F.count("*").alias("n_pages"))
+
+
 @query
 def odd_state_reviews(spark, sf_dir):
     """What the pages of which some states are odd still give."""
