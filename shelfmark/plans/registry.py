@@ -487,7 +487,7 @@ def ordered_csv(spark, sf_dir):
     folder = work_folder(spark, "ordered")
     table = derived.flat_table(spark, sf_dir, with_text=False).select("event_id", "book_id")
     sinks.write_csv(table, f"{folder}/csv", order=["event_id"])
-    rows = tables.read_csv(spark, f"{folder}/csv", multiLine="false").select(
+    rows = tables.read_csv(spark, f"{folder}/csv", multi_line=False).select(
         F.col("event_id").cast("bigint"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at")
     )
     before = F.lag("event_id").over(Window.partitionBy("file").orderBy("at"))

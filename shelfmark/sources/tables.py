@@ -12,12 +12,16 @@ from shelfmark.schema import BOOK_COLUMNS, HEADER_ALIASES, RAW_RATING, required_
 from shelfmark.site import DEFAULT_SITE, Site
 
 # Quotes are doubled inside quoted fields, which may span lines.
-CSV = {"header": "true", "escape": '"', "multiLine": "true"}
+CSV = {"header": "true", "escape": '"'}
 
 
-def read_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """All columns as strings, by header name; empty fields are null."""
-    return spark.read.options(**{**CSV, **options}).csv(path)
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All columns as strings, by header name; empty fields are null.
+
+    Fields may span lines, so a file is read by one task. Where they do not, ``multi_line=False``
+    lets Spark split large files.
+    """
+    return spark.read.options(**CSV, multiLine=str(multi_line).lower()).csv(path)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -47,8 +51,8 @@ def unlinked(books: DataFrame, site: Site = DEFAULT_SITE) -> DataFrame:
     return book_list(books).withColumn(site.url_column, F.lit(None).cast("string"))
 
 
-def read_book_list(spark: SparkSession, path: str) -> DataFrame:
-    return book_list(read_csv(spark, path))
+def read_book_list(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    return book_list(read_csv(spark, path, multi_line))
 
 
 def linked_books(spark: SparkSession, books: DataFrame | str, site: Site = DEFAULT_SITE) -> DataFrame:

@@ -30,6 +30,16 @@ def test_book_list_headers(spark, tmp_path):
         tables.read_book_list(spark, write(tmp_path, "c.csv", "book_id,title\n1,2\n"))
 
 
+def test_large_lists_without_line_breaks_are_split(spark, tmp_path):
+    rows = "".join(f'{i},"T, {i}",A\n' for i in range(20000))
+    path = write(tmp_path, "b.csv", "book_id,title,author\n" + rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")
+    df = tables.read_book_list(spark, path, multi_line=False)
+    parts = df.groupBy(F.spark_partition_id()).count().count()
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert parts > 3 and df.count() == 20000 and df.filter("title = 'T, 7'").first().book_id == "7"
+
+
 def test_linked_list_from_table_or_path(spark, tmp_path):
     path = write(tmp_path, "b.csv", "book_id,title,author,book_url\n1,T,A,u\n2,T,A,\n")
     df = tables.linked_books(spark, path)
