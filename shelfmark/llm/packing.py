@@ -10,8 +10,10 @@ the fullest ones, so that one window at most stays partly filled.
 from __future__ import annotations
 
 import json
+import re
 import sys
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,7 @@ def byte_names() -> dict[str, int]:
 def encoding(path: str) -> tiktoken.Encoding:
     """The byte-level BPE vocabulary of a tokenizers file, whose ids follow the order of its merges.
 
-    Strings of special tokens are ordinary text.
+    It has no added tokens; ``encoder`` splits texts at those.
     """
     with open(path, encoding="utf-8") as file:
         model = json.load(file)["model"]
@@ -58,6 +60,32 @@ def encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def encoder(path: str) -> Callable[[str], np.ndarray]:
+    """The ids of a text as the tokenizers file gives them, without ids put around the text.
+
+    Added tokens are cut out first, the leftmost and of those the longest; what lies between them is
+    encoded piece by piece. Files whose added tokens take in blanks or need word ends are refused.
+    """
+    ordinary = encoding(path).encode_to_numpy
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    if any(a.get(flag) for a in added for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens with single_word, lstrip or rstrip")
+    ids = {a["content"]: a["id"] for a in added}
+    if not ids:
+        return ordinary
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(ids, key=len, reverse=True))) + ")").split
+
+    def encode(text: str) -> np.ndarray:
+        parts = cut(text)
+        if len(parts) == 1:
+            return ordinary(text)
+        # Every second part is an added token.
+        return np.concatenate([np.array([ids[p]], np.uint32) if i % 2 else ordinary(p) for i, p in enumerate(parts) if p])
+
+    return encode
+
+
 class Packer:
     """Online packing of one partition; ``add`` and ``finish`` give closed windows, lists of pieces
     (document, start, ids)."""
@@ -125,13 +153,13 @@ def pack(
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     ``tokenizer`` is the path of a byte-level tokenizers file that every executor can read. A document
-    is its text's ids and ``end_id``; a null text counts as empty, so every row has one piece at
+    is its text's ids, those of added tokens in it too, and ``end_id``; a null text counts as empty, so every row has one piece at
     least. Each partition is packed by itself, without a shuffle; sequence ids are unique over all.
     Repeated rows and rows with a null id are packed like others; an empty table gives no piece.
     """
 
     def run(batches):
-        encode = encoding(tokenizer).encode_to_numpy
+        encode = encoder(tokenizer)
         packer, n_closed = Packer(window), 0
         base = TaskContext.get().partitionId() << SEQUENCE_BITS
         rows: list[tuple] = []

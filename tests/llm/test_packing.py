@@ -93,3 +93,27 @@ def test_null_ids_and_empty_table(make):
 def test_other_windows(make, window):
     rows = packing.pack(make(*((i, "one two three") for i in range(50))).coalesce(1), PATH, window=window).collect()
     assert sum(r["length"] for r in rows) == 50 * (len(tokenizer.encode("one two three").ids) + 1)
+
+
+# The tokenizer as the file has it: strings of added tokens are those tokens.
+default = Tokenizer.from_file(PATH)
+encode = packing.encoder(PATH)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=8), st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "\n\n"])), max_size=8).map("".join))
+def test_added_tokens_keep_their_ids(text):
+    assert encode(text).tolist() == default.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_hold_added_tokens(make):
+    texts = ["a<|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n", "word <|endoftext|>" * 900]
+    rows = packing.pack(make(*enumerate(texts)).coalesce(1), PATH).collect()
+    assert default.encode(texts[0], add_special_tokens=False).ids == [64, 50256, 275]
+    for i, text in enumerate(texts):
+        ids = [*default.encode(text, add_special_tokens=False).ids, 0]
+        pieces = sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["start"])
+        assert sum(r["length"] for r in pieces) == len(ids)
+        for r in pieces:
+            piece = np.array(ids[r["start"] : r["start"] + r["length"]], "<u4")
+            assert r["doc_tokens"] == len(ids) and zlib.crc32(piece.tobytes()) == r["ids_crc32"]
