@@ -1,7 +1,8 @@
 """License scan in column expressions only, by sentence rules.
 
 A text is cut into sentences, which are normalised: lower case, letters and digits only. Normalised
-sentences are looked up among known license sentences; the known ones give a sequence of sentence
+sentences are looked up among known license sentences, and so are runs of pieces that line breaks
+made of one sentence, as in wrapped texts and comments; the known ones give a sequence of sentence
 identifiers per document. Ordered rules then replace identifier sequences by licenses, the most
 specific rule first; identifiers that no rule takes stay as unresolved.
 """
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.once import compute_once
@@ -146,6 +147,10 @@ RULES = [
 ]
 # Sentences end at a line break or behind a mark that white space follows.
 SENTENCE_END = r"(?<=[.;:!?])[\x20\x09]+|[\x0A\x0D]+"
+# A piece that ends in such a mark is not continued by the next one.
+ENDED = r"[.;:!?][\x20\x09]*$"
+# List labels and comment leaders with letters or digits, which are not part of the sentence behind them.
+LABEL = r"^[^a-z0-9]*(?:(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})\)|(?:dnl|rem)[\x20\x09])[^a-z0-9]*(?=[a-z0-9])"
 
 
 def normalised(sentence: str) -> str:
@@ -162,25 +167,79 @@ def known_sentences() -> dict[str, str]:
     return known
 
 
+def openings(known: dict[str, str]) -> list[str]:
+    """The beginnings of known sentences that more words must follow."""
+    words = [s.split(" ") for s in known]
+    return sorted({" ".join(w[:n]) for w in words for n in range(1, len(w))})
+
+
+def looked_up(known: dict[str, str]) -> Column:
+    """(place, id, n) of every known sentence: the longest that begins at a place and has n pieces.
+
+    Only a piece that opens a known sentence is carried on, and only while the run stays an opening.
+    """
+    table = F.create_map(*[F.lit(x) for item in known.items() for x in item])
+    opening = openings(known)
+    most = max(len(s.split(" ")) for s in known)
+
+    def carried(run: Column, stop: Column) -> Column:
+        return F.when(~stop & run.isin(opening), run)
+
+    def step(state: Column, piece: Column) -> Column:
+        run = F.concat(state["run"], F.lit(" "), piece["words"])
+        found = F.when(run.isNotNull(), F.element_at(table, run))
+        return F.struct(
+            carried(run, piece["stop"]).alias("run"),
+            F.coalesce(found, state["id"]).alias("id"),
+            F.when(found.isNotNull(), state["upto"] + 1).otherwise(state["n"]).alias("n"),
+            (state["upto"] + 1).alias("upto"),
+        )
+
+    def begun(piece: Column, place: Column) -> Column:
+        alone = F.element_at(table, piece["words"])
+        run = carried(piece["words"], piece["stop"])
+        start = F.struct(run.alias("run"), alone.alias("id"), F.lit(1).alias("n"), F.lit(1).alias("upto"))
+        longest = F.aggregate(F.slice("sentences", place + 2, F.lit(most - 1)), start, step)
+        single = F.struct(place.alias("place"), alone.alias("id"), F.lit(1).alias("n"))
+        several = F.transform(F.array(longest), lambda x: F.struct(place.alias("place"), x["id"].alias("id"), x["n"].alias("n")))
+        return F.when(run.isNotNull(), F.get(several, F.lit(0))).otherwise(single)
+
+    return F.filter(F.transform("sentences", begun), lambda x: x["id"].isNotNull())
+
+
+def outermost(most: int) -> Column:
+    """The entries of ``looked`` without those that lie within an earlier one."""
+
+    def within(x: Column, i: Column) -> Column:
+        first = F.greatest(i - most, F.lit(0))
+        before = F.slice("looked", first + 1, i - first)
+        return F.exists(before, lambda e: e["place"] + e["n"] >= x["place"] + x["n"])
+
+    return F.when(F.exists("looked", lambda x: x["n"] > 1), F.filter("looked", lambda x, i: ~within(x, i))).otherwise(F.col("looked"))
+
+
 def with_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row`` (a struct of the columns of ``docs``), ``n_sentences``, ``known`` and ``licenses``.
 
-    ``known`` is an array of (place of the sentence, identifier); ``licenses`` an array of the
+    Sentences are counted and placed as line breaks and marks cut them. ``known`` is an array of
+    (place of the sentence, identifier); a known sentence that is wrapped over lines, also behind
+    comment signs or a list label, has the place of its first piece. ``licenses`` is an array of the
     licenses that the rules make of it, in the order of the text. Identifiers that no rule takes give
     none. A null text counts as empty and has no sentence. Work grows with the text and with its
     known sentences only; repeated rows get equal results, an empty table gives none.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    pairs = [F.lit(x) for item in known_sentences().items() for x in item]
+    sentences = known_sentences()
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     lower = F.translate(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     cut = compute_once(docs.select(whole.alias("row"), lower.alias("t")), raw=F.split("t", SENTENCE_END)).drop("t")
-    plain = F.transform("raw", lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    cut = compute_once(cut, sentences=F.filter(plain, lambda s: s != "")).drop("raw")
-    table = F.create_map(*pairs)
-    looked = F.transform("sentences", lambda s, i: F.struct(i.alias("place"), F.element_at(table, s).alias("id")))
-    cut = compute_once(cut, n_sentences=F.size("sentences").cast("bigint"), known=F.filter(looked, lambda x: x["id"].isNotNull()))
-    cut = cut.drop("sentences")
+    words = lambda r: F.trim(F.regexp_replace(F.regexp_replace(r, LABEL, ""), "[^a-z0-9]+", " "))
+    plain = F.transform("raw", lambda r: F.struct(words(r).alias("words"), r.rlike(ENDED).alias("stop")))
+    cut = compute_once(cut, sentences=F.filter(plain, lambda s: s["words"] != "")).drop("raw")
+    cut = compute_once(cut, n_sentences=F.size("sentences").cast("bigint"), looked=looked_up(sentences)).drop("sentences")
+    most = max(len(s.split(" ")) for s in sentences)
+    known = F.transform(outermost(most), lambda x: F.struct(x["place"], x["id"]))
+    cut = compute_once(cut, known=known).drop("looked")
     # Every identifier ends in a semicolon and starts behind one, so rules match whole identifiers.
     sequence = F.concat(F.lit(";"), F.array_join(F.transform("known", lambda x: x["id"]), ";;"), F.lit(";"))
     for number, (_, ids) in enumerate(RULES):

@@ -1,3 +1,7 @@
+import textwrap
+
+import pytest
+
 from shelfmark.llm import licenses as li
 
 MIT = "\n".join(li.SENTENCES[i][0] for i in ("MITgrant", "MITnotice", "MITwarranty"))
@@ -40,3 +44,58 @@ def test_native_without_shuffle_and_empty(make):
     df = li.with_licenses(make())
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert df.count() == 0 and "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def wrapped(identifiers, leader="", width=72, label=""):
+    """License sentences as files have them: a paragraph each, lines of a width behind a leader."""
+    paragraphs = [textwrap.fill(label + li.SENTENCES[i][0], width).split("\n") for i in identifiers]
+    return "\n".join(leader + line for p in paragraphs for line in [*p, ""])
+
+
+WRAPPED = {
+    "MIT": ["MITgrant", "MITnotice", "MITwarranty"],
+    "BSD-3-Clause": ["BSDgrant", "BSDsource", "BSDbinary", "BSDendorse", "BSDwarranty"],
+    "ISC": ["ISCgrant"],
+    "GPL-3.0-or-later": ["GPLfree", "GPLhope"],
+    "GPL-2.0-or-later": ["GPL2free", "GPLhope"],
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_wrapped_and_commented(make, name):
+    ids = WRAPPED[name]
+    leaders = ["", "# ", " * ", "// ", ";; ", "-- ", "dnl ", "\t"]
+    texts = [wrapped(ids, leader, width) for leader in leaders for width in (20, 72)]
+    texts += ["Some code\nx = 1\n" + t + "\nmore code: y" for t in texts[:4]]
+    texts += [t.replace("\n", "\r\n") for t in texts[:4]]
+    got = found(make, *texts)
+    for i, t in enumerate(texts):
+        assert got[i]["licenses"] == [name], t
+        assert [k["id"] for k in got[i]["known"]] == ids
+
+
+def test_usual_headers(make):
+    apache = """/*
+ * Copyright 2020 Someone
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ */"""
+    bsd = wrapped(["BSDgrant"]) + wrapped(["BSDsource"], label="1) ") + wrapped(["BSDbinary"], label="(b) ")
+    got = found(make, apache, bsd, "Released under\nthe MIT License.\nLicensed under the\nISC License", "released under. \nThe MIT\nLicense: x")
+    assert got[0]["licenses"] == ["Apache-2.0"] and [k["id"] for k in got[0]["known"]] == WRAPPED_APACHE
+    assert got[1]["licenses"] == ["BSD-2-Clause"]
+    # A notice within a longer one counts once, at the place where the longer one begins.
+    assert got[2]["licenses"] == ["MIT", "ISC"] and [k["place"] for k in got[2]["known"]] == [0, 2]
+    # A mark ends the first sentence; the second ends there as well.
+    assert got[3]["licenses"] == ["MIT"] and [k["place"] for k in got[3]["known"]] == [1]
+
+
+WRAPPED_APACHE = ["Apache2ref", "Apache2comply", "Apache2copy", "Apache2asis"]
