@@ -5,10 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontaminate, langid, licenses, lines, packing, secrets, simhash, substring, toxicity, vectors
+from shelfmark.llm import (
+    decontaminate,
+    langid,
+    licenses,
+    lines,
+    packing,
+    periodic,
+    secrets,
+    simhash,
+    substring,
+    toxicity,
+    vectors,
+)
 from shelfmark.llm.common import table, unpacked
 
 # Scores from which a document counts as toxic.
@@ -271,3 +283,85 @@ def op10_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(docs, shingle=3, max_bits=3).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def with_periodic_tails(text: Column) -> Column:
+    """Every tenth document's words, by the crc32 of its id, go over into repeats of a few of them."""
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10), F.size(words)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    copies = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), copies)), F.lit(1), n - a)
+    repeating = F.concat_ws(" ", F.slice(words, F.lit(1), a), tail)
+    return F.when((h % 10 == 0) & (n > 0), repeating).otherwise(F.coalesce(text, F.lit("")))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", with_periodic_tails(F.col("text")).alias("text"))
+    found = periodic.with_runs(docs, least=24, periods=3, keep=["doc_id"])
+    best = F.get("runs", F.col("strongest"))
+    line = lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(F.lit(1000) * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def periodic_sql(levels: int = 16) -> str:
+    """Blocks of 16 words and twice, four times ... as many; nearest earlier equal blocks; stretches of one lag."""
+    size = 16
+    blocks = [f"""b{size} AS (SELECT doc_id, i, dense_rank() OVER (ORDER BY doc_id, block) AS r FROM (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + {size}], ' ') AS block
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - {size - 1})) AS i FROM dw WHERE len(w) >= {size}))
+  QUALIFY count(*) OVER (PARTITION BY doc_id, block) > 1)"""]
+    lags = []
+    for level in range(levels):
+        above = 0 if level == 0 else size // 2
+        lags.append(f"""SELECT doc_id, q, min(i) - q AS start, max(i) + {size} - min(i) + q AS length FROM (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island
+  FROM (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) AS q FROM b{size})
+  WHERE q > {above} AND q <= {size}) GROUP BY doc_id, q, island""")
+        blocks.append(f"""b{2 * size} AS (SELECT doc_id, i, r FROM (
+  SELECT a.doc_id, a.i, dense_rank() OVER (ORDER BY a.r, b.r) AS r FROM b{size} a JOIN b{size} b ON b.doc_id = a.doc_id AND b.i = a.i + {size})
+  QUALIFY count(*) OVER (PARTITION BY r) > 1)""")
+        size *= 2
+    every = " UNION ALL ".join(lags)
+    return rf"""
+WITH
+plain AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+dw AS (SELECT doc_id, CASE WHEN crc % 10 = 0 AND n > 0 THEN list_transform(range(0, n),
+    lambda i: w[1 + CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + (crc // 10) % 8)) ELSE i END]) ELSE w END AS w
+  FROM (SELECT *, CASE WHEN n > 0 THEN (crc // 10) % n END AS a FROM (SELECT doc_id, w, len(w) AS n, {crc32_sql("CAST(doc_id AS VARCHAR)")} AS crc FROM plain))),
+{", ".join(blocks)},
+runs AS (SELECT doc_id, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(q AS BIGINT) AS period
+  FROM ({every}) WHERE length >= greatest(24, 3 * q)),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id
+  ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) = 1),
+listed AS (SELECT doc_id, count(*) AS n, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+  FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM dw),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM dw LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+def crc32_sql(text: str) -> str:
+    """The CRC-32 of a short ASCII text, bit by bit."""
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    byte = "xor(c, b)"
+    bits = f"list_reduce(list_prepend({byte}, range(0, 8)), lambda c, k: {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda c, b: {bits}), 4294967295)"
+
+
+ORACLE["op12_periodic_runs"] = periodic_sql()

@@ -15,13 +15,13 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables"
 
 def test_all_are_registered():
     assert QUERIES.items() <= entry.queries().items() and "pipeline" in entry.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", ORACLE)
 def test_query(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     df = QUERIES[name](spark, DATA)
     names = sorted(df.columns)
