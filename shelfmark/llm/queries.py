@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
+    conversations,
     decontaminate,
     langid,
     licenses,
@@ -285,6 +286,83 @@ def op10_simhash_near_dedup(spark, sf_dir):
     )
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows of conversations without nulls but in ids and turns, some dropped, emptied, cut, repeated or given another role."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    changed = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    every = rows.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), kind.alias("kind")).filter("kind <> 0")
+    copies = F.explode(F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    return every.select("conv_id", "turn", role.alias("role"), changed.alias("text"), copies.alias("copy")).drop("copy")
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversations.repaired(damaged(rows)).withColumnRenamed("conv_id", "id")
+    every = rows.select("conv_id").distinct()
+    number = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("id")), "left").select(
+        "conv_id",
+        number(F.col("high") - F.col("low") + 1 - F.col("turns")).alias("gaps"),
+        *[number(F.col(c)).alias(c) for c in ("blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def conversation_sql() -> str:
+    """The cheapest edits of the rows from each one on, from the last to the first, by state."""
+    add = lambda x, cost, label: f"(printf('%08d', CAST({x}[:8] AS BIGINT) + ({cost})) || '{label}' || {x}[9:])"
+    more = "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END"
+    stays = "fault NOT IN ('blank', 'duplicate')"
+    following = {"f0": {"u": "fu", "s": "fs"}, "fs": {"u": "fu"}, "fu": {"a": "fa"}, "fa": {"u": "fu"}}
+    one = {}
+    for state, after in following.items():
+        options = [add(f"f.{state}", 2, "D")]
+        for initial, to in after.items():
+            options.append(f"CASE WHEN {stays} AND role[:1] = '{initial}' THEN {add(f'f.{to}', more, 'K')} END")
+            if initial != "s":
+                options.append(f"CASE WHEN {stays} THEN {add(f'f.{to}', '1 + ' + more, 'R')} END")
+        one["g" + state[1]] = f"least({', '.join(options)})"
+    ways = {"f0": ("g0", "gu", "ga"), "fs": ("gs", "gu", "ga"), "fu": ("gu", "ga", "gu"), "fa": ("ga", "gu", "ga")}
+    best = ", ".join(f"least({a}, {add(b, 5, 'I')}, {add(c, 10, 'II')}) AS {state}" for state, (a, b, c) in ways.items())
+    singles = ", ".join(f"{e} AS {n}" for n, e in one.items())
+    key = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    return rf"""
+WITH RECURSIVE
+kinds AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc32_sql(key)} % 20 AS kind FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(0, CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM kinds WHERE kind <> 0),
+placed AS (SELECT *, row_number() OVER c AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS times,
+  lead(role[:1]) OVER c AS following FROM damaged WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN times > 1 THEN 'duplicate'
+  WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE 'fine' END AS fault FROM placed),
+counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+  count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (following IS NOT NULL AND role[:1] || following NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+f AS (SELECT conv_id, n + 1 AS i, '00000000' AS f0, '00000010II' AS fs, '00000005I' AS fu, '00000000' AS fa FROM counts
+  UNION ALL
+  SELECT conv_id, i, {best} FROM (SELECT j.conv_id, j.i, {singles} FROM f JOIN judged j ON j.conv_id IS NOT DISTINCT FROM f.conv_id AND j.i = f.i - 1)),
+told AS (SELECT conv_id, CAST(f0[:8] AS BIGINT) AS cost, f0[9:] AS audit FROM f WHERE i = 1),
+edits AS (SELECT *, sum(CASE WHEN e <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY p) AS i
+  FROM (SELECT conv_id, unnest(string_split(audit, '')) AS e, unnest(range(1, length(audit) + 1)) AS p FROM told WHERE audit <> '')),
+lines AS (SELECT e.conv_id, e.p, CASE WHEN e = 'K' THEN j.role WHEN sum(CASE WHEN e.e = 'K' AND j.role[:1] = 's' THEN 0 ELSE 1 END)
+    OVER (PARTITION BY e.conv_id ORDER BY e.p) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE j.text END AS line
+  FROM edits e LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM e.conv_id AND j.i = e.i WHERE e <> 'D'),
+repaired AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY p) AS text FROM lines GROUP BY conv_id),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(r.text, '')) AS repaired_sha256
+FROM ids LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM ids.conv_id
+  LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
+
 def with_periodic_tails(text: Column) -> Column:
     """Every tenth document's words, by the crc32 of its id, go over into repeats of a few of them."""
     words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
@@ -364,4 +442,5 @@ def crc32_sql(text: str) -> str:
     return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda c, b: {bits}), 4294967295)"
 
 
+ORACLE["op11_conversation_repair"] = conversation_sql()
 ORACLE["op12_periodic_runs"] = periodic_sql()
