@@ -16,6 +16,7 @@ from shelfmark.llm import (
     lines,
     packing,
     periodic,
+    repeats,
     secrets,
     simhash,
     substring,
@@ -338,8 +339,10 @@ damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END A
   unnest(range(0, CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM kinds WHERE kind <> 0),
 placed AS (SELECT *, row_number() OVER c AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS times,
   lead(role[:1]) OVER c AS following FROM damaged WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
-judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN times > 1 THEN 'duplicate'
-  WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE 'fine' END AS fault FROM placed),
+judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN times > 1 THEN 'duplicate'
+  WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE 'fine' END AS fault FROM placed),
 counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
   count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
   count(*) FILTER (fault = 'truncated') AS truncated,
@@ -444,3 +447,33 @@ def crc32_sql(text: str) -> str:
 
 ORACLE["op11_conversation_repair"] = conversation_sql()
 ORACLE["op12_periodic_runs"] = periodic_sql()
+
+
+@query
+def op13_suffix_array_dedup(spark, sf_dir):
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"), width=100)
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+# Bytes are written as two hexadecimal digits, since texts cannot be cut between bytes.
+ORACLE["op13_suffix_array_dedup"] = r"""
+WITH
+texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents),
+windows AS (SELECT doc_id, s, md5_number(substr(t, 2 * s + 1, 200)) AS w
+  FROM (SELECT doc_id, t, unnest(range(0, length(t) // 2 - 99)) AS s FROM texts WHERE length(t) >= 200)),
+firsts AS (SELECT w, min((doc_id, s)) AS f FROM windows GROUP BY w HAVING count(*) > 1),
+later AS (SELECT doc_id, s FROM windows JOIN firsts USING (w) WHERE (doc_id, s) > f),
+islands AS (SELECT *, sum(CASE WHEN s <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS island
+  FROM (SELECT *, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM later)),
+spans AS (SELECT doc_id, min(s) AS lo, max(s) + 100 AS hi FROM islands GROUP BY doc_id, island),
+pieces AS (SELECT doc_id, lo, substr(t, 2 * upto + 1, 2 * (lo - upto)) AS piece FROM (
+  SELECT doc_id, lo, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS upto
+  FROM (SELECT doc_id, lo, hi FROM spans UNION ALL SELECT doc_id, length(t) // 2, NULL FROM texts)) JOIN texts USING (doc_id)),
+kept AS (SELECT doc_id, string_agg(piece, '' ORDER BY lo) AS t FROM pieces GROUP BY doc_id),
+removed AS (SELECT doc_id, sum(hi - lo) AS n, count(*) AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, length(texts.t) // 2 AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept.t, ''))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""

@@ -55,7 +55,7 @@ def repeats(rng, letters):
 @pytest.mark.parametrize("options", [{}, {"least": 6}, {"least": 40, "periods": 5}], ids=str)
 def test_against_brute_force(make, letters, options):
     rng = random.Random(len(letters) + len(options))
-    texts = [repeats(rng, letters) for _ in range(150)]
+    texts = [repeats(rng, letters) for _ in range(60)]
     want = [brute(t, **options) for t in texts]
     assert any(w[1] for w in want) and found(make, texts, **options) == want
 
