@@ -63,7 +63,7 @@ def ratios(text: pa.Array, others: pa.Array) -> pa.Array:
     return pa.array(out, type=pa.list_(pa.float64()))
 
 
-def _length_bound(a: Column, b: Column) -> Column:
+def length_bound(a: Column, b: Column) -> Column:
     """Upper bound of the similarity: the common part cannot exceed the shorter string."""
     m, n = F.char_length(F.lower(a)), F.char_length(F.lower(b))
     return F.when(m + n == 0, 100.0).otherwise(200.0 * F.least(m, n) / (m + n))
@@ -71,5 +71,5 @@ def _length_bound(a: Column, b: Column) -> Column:
 
 def could_match(title: Column, author: Column, other_title: Column, other_author: Column, threshold: float) -> Column:
     """False only for pairs that cannot reach the threshold; cheap, and loses no match."""
-    bound = TITLE_WEIGHT * _length_bound(title, other_title) + AUTHOR_WEIGHT * _length_bound(author, other_author)
+    bound = TITLE_WEIGHT * length_bound(title, other_title) + AUTHOR_WEIGHT * length_bound(author, other_author)
     return bound >= threshold - _SLACK

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: crawlers have to read 500 KiB of a file of rules.
+MOST_RULES_TEXT = 500 * 1024
+
 RULES = "agent string, kind string, pattern string"
 
 
@@ -63,26 +68,25 @@ def with_policy(
     ``agent``: rules of the agent's group only, with wildcards; the longest pattern wins, permission
     beats prohibition at equal length. A null path is allowed.
 
-    An equi-join of path prefixes with the literal heads of the rules, then the full test. A path is
-    cut only at the lengths that heads have. Distinct paths are tested once, however often they
-    occur; partial aggregation folds the cut rows of a path before the shuffle.
+    One expression per row, no exchange: from the longest patterns to the shortest, literal ones are
+    looked up among those of their length, and those with wildcards tested behind their literal head.
+    The rules are part of the plan, so their size is checked: a file of rules that is larger than
+    crawlers have to read is refused.
     """
     used = _applicable(rules, mode, agent)
-    if not used:
-        return urls.withColumn("allowed", F.lit(True))
-    literal = mode == "any_agent"
-    rows = []
-    for kind, pattern in used:
-        head = pattern if literal else re.split(r"[*$]", pattern)[0]
-        rows.append((head, None if literal else _regex(pattern), len(pattern), kind == "allow"))
-    table = urls.sparkSession.createDataFrame(rows, "head string, regex string, length int, allow boolean")
-    lengths = F.array(*[F.lit(n) for n in sorted({len(r[0]) for r in rows})])
-    paths = urls.select(F.col(path).alias("path")).distinct()
-    cut = paths.withColumn("n", F.explode(F.filter(lengths, lambda n: n <= F.char_length("path"))))
-    hits = cut.withColumn("head", F.left("path", F.col("n"))).join(table, "head")
-    if not literal:
-        hits = hits.filter(F.regexp_like("path", "regex"))
-    best = hits.groupBy("path").agg(F.max(F.struct("length", "allow")).alias("best"))
-    joined = urls.join(best, urls[path] == best["path"], "left")
-    allowed = F.coalesce(best["best"]["allow"], F.lit(True))
-    return joined.select(*[urls[c] for c in urls.columns], allowed.alias("allowed"))
+    if sum(len(p) for _, p in used) > MOST_RULES_TEXT:
+        raise ValueError(f"crawl rules of more than {MOST_RULES_TEXT} characters")
+    whole = F.col(path)
+    allowed = F.when(whole.isNull(), True)
+    for length in sorted({len(p) for _, p in used}, reverse=True):
+        for kind in ("allow", "disallow"):
+            patterns = [p for k, p in used if k == kind and len(p) == length]
+            plain = [p for p in patterns if mode == "any_agent" or not re.search(r"\*|\$\Z", p)]
+            tests = [F.left(whole, F.lit(length)).isin(plain)] if plain else []
+            for p in patterns:
+                if p not in plain:
+                    head = re.split(r"\*|\$\Z", p)[0]
+                    tests.append(whole.startswith(head) & F.regexp_like(whole, F.lit(_regex(p))))
+            if tests:
+                allowed = allowed.when(functools.reduce(operator.or_, tests), kind == "allow")
+    return urls.withColumn("allowed", allowed.otherwise(True))

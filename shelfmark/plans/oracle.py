@@ -333,7 +333,8 @@ SELECT page_id, {PATH} AS path,
     OR starts_with({PATH}, '/*.html$') OR starts_with({PATH}, '/es/*7')) AS allowed
 FROM pages""",
     "url_policy_agent": AGENT_POLICY,
-    "url_policy_joined": AGENT_POLICY,
+    "url_policy_joined": f"""
+SELECT page_id, {PATH} AS path, NOT (starts_with({PATH}, '/fr/1') OR starts_with({PATH}, '/de')) AS allowed FROM pages""",
     "fuzzy_best_match": f"""
 WITH RECURSIVE {RESULTS},
 candidates AS (
@@ -341,6 +342,26 @@ candidates AS (
 {_matches('candidates')}
 SELECT q.book_id, b.title AS match_title, b.author AS match_author, b.catalogue_id AS match_id, round(b.score, 6) AS score
 FROM asked q LEFT JOIN best b USING (book_id)""",
+    "catalogue_best_match": f"""
+WITH RECURSIVE {RESULTS},
+entries AS (
+  SELECT p_name AS title, p_brand AS author, min(p_partkey) AS first FROM part GROUP BY ALL),
+pairs AS (
+  SELECT DISTINCT lower(q.title) AS a, lower(c.title) AS b FROM asked q, entries c
+  UNION
+  SELECT DISTINCT lower(q.author), lower(c.author) FROM asked q, entries c WHERE q.author IS NOT NULL),
+{RATIOS},
+wanted AS (SELECT DISTINCT title, author FROM asked WHERE author IS NOT NULL),
+best AS (
+  SELECT q.title, q.author, c.title AS match_title, c.author AS match_author, first,
+    t.ratio * 0.6::DOUBLE + w.ratio * 0.4::DOUBLE AS score
+  FROM wanted q CROSS JOIN entries c
+  JOIN ratios t ON t.a = lower(q.title) AND t.b = lower(c.title)
+  JOIN ratios w ON w.a = lower(q.author) AND w.b = lower(c.author)
+  WHERE t.ratio * 0.6::DOUBLE + w.ratio * 0.4::DOUBLE >= 70
+  QUALIFY row_number() OVER (PARTITION BY q.title, q.author ORDER BY score DESC, first) = 1)
+SELECT q.book_id, match_title, match_author, CAST(first AS VARCHAR) AS match_id, round(score, 6) AS score
+FROM asked q LEFT JOIN best b ON b.title = q.title AND b.author = q.author""",
     "linked_books": f"{LINKED} SELECT * FROM linked",
     "link_coverage": f"""
 {LINKED} SELECT count(*) AS n_books, count(book_url) AS n_linked, round(100.0 * count(book_url) / count(*), 1) AS percentage
@@ -383,7 +404,7 @@ FROM extracted JOIN books USING (book_no) WHERE coalesce(book_url, '') <> ''""",
     "flat_reviews_gaps": f"""
 WITH {REVIEWS}, {BOOKS}, {SHAPED.format(shape="mixed")}
 SELECT book_id, page, pos, reviewer_id
-FROM extracted JOIN books USING (book_no) WHERE coalesce(book_url, '') <> '' AND page BETWEEN 2 AND 40""",
+FROM extracted JOIN books USING (book_no) WHERE coalesce(book_url, '') <> '' AND page >= 2""",
     "answered_reviews": f"""
 WITH {REVIEWS}, {BOOKS}, {SHAPED.format(shape="mixed")}
 SELECT book_id, page, pos, reviewer_id,
@@ -408,6 +429,12 @@ SELECT 'book_id,title,author,book_url,review_text,review_rating,reviewer_id,revi
   CAST(count(*) AS BIGINT) AS n_rows FROM events WHERE event_id < 0""",
     "ordered_csv": f"""
 WITH {FLAT} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_unordered, CAST(0 AS BIGINT) AS n_overlapping FROM flat""",
+    "list_order_written": f"""
+WITH {REVIEWS}, {BOOKS}, {SHAPED.format(shape="mixed")},
+listed AS (SELECT *, row_number() OVER (ORDER BY md5(book_id)) - 1 AS book_seq FROM books)
+SELECT row_number() OVER (ORDER BY book_seq, page, pos) - 1 AS n, book_seq, book_id, page, pos, reviewer_id,
+  md5(nullif(review_text, '')) AS digest
+FROM extracted JOIN listed USING (book_no) WHERE coalesce(book_url, '') <> ''""",
     "nested_reviews": f"""
 WITH {REVIEWS}, {BOOKS}, {SHAPED.format(shape="mixed")},
 held AS (SELECT DISTINCT book_no, page FROM rv),

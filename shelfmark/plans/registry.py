@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 from shelfmark.functions import markup
 from shelfmark.functions import text as tx
 from shelfmark.functions import urls
-from shelfmark.operators import copies, linking, markupreviews, pagecheck, pagestate, paging, policy, quality, report
+from shelfmark.operators import catalogue, copies, linking, markupreviews, pagecheck, pagestate, paging, policy, quality, report
 from shelfmark.operators import reviews as rv
 from shelfmark.plans import derived, pipeline
-from shelfmark.schema import RAW_RATING
+from shelfmark.schema import BOOK_SEQ, RAW_RATING
 from shelfmark.session import work_folder
 from shelfmark.site import DEFAULT_SITE
 from shelfmark.sources import sinks, tables
@@ -214,8 +214,9 @@ def url_policy_agent(spark, sf_dir):
 
 @query
 def url_policy_joined(spark, sf_dir):
+    """The rules of a group that names the agent, in any case of letters."""
     pages = derived.table(spark, sf_dir, "pages").select("page_id", urls.url_path(F.col("url")).alias("path"))
-    return policy.with_policy(pages, "path", policy.parse_rules(RULES_TEXT), "agent")
+    return policy.with_policy(pages, "path", policy.parse_rules(RULES_TEXT), "agent", agent="SlowBot")
 
 
 # Linking
@@ -266,6 +267,17 @@ def link_coverage(spark, sf_dir):
     return report.link_coverage(_linked(spark, sf_dir))
 
 
+@query
+def catalogue_best_match(spark, sf_dir):
+    """All books against all parts, without a search page to narrow them down."""
+    folder = work_folder(spark, "catalogue")
+    parts = derived.table(spark, sf_dir, "part").select(
+        F.col("p_name").alias("title"), F.col("p_brand").alias("author"), F.col("p_partkey").cast("string").alias("catalogue_id"), "p_partkey"
+    )
+    books = derived.book_queries(spark, sf_dir).select("book_id", "title", "author")
+    return _match_columns(catalogue.with_best_entry(books, parts, "p_partkey", stored=sinks.stored_below(folder)))
+
+
 @query
 def html_search_candidates(spark, sf_dir):
     return markupreviews.candidate_rows(markupreviews.with_candidates(derived.search_pages(spark, sf_dir)))
@@ -396,7 +408,7 @@ def flat_reviews(spark, sf_dir):
 def flat_reviews_gaps(spark, sf_dir):
     """A store without first pages: what it holds is extracted, whatever count was printed there."""
     pages = derived.saved_pages(spark, sf_dir).filter("page > 1")
-    return rv.reviews_of_books(_listed(spark, sf_dir), pages, max_pages=40).select("book_id", "page", "pos", "reviewer_id")
+    return rv.reviews_of_books(_listed(spark, sf_dir), pages).select("book_id", "page", "pos", "reviewer_id")
 
 
 @query
@@ -501,6 +513,21 @@ def ordered_csv(spark, sf_dir):
     )
 
 
+@query
+def list_order_written(spark, sf_dir):
+    """A book list in no order of its own, read from CSV; its reviews are written in the list's order,
+    then in reading order, and numbered as they stand in the files."""
+    folder = work_folder(spark, "list")
+    listed = _listed(spark, sf_dir).withColumn("mixed", F.md5("book_id"))
+    sinks.write_csv(listed, f"{folder}/books", order=["mixed"])
+    books = tables.read_book_list(spark, f"{folder}/books", seq=BOOK_SEQ)
+    found = rv.reviews_of_books(books, derived.saved_pages(spark, sf_dir))
+    sinks.write_csv(found.drop("review_url", "title"), f"{folder}/reviews", order=[BOOK_SEQ, "page", "pos"])
+    back = tables.read_csv(spark, f"{folder}/reviews", seq="n")
+    number = lambda c: F.col(c).cast("bigint").alias(c)
+    return back.select("n", number(BOOK_SEQ), "book_id", number("page"), number("pos"), "reviewer_id", F.md5("review_text").alias("digest"))
+
+
 @query
 def incremental_reviews(spark, sf_dir):
     """Two deliveries of pages, each taken in by a run of its own."""

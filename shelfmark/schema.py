@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 HEADER_ALIASES = {"Book ID": "book_id", "Title": "title", "Author": "author"}
 BOOK_COLUMNS = ["book_id", "title", "author"]
 
+# Place of a book in its list. Where a list has it, the tables made from the list carry it on.
+BOOK_SEQ = "book_seq"
+
 # A review table read from CSV carries the rating as it was written next to its number.
 RAW_RATING = "review_rating_raw"
 
@@ -55,6 +58,11 @@ def review_table(url_column: str = "book_url") -> T.StructType:
     return T.StructType(BOOK_FIELDS + [T.StructField(url_column, T.StringType())] + reviews)
 
 
+def book_columns(table) -> list[str]:
+    """The columns of a book that go from table to table."""
+    return BOOK_COLUMNS + [c for c in (BOOK_SEQ,) if c in table.columns]
+
+
 def page_table() -> T.StructType:
     """Saved pages. ``page`` is null for the page that was asked for without a page number."""
     return T.StructType(

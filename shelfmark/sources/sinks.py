@@ -38,6 +38,16 @@ def write_reviews(reviews: DataFrame, path: str, copies: list[str] | None = None
     return written
 
 
+def stored_below(folder: str):
+    """A function that writes a table below the folder, under a name, and reads it again."""
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    return stored
+
+
 def write_empty_reviews(spark, path: str, site: Site = DEFAULT_SITE) -> None:
     """A header without rows, for a run that found nothing.
 

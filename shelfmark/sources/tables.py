@@ -10,18 +10,22 @@ from pyspark.sql import types as T
 from shelfmark.functions.urls import readable_page_key
 from shelfmark.schema import BOOK_COLUMNS, HEADER_ALIASES, RAW_RATING, required_columns, review_table
 from shelfmark.site import DEFAULT_SITE, Site
+from shelfmark.sources.records import read_records
 
 # Quotes are doubled inside quoted fields, which may span lines.
 CSV = {"header": "true", "escape": '"'}
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True, seq: str | None = None) -> DataFrame:
     """All columns as strings, by header name; empty fields are null.
 
-    Fields may span lines, so a file is read by one task. Where they do not, ``multi_line=False``
-    lets Spark split large files.
+    Fields may span lines; large files are read by several tasks all the same, twice. Where no field
+    does, ``multi_line=False`` leaves it to Spark's reader, which reads once. ``seq`` names a column
+    that numbers the rows in the order of the file.
     """
-    return spark.read.options(**CSV, multiLine=str(multi_line).lower()).csv(path)
+    if multi_line or seq:
+        return read_records(spark, path, CSV, seq)
+    return spark.read.options(**CSV).csv(path)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -51,8 +55,9 @@ def unlinked(books: DataFrame, site: Site = DEFAULT_SITE) -> DataFrame:
     return book_list(books).withColumn(site.url_column, F.lit(None).cast("string"))
 
 
-def read_book_list(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    return book_list(read_csv(spark, path, multi_line))
+def read_book_list(spark: SparkSession, path: str, multi_line: bool = True, seq: str | None = None) -> DataFrame:
+    """The list; with ``seq`` (see ``BOOK_SEQ``) its order can be given back by the tables made from it."""
+    return book_list(read_csv(spark, path, multi_line, seq))
 
 
 def linked_books(spark: SparkSession, books: DataFrame | str, site: Site = DEFAULT_SITE) -> DataFrame:

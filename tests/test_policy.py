@@ -84,3 +84,13 @@ def test_no_rules_allow_all(urls):
     assert allowed(with_policy(urls, "path", [], "agent")) == set(PATHS)
     with pytest.raises(ValueError):
         with_policy(urls, "path", [], "other")
+
+
+def test_rules_are_one_expression_and_bounded(urls):
+    rules = parse_rules(TEXT)
+    plan = with_policy(urls, "path", rules, "agent")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    many = [("*", "disallow", f"/x{i}") for i in range(3000)]
+    assert allowed(with_policy(urls, "path", [*many, ("*", "allow", "/x")], "agent")) == set(PATHS)
+    with pytest.raises(ValueError):
+        with_policy(urls, "path", [("*", "disallow", "/" + "x" * 600_000)], "agent")
