@@ -5,27 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.operators.keyfilter import possibly_in
 from shelfmark.operators.pagecheck import usable_pages
 
-# Keys that may be sent to every task: about 20 MB of URLs.
-MOST_KEYS = 100_000
-
 
 def only_wanted(pages: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """Pages whose key is wanted, if the list is short enough to go to every task; else all of them.
+    """Pages whose key is wanted, and a few others; the join that follows the extraction drops those.
 
-    ``wanted`` is one narrow column. Its size is measured, not guessed: a longer list would shuffle
-    the page texts, so the join that follows the extraction has to do then.
+    ``wanted`` is one narrow column, of any length: what goes to the pages is a filter of bounded size,
+    so page texts are neither shuffled nor parsed for books that are not listed.
     """
-    keys = wanted.select(F.col(key)).distinct()
-    if keys.limit(MOST_KEYS + 1).count() > MOST_KEYS:
-        return pages
-    return pages.join(F.broadcast(keys), key, "left_semi").select(*pages.columns)
+    return possibly_in(pages, key, wanted)
 
 
 def answered(pages: DataFrame) -> DataFrame:
-    """Pages without failed answers and captchas, where the store says how the site answered."""
-    return usable_pages(pages) if "status" in pages.columns else pages
+    """Pages without failed answers and captchas, where the store says how the site answered.
+
+    A store of keys without texts is judged by the status alone.
+    """
+    if "status" not in pages.columns:
+        return pages
+    return usable_pages(pages) if "html" in pages.columns else pages.filter("status = 200")
 
 
 def digest(html: Column) -> Column:

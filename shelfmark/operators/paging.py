@@ -9,6 +9,7 @@ from shelfmark.functions.jsonmap import as_map, or_empty, parse
 from shelfmark.functions.markup import first_filled, first_match, largest_number, matching, scan, within
 from shelfmark.functions.once import compute_once
 from shelfmark.functions.urls import review_page_key, reviews_url
+from shelfmark.operators.copies import answered
 from shelfmark.operators.pagestate import book_queries, with_state
 from shelfmark.site import DEFAULT_SITE, Site
 
@@ -155,15 +156,35 @@ def frontier(
 
 
 def stored_pages(needed: DataFrame, store: DataFrame, key: str = "page_key") -> DataFrame:
-    """Needed pages that the page store already holds."""
+    """Needed pages that the page store already holds, answered well; ``store`` may be a key table."""
     return needed.join(_keys(store, key), key, "left_semi")
 
 
 def missing_pages(needed: DataFrame, store: DataFrame, key: str = "page_key", refresh: bool = False) -> DataFrame:
-    """Needed pages that are still to be saved; with ``refresh`` that is all of them."""
+    """Needed pages that are still to be saved; with ``refresh`` that is all of them.
+
+    A page whose stored answer failed or asks to solve a captcha is missing, where the store has the
+    ``status`` of its answers.
+    """
     return needed if refresh else needed.join(_keys(store, key), key, "left_anti")
 
 
 def _keys(store: DataFrame, key: str) -> DataFrame:
+    held = answered(store).select(key)
+    if store.columns == [key]:
+        return held  # a key table; copies do no harm to semi and anti joins
     # Distinct before the join: partial aggregation removes copies of a hot key where they lie.
-    return store.select(key).distinct()
+    return held.distinct()
+
+
+def write_keys(store: DataFrame, name: str, path: str, key: str = "page_key", buckets: int = 64, append: bool = False) -> DataFrame:
+    """The keys of a store as a table of its own, bucketed by the key, and read again.
+
+    It is written once and grows with each delivery (``append``). Probes then shuffle the needed pages
+    only: neither the store nor its keys move. ``buckets`` should give buckets of some hundred MB.
+    """
+    keys = answered(store).select(key).filter(F.col(key).isNotNull()).distinct()
+    # By bucket, so that a task writes the files of a few buckets.
+    dealt = keys.repartition(buckets, key).write.mode("append" if append else "overwrite")
+    dealt.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return store.sparkSession.table(name)

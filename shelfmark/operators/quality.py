@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import is_iso_timestamp, is_real_timestamp
@@ -116,17 +116,20 @@ def _usable(df: DataFrame, suite: Suite) -> dict[str, str]:
     return {name: s for name, s in suite.rules.items() if RULES[name].column in df.columns}
 
 
-def run_suite(df: DataFrame, suite_name: str, site: Site = DEFAULT_SITE) -> DataFrame:
-    """One row per rule: ``rule, severity, violations, passed``. One pass, one global aggregation."""
-    suite = SUITES[suite_name]
-    rules = _usable(df, suite)
-    missing, extra = missing_and_extra(df, required_columns(site.url_column, suite.with_reviewer_name))
-    counts = [F.count_if(RULES[name].broken(df)).alias(name) for name in rules]
+def _counts(df: DataFrame, suite: Suite) -> list[Column]:
+    """What a suite counts, as aggregates."""
+    counts = [F.count_if(RULES[name].broken(df)).alias(name) for name in _usable(df, suite)]
     counts.append(F.count("*").alias("n_rows"))
-    few_books = suite.few_books and "book_id" in df.columns
-    if few_books:
+    if suite.few_books and "book_id" in df.columns:
         # Fewer than two books means that smallest and largest id agree: no distinct needed.
         counts += [F.min("book_id").alias("low"), F.max("book_id").alias("high")]
+    return counts
+
+
+def _report(counted: DataFrame, df: DataFrame, suite: Suite, site: Site) -> DataFrame:
+    """The rules of a suite from one row of its counts."""
+    rules = _usable(df, suite)
+    missing, extra = missing_and_extra(df, required_columns(site.url_column, suite.with_reviewer_name))
 
     def row(name: str, severity: str, violations: Column) -> Column:
         return F.struct(
@@ -142,14 +145,35 @@ def run_suite(df: DataFrame, suite_name: str, site: Site = DEFAULT_SITE) -> Data
     if suite.empty is not None:
         rows.append(row("not_empty", suite.empty, (F.col("n_rows") == 0).cast("int")))
     rows += [row(name, severity, F.col(name)) for name, severity in rules.items()]
-    if few_books:
+    if suite.few_books and "book_id" in df.columns:
         few = F.col("low").isNull() | (F.col("low") == F.col("high"))
         rows.append(row("few_books", suite.few_books, few.cast("int")))
-    return (
-        df.agg(*counts)
-        .select(F.inline(F.array(*rows)))
-        .withColumn("passed", F.col("violations") == 0)
-    )
+    return counted.select(F.inline(F.array(*rows))).withColumn("passed", F.col("violations") == 0)
+
+
+def run_suite(df: DataFrame, suite_name: str, site: Site = DEFAULT_SITE) -> DataFrame:
+    """One row per rule: ``rule, severity, violations, passed``. One pass, one global aggregation."""
+    suite = SUITES[suite_name]
+    return _report(df.agg(*_counts(df, suite)), df, suite, site)
+
+
+def watched(df: DataFrame, suite_name: str, site: Site = DEFAULT_SITE) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The table, to be written, and a function that gives the suite's report once it has been.
+
+    The counts are taken from the rows as they pass on to the writer, so the verdict on what was
+    written needs no second reading.
+    """
+    suite = SUITES[suite_name]
+    counts = _counts(df, suite)
+    seen = Observation()
+
+    def report() -> DataFrame:
+        spark = df.sparkSession
+        types = {name: "string" if name in ("low", "high") else "bigint" for name in seen.get}
+        row = spark.createDataFrame([tuple(seen.get.values())], ", ".join(f"{n} {t}" for n, t in types.items()))
+        return _report(row, df, suite, site)
+
+    return df.observe(seen, *counts), report
 
 
 def suite_passed(report: DataFrame) -> bool:

@@ -245,6 +245,10 @@ needed AS (
   WHERE coalesce(book_url, '') <> '')
 """
 
+# Stored, and one of the page's copies was answered well.
+ANSWERED = """(page + book_no) % 2 = 0 AND page % 7 <> 5
+  AND ((page + 1) % 3 <> 0 OR (book_no % 3 >= 1 AND (page + 2) % 3 <> 0) OR (book_no % 3 = 2 AND (page + 3) % 3 <> 0))"""
+
 # Reviews as the markup shows them.
 MARKUP = f"""
 boxes AS (
@@ -327,6 +331,10 @@ WHERE n >= 1 AND coalesce(book_url, '') <> ''""",
 WITH {NEEDED} SELECT book_id, page, page_key FROM needed WHERE (page + book_no) % 2 = 0""",
     "cache_misses": f"""
 WITH {NEEDED} SELECT book_id, page, page_key FROM needed WHERE (page + book_no) % 2 = 1""",
+    "cache_misses_by_status": f"""
+WITH {NEEDED} SELECT book_id, page, page_key FROM needed WHERE NOT ({ANSWERED})""",
+    "cache_probe_bucketed": f"""
+WITH {NEEDED} SELECT book_id, page, {ANSWERED} AS stored FROM needed""",
     "url_policy": f"""
 SELECT page_id, {PATH} AS path,
   NOT ({PATH} LIKE '/fr/1%' OR {PATH} LIKE '/de%' OR {PATH} LIKE '/en%'
@@ -435,6 +443,16 @@ listed AS (SELECT *, row_number() OVER (ORDER BY md5(book_id)) - 1 AS book_seq F
 SELECT row_number() OVER (ORDER BY book_seq, page, pos) - 1 AS n, book_seq, book_id, page, pos, reviewer_id,
   md5(nullif(review_text, '')) AS digest
 FROM extracted JOIN listed USING (book_no) WHERE coalesce(book_url, '') <> ''""",
+    "reviews_per_book": f"""
+WITH {REVIEWS}, {BOOKS}, {SHAPED.format(shape="mixed")},
+held AS (SELECT DISTINCT book_no, page FROM rv),
+wanted AS (
+  SELECT b.*, h.page FROM books b LEFT JOIN held h ON h.book_no = b.book_no AND coalesce(book_url, '') <> '')
+SELECT book_id, title, coalesce((w.page - 1) // 100, 0) AS chunk, count(e.pos) AS n_reviews,
+  md5(coalesce(string_agg(e.reviewer_id, '|' ORDER BY e.page, e.pos), '')) AS reviewer_ids,
+  md5(coalesce(string_agg(md5(e.review_text), '|' ORDER BY e.page, e.pos), '')) AS text_digests
+FROM wanted w LEFT JOIN extracted e ON e.book_no = w.book_no AND e.page = w.page
+GROUP BY w.book_no, book_id, title, coalesce((w.page - 1) // 100, 0)""",
     "nested_reviews": f"""
 WITH {REVIEWS}, {BOOKS}, {SHAPED.format(shape="mixed")},
 held AS (SELECT DISTINCT book_no, page FROM rv),
@@ -454,6 +472,13 @@ WITH {REVIEWS}, {BOOKS}, {SHAPED.format(shape="mixed")}
 SELECT page, review_source, pos, review_text,
   CAST(CASE WHEN review_rating BETWEEN 1 AND 5 THEN review_rating END AS BIGINT) AS review_rating,
   reviewer_id, reviewer_name, review_upvotes, review_date, review_url
+FROM extracted""",
+    "incremental_quarantine": f"SELECT reason, count(*) AS n_pages, count(*) AS n_different FROM ({QUARANTINE}) GROUP BY reason",
+    "incremental_summary": f"""
+WITH {REVIEWS}, {SHAPED.format(shape="mixed")}
+SELECT CAST(3 AS BIGINT) AS n_deliveries, count(*) AS n_reviews,
+  round(avg(CASE WHEN review_rating BETWEEN 1 AND 5 THEN trunc(review_rating) END), 2) AS avg_rating,
+  count(DISTINCT book_no) AS books, count(DISTINCT reviewer_id) AS reviewers, true AS books_close, true AS reviewers_close
 FROM extracted""",
     "csv_round_trip": f"""
 WITH {FLAT} SELECT CAST(event_id AS VARCHAR) AS event_id, book_id, title, author, book_url, review_text,
@@ -603,3 +628,5 @@ SELECT page_id, replace(replace(replace(trim(raw), '&lt;', '<'), '&gt;', '>'), '
   replace(array_to_string(links, ' '), '&amp;', '&') AS nav_links, trim(raw) = trim(heading) AS title_is_heading
 FROM read""",
 }
+
+ORACLE["quality_while_writing"] = ORACLE["quality_release"]

@@ -200,6 +200,33 @@ def cache_misses(spark, sf_dir):
     return paging.missing_pages(needed, _stored_keys(spark, sf_dir)).select("book_id", "page", "page_key")
 
 
+def _answered_keys(spark, sf_dir):
+    """The store's keys with the answers' status: some failed and were asked for again later."""
+    held = _stored_keys(spark, sf_dir)
+    failed = (F.col("page") + F.col("copy")) % 3 == 0
+    return held.withColumn("status", F.when(failed, 429).when(F.col("page") % 7 == 5, F.lit(None)).otherwise(200)).drop("book_no")
+
+
+@query
+def cache_misses_by_status(spark, sf_dir):
+    """A failed answer is no stored page."""
+    needed = paging.frontier(_counted_books(spark, sf_dir))
+    return paging.missing_pages(needed, _answered_keys(spark, sf_dir)).select("book_id", "page", "page_key")
+
+
+@query
+def cache_probe_bucketed(spark, sf_dir):
+    """Hits and misses against a table of keys that lies in buckets, written in two deliveries."""
+    folder = work_folder(spark, "keys")
+    name = folder.rsplit("/", 1)[1].replace("-", "_")
+    held = sinks.stored_below(folder)(_answered_keys(spark, sf_dir), "held")
+    paging.write_keys(held.filter("page % 2 = 0"), name, f"{folder}/keys", buckets=8)
+    keys = paging.write_keys(held.filter("page % 2 = 1"), name, f"{folder}/keys", buckets=8, append=True)
+    needed = sinks.stored_below(folder)(paging.frontier(_counted_books(spark, sf_dir)), "needed")
+    hits = paging.stored_pages(needed, keys).select("book_id", "page", F.lit(True).alias("stored"))
+    return hits.union(paging.missing_pages(needed, keys).select("book_id", "page", F.lit(False)))
+
+
 @query
 def url_policy(spark, sf_dir):
     pages = derived.table(spark, sf_dir, "pages").select("page_id", urls.url_path(F.col("url")).alias("path"))
@@ -425,6 +452,20 @@ def nested_reviews(spark, sf_dir):
     )
 
 
+@query
+def reviews_per_book(spark, sf_dir):
+    """Every book with its list of reviews; the book with a third of them in several rows."""
+    listed = rv.reviews_per_book(rv.nested_of_books(_listed(spark, sf_dir), derived.saved_pages(spark, sf_dir)))
+    return listed.select(
+        "book_id",
+        "title",
+        "chunk",
+        F.size("reviews").alias("n_reviews"),
+        F.md5(F.array_join(F.transform("reviews", lambda r: r["reviewer_id"]), "|")).alias("reviewer_ids"),
+        F.md5(F.array_join(F.transform("reviews", lambda r: F.md5(r["review_text"])), "|")).alias("text_digests"),
+    )
+
+
 @query
 def single_book_reviews(spark, sf_dir):
     return rv.reviews_of_url(f"{DEFAULT_SITE.base_url}/book/show/0.Book_0", derived.saved_pages(spark, sf_dir))
@@ -528,18 +569,52 @@ def list_order_written(spark, sf_dir):
     return back.select("n", number(BOOK_SEQ), "book_id", number("page"), number("pos"), "reviewer_id", F.md5("review_text").alias("digest"))
 
 
+def _deliveries(spark, pages) -> str:
+    """Pages in two deliveries, the second with most of the first again; some answers failed.
+
+    Page 0 mod 4 comes twice in the first delivery. Failed answers come right in the second.
+    """
+    folder = work_folder(spark, "incremental")
+    numbered = sinks.stored_below(folder)(pages.select("book_no", "page_url", "page", "html"), "all")
+    pages = numbered.withColumn("kind", (F.col("book_no") + F.col("page")) % 4)
+    at = lambda day: F.lit(f"2024-01-{day:02d} 00:00:00").cast("timestamp").alias("saved_at")
+    copies_ = F.explode(F.when(F.col("kind") == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    failed = F.when(F.col("kind") == 1, 429).otherwise(200).alias("status")
+    first = pages.filter("kind < 3").select("page_url", "page", "html", failed, at(1), copies_.alias("copy")).drop("copy")
+    second = pages.filter("kind > 0").select("page_url", "page", "html", F.lit(200).alias("status"), at(2))
+    for name, arrived in (("first", first), ("second", second), ("third", None)):
+        if arrived is not None:
+            arrived.write.mode("append").parquet(f"{folder}/pages")
+        stream = incremental.page_stream(spark, f"{folder}/pages", extra="status int, saved_at timestamp")
+        incremental.take_in(stream, f"{folder}/out", name)
+    return f"{folder}/out"
+
+
 @query
 def incremental_reviews(spark, sf_dir):
-    """Two deliveries of pages, each taken in by a run of its own."""
-    folder = work_folder(spark, "incremental")
-    pages = derived.saved_pages(spark, sf_dir).filter(F.col("page").isNotNull())
-    for part in (0, 1):
-        arrived = pages.filter(F.col("page") % 2 == part)
-        arrived.write.mode("append").parquet(f"{folder}/pages")
-        incremental.extract_new(
-            incremental.page_stream(spark, f"{folder}/pages"), f"{folder}/reviews", f"{folder}/checkpoint"
-        ).awaitTermination()
-    return spark.read.parquet(f"{folder}/reviews").drop("page_url")
+    """All deliveries; a page counts once, however often and in whichever run it came."""
+    out = _deliveries(spark, derived.state_pages(spark, sf_dir))
+    return incremental.latest(spark, out).drop("page_url", "version", "saved_at", "delivery", "status")
+
+
+@query
+def incremental_quarantine(spark, sf_dir):
+    """Pages without reviews that the runs put aside, by reason."""
+    rows = spark.read.parquet(f"{_deliveries(spark, _bad_pages(spark, sf_dir))}/quarantine")
+    return rows.groupBy("reason").agg(F.count("*").alias("n_pages"), F.countDistinct("page_url", "page").alias("n_different"))
+
+
+@query
+def incremental_summary(spark, sf_dir):
+    """Figures from the deliveries' sketches, next to the exact ones, which they have to be close to."""
+    out = _deliveries(spark, derived.state_pages(spark, sf_dir))
+    rows = spark.read.parquet(f"{out}/reviews")
+    exact = {f"exact_{c}": rows.agg(F.countDistinct(c)).scalar() for c in ("page_url", "reviewer_id")}
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 0.05 * F.col(b)
+    return incremental.summary(spark, out).withColumns(exact).select(
+        "n_deliveries", "n_reviews", "avg_rating", F.col("exact_page_url").alias("books"), F.col("exact_reviewer_id").alias("reviewers"),
+        near("n_books", "exact_page_url").alias("books_close"), near("n_reviewers", "exact_reviewer_id").alias("reviewers_close"),
+    )
 
 
 @query
@@ -650,6 +725,15 @@ for _suite_name in quality.SUITES:
     query(_run)
 
 
+@query
+def quality_while_writing(spark, sf_dir):
+    """The verdict on a table, taken from its rows as they are written."""
+    folder = work_folder(spark, "watched")
+    table, report_of = quality.watched(derived.flat_table(spark, sf_dir, defects=True).drop("event_id"), "release")
+    sinks.write_reviews(table, f"{folder}/reviews")
+    return report_of()
+
+
 @query
 def quality_read_csv(spark, sf_dir):
     """A table read from CSV, with words among the ratings, one column missing and two too many."""

@@ -144,3 +144,34 @@ def test_stored_and_missing(spark, books):
     assert [r.page for r in paging.stored_pages(needed, store).collect()] == [2]
     assert paging.missing_pages(needed, store).count() == 3
     assert paging.missing_pages(needed, store, refresh=True).count() == 4
+
+
+def test_failed_answers_are_no_stored_pages(spark, books):
+    needed = paging.frontier(books)
+    rows = [("x.org_1_reviews_page=1", 200), ("x.org_1_reviews_page=2", 429), ("x.org_1_reviews_page=3", None), ("x.org_5_reviews_page=1", 500)]
+    store = spark.createDataFrame([*rows, ("x.org_5_reviews_page=1", 200)], "page_key string, status int")
+    assert [r.page_key for r in paging.missing_pages(needed, store).orderBy("page").collect()] == [rows[1][0], rows[2][0]]
+    assert paging.stored_pages(needed, store).count() == 2
+    asks = store.filter("status = 200").withColumn("html", F.when(F.col("page_key").endswith("page=1"), "a Captcha").otherwise("<p>"))
+    assert paging.stored_pages(needed, asks).count() == 0
+
+
+def test_a_probe_moves_neither_the_store_nor_its_keys(spark, books, tmp_path):
+    needed = paging.frontier(books)
+    store = spark.createDataFrame([("x.org_1_reviews_page=2", 200), ("x.org_1_reviews_page=3", 500)], "page_key string, status int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = paging.write_keys(store, "probed_keys", str(tmp_path / "keys"), buckets=8)
+        for df, n in ((paging.stored_pages(needed, keys), 1), (paging.missing_pages(needed, keys), 3)):
+            text = df._jdf.queryExecution().executedPlan().toString()
+            # The keys are the join's last child: scanned from their buckets, without an exchange.
+            above = text[: text.index("Bucketed: true")].splitlines()[-4:-1]
+            assert "SortMergeJoin" in text and "Bucketed: true" in text
+            assert text.count("Exchange hashpartitioning(page_key") == 1 and not any("Exchange" in line for line in above), text
+            assert df.count() == n
+        more = spark.createDataFrame([("x.org_1_reviews_page=3", 200)], "page_key string, status int")
+        keys = paging.write_keys(more, "probed_keys", str(tmp_path / "keys"), buckets=8, append=True)
+        assert paging.missing_pages(needed, keys).count() == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS probed_keys")

@@ -2,7 +2,7 @@ import pytest
 from conftest import PAGE_SCHEMA, page
 from pyspark.sql import functions as F
 
-from shelfmark.operators import copies, report
+from shelfmark.operators import keyfilter, report
 from shelfmark.operators import reviews as rv
 from shelfmark.schema import review_table
 
@@ -72,10 +72,37 @@ def test_one_copy_of_each_page(spark, books, store):
 def test_only_listed_books_are_read_however_the_list_is(books, store, monkeypatch):
     want = texts(rv.reviews_of_books(books.filter("book_id = 2"), store))
     assert len(want) == 2
-    monkeypatch.setattr(copies, "MOST_KEYS", 0)
+    monkeypatch.setattr(keyfilter, "MOST_BLOCKS", 1)
     assert texts(rv.reviews_of_books(books.filter("book_id = 2"), store)) == want
 
 
+def test_pages_of_other_books_are_not_parsed(spark):
+    """The filter of a long list lets its own pages pass, and few others."""
+    listed = spark.range(300_000).select(F.concat(F.lit("https://b/"), F.col("id").cast("string")).alias("page_url"))
+    store = spark.range(250_000, 350_000, numPartitions=4).select(F.concat(F.lit("https://b/"), F.col("id").cast("string")).alias("page_url"), "id")
+    passed = keyfilter.possibly_in(store, "page_url", listed)
+    n = passed.filter("id < 300000").count(), passed.filter("id >= 300000").count()
+    assert n[0] == 50_000 and n[1] < 0.03 * 50_000
+    assert passed.columns == ["page_url", "id"]
+    keys = spark.createDataFrame([(None,), ("x",), ("x",)], "page_url string")
+    held = spark.createDataFrame([(None, 1), ("x", 2), ("y", 3)], "page_url string, id int")
+    assert [r.id for r in keyfilter.possibly_in(held, "page_url", keys).filter("id < 3").collect()] == [2]
+    assert keyfilter.possibly_in(held, "page_url", keys.filter("false")).count() == 0
+
+
+def test_lists_per_book(books, store, monkeypatch):
+    def lists(df):
+        rows = rv.reviews_per_book(df).orderBy("book_id", "chunk").collect()
+        return [(r.book_id, r.chunk, [x.review_text for x in r.reviews]) for r in rows]
+
+    nested = rv.nested_of_books(books, store)
+    assert lists(nested) == [("1", 0, ["a", "b", "a", "beyond the count"]), ("2", 0, ["c", "not counted"]), ("3", 0, []), ("4", 0, []), ("5", 0, [])]
+    monkeypatch.setattr(rv, "PAGES_PER_LIST", 2)
+    assert lists(nested)[:2] == [("1", 0, ["a", "b", "a"]), ("1", 1, ["beyond the count"])]
+    twice = rv.nested_of_books(books.union(books), store)
+    assert len(lists(twice)) == 2 * len(lists(nested)) and lists(twice)[0] == lists(nested)[0]
+
+
 def test_failed_answers_and_captchas_are_left_out(books, store):
     answers = store.withColumn("status", F.when(F.col("page") == 2, 500).otherwise(200))
     asks = F.when(F.col("page") == 4, F.concat(F.lit("<p>CAPTCHA"), "html")).otherwise(F.col("html"))

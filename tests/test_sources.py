@@ -2,7 +2,7 @@ import pytest
 from conftest import PAGE_SCHEMA, page, page_table
 from pyspark.sql import functions as F
 
-from shelfmark.operators import copies
+from shelfmark.operators import copies, quality
 from shelfmark.operators.linking import search_page_key
 from shelfmark.operators.pagestate import with_reviews
 from shelfmark.plans import pipeline
@@ -10,7 +10,6 @@ from shelfmark.schema import RAW_RATING
 from shelfmark.schema import page_table as page_schema
 from shelfmark.schema import required_columns, review_table
 from shelfmark.sources import sinks, tables
-from shelfmark.streaming import incremental
 
 
 def write(folder, name, text, encoding="utf-8"):
@@ -130,20 +129,6 @@ def test_quarantine_by_reason(spark, tmp_path):
     assert sorted((r.reason, r.page) for r in back.collect()) == [("no_reviews", 2), ("no_state", 1)]
 
 
-def test_incremental_runs_take_new_pages_once(spark, tmp_path):
-    folder = {n: str(tmp_path / n) for n in ("pages", "reviews", "checkpoint")}
-
-    def deliver(n, text):
-        html = page(apolloState={"Review:1": {"text": text, "rating": 4.7}})
-        spark.createDataFrame([(f"u{n}", n, html), (f"u{n}", n + 1, "<p>")], page_schema()).write.mode("append").parquet(folder["pages"])
-        stream = incremental.page_stream(spark, folder["pages"])
-        incremental.extract_new(stream, folder["reviews"], folder["checkpoint"]).awaitTermination()
-        return sorted((r.page_url, r.review_text, r.review_rating) for r in spark.read.parquet(folder["reviews"]).collect())
-
-    assert deliver(1, "a") == [("u1", "a", 4)]
-    assert deliver(5, "b") == [("u1", "a", 4), ("u5", "b", 4)]
-
-
 SEARCH = '<div class="bookTitle"><a href="/book/show/9.Emma">Emma</a><div class="authorName">by Jane Austen</div></div>'
 
 
@@ -161,6 +146,8 @@ def test_whole_run(spark, tmp_path):
     assert [r.book_url for r in tables.read_csv(spark, f"{out}/linked").orderBy("book_id").collect()] == [url[: -len("/reviews")], None]
     table = tables.read_reviews(spark, f"{out}/reviews_csv")
     assert [(r.page, r.review_rating) for r in table.orderBy("page").collect()] == [("1", 5.0), ("2", 5.0)]
+    rules = quality.run_suite(spark.read.parquet(f"{out}/reviews"), "release").collect()
+    assert summary["suite"].collect() == rules and summary["passed"] is True
     passed, report = pipeline.check(spark, f"{out}/reviews_csv", "contract")
     assert passed and all(r.passed for r in report.collect())
     assert pipeline.check(spark, f"{out}/nowhere", "release") == (False, None)
