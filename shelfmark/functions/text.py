@@ -21,10 +21,15 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
+# What counts as a line-break tag, and as a tag.
+LINE_BREAK = r"<br\s*/?>"
+TAG = r"<[^>]+>"
+
+
 def strip_markup(text: Column) -> Column:
     """Line-break tags become newlines, every other tag goes."""
-    lines = F.regexp_replace(text, r"<br\s*/?>", "\n")
-    return F.when(F.contains(text, F.lit("<")), F.regexp_replace(lines, r"<[^>]+>", "")).otherwise(text)
+    lines = F.regexp_replace(text, LINE_BREAK, "\n")
+    return F.when(F.contains(text, F.lit("<")), F.regexp_replace(lines, TAG, "")).otherwise(text)
 
 
 def preview(text: Column, length: int) -> Column:

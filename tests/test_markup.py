@@ -4,17 +4,19 @@ from shelfmark.functions.markup import _Scan, scan, text_of
 from shelfmark.operators.markupreviews import candidate_rows, markup_reviews, with_candidates
 from shelfmark.schema import MARKUP_REVIEW
 
-BOX = """
-<div class="review" id="{id}">
-  <div class="reviewHeader">
-    <a href="https://books.example.org/user/show/{user}" class="reviewerName">{name}</a>
-    <span class="reviewDate">{date}</span>
-  </div>
-  <span class="staticStars" title="{stars} stars">★★★★★</span>
-  <div class="reviewText"><span> {text} </span></div>
-  <span class="likeReview">{likes} likes</span> <span class="commentCount">{comments} comments</span>
-  <div class="shelves"><span>Shelves: {shelves}</span></div>
-</div>"""
+
+
+def box(*parts, attributes=""):
+    """A review box with the given parts, in the order they are given."""
+    return f'<div class="review" {attributes}>{"".join(parts)}</div>'
+
+
+def text(words):
+    return f'<div class="reviewText"><span> {words} </span></div>'
+
+
+def stars(title):
+    return f'<span class="staticStars" title="{title}"></span>'
 
 
 def found(spark, *pages):
@@ -23,20 +25,20 @@ def found(spark, *pages):
 
 
 def test_review_fields(spark):
-    one = BOX.format(id="review_31", user=701, name="Ines", date="January 15, 2023", stars=5,
-                     text="A fine book &amp; more", likes=42, comments=5, shelves="sea, winter ,\n\tfavorites")
-    two = BOX.format(id="review_32", user=702, name="Tomas", date="Mar 2, 2023", stars=4,
-                     text="Slow<br>but good", likes="no", comments=2, shelves="sea")
-    first, second = found(spark, f'<div class="reviewsContainer">{one}{two}</div>')
-    assert first == {
-        "i": 0, "pos": 0, "review_text": "A fine book & more", "review_rating": 5.0, "reviewer_id": "701",
-        "reviewer_name": "Ines", "review_upvotes": 42, "review_downvotes": 0,
-        "review_date": "2023-01-15T00:00:00", "review_url": "https://books.example.org/review/show/review_31",
-        "shelves": ["sea", "winter", "favorites"], "comment_count": 5, "date_unparsed": False,
-    }
-    assert (second["review_text"], second["review_date"], second["review_upvotes"], second["shelves"]) == (
-        "Slowbut good", "2023-03-02T00:00:00", 0, ["sea"],
+    """Parts may come in any order; each is found by its class."""
+    who = '<em><a class="reviewerName" href="/user/show/8080-wim?ref=nav">Wim</a></em>'
+    full = box(
+        '<div class="shelves">Shelves: maps ,\n\ttrains, north</div>', '<span class="commentCount">11 comments</span>', text("Rails &lt;and&gt; ice"),
+        '<span class="likeReview">7 likes</span>', stars("2 stars"), '<span class="reviewDate">August 9, 1987</span>', who, attributes='id="entry-6"',
     )
+    sparse = box('<span class="reviewDate">Dec 31, 2004</span>', text("Cold<br>and long"), '<span class="likeReview">no likes</span>')
+    first, second = found(spark, f"<section class='reviewsContainer'>{full}{sparse}</section>")
+    values = dict(zip(("i", "pos", "review_text", "review_rating", "reviewer_id"), (0, 0, "Rails <and> ice", 2.0, "8080")))
+    values |= dict(zip(("reviewer_name", "review_upvotes", "review_downvotes", "comment_count"), ("Wim", 7, 0, 11)))
+    values |= {"review_date": "1987-08-09T00:00:00", "date_unparsed": False, "shelves": ["maps", "trains", "north"]}
+    assert first == values | {"review_url": "https://books.example.org/review/show/entry-6"}
+    assert second["review_text"] == "Coldand long" and second["review_date"] == "2004-12-31T00:00:00"
+    assert second["review_upvotes"] == 0 and second["reviewer_id"] is None and second["shelves"] == []
 
 
 def test_schema(spark):
@@ -45,9 +47,6 @@ def test_schema(spark):
 
 
 def test_fallbacks(spark):
-    def box(inner, attributes=""):
-        return f'<div class="review" {attributes}>{inner}</div>'
-
     rows = found(
         spark,
         box('<span class="readable"><span>short</span></span><div class="reviewText"><span>long</span></div>')
@@ -56,8 +55,8 @@ def test_fallbacks(spark):
         + box('<span class="staticStars" title="1 star">★☆</span>')
         + box('<span class="staticStars">☆☆</span>')
         + box('<span class="staticStars p00">★★</span>')
-        + box('<a class="reviewDate" href="/review/show/9">2023-1-5</a>', 'id="r9"')
-        + box('<span class="reviewDate">yesterday</span>', 'id=""')
+        + box('<a class="reviewDate" href="/review/show/9">2023-1-5</a>', attributes='id="r9"')
+        + box('<span class="reviewDate">yesterday</span>', attributes='id=""')
         + box('<a class="actionLinkLite bookPageGenreLink">x </a><a class="bookPageGenreLink">no</a><div class="shelves">y</div>')
         + box('<a class="user" href="/u/1">N</a><a class="reviewerName" href="/user/show/2">M</a>'),
     )
@@ -101,16 +100,14 @@ def candidates(spark, html):
 
 
 def test_search_results_in_boxes(spark):
-    html = """<div class="searchResults">
-      <div class="bookTitle"><a href="https://books.example.org/book/show/4310.The_Harbour?from=x">The Harbour</a>
-        <div class="authorName">by M. Q. Arden</div></div>
-      <div class="bookTitle"><a href="/book/show/12">No author</a></div>
-      <div class="bookTitle"><a href="/author/12">No id</a><div class="authorName">X</div></div>
-      <div class="bookTitle"><a href="/book/show/77.Other">Other</a><div class="authorName"> byron</div></div></div>"""
-    assert candidates(spark, html) == [
-        (0, "The Harbour", "M. Q. Arden", "https://books.example.org/book/show/4310.The_Harbour", "4310"),
-        (1, "Other", "byron", "https://books.example.org/book/show/77.Other", "77"),
-    ]
+    """Results without an author or a number of their own are passed over."""
+    entries = [
+        ("/book/show/5.Salt", "Salt", "<div class='authorName'>Wren &amp; Oak</div>"), ("/book/show/6", "Alone", ""),
+        ("/list/6", "A list", "<div class='authorName'>Many</div>"), ("https://books.example.org/book/show/880?q=1", " Rye ", "<div class='authorName'>by Ash</div>"),
+    ]
+    html = "".join(f"<div class='bookTitle'>{author}<a href='{href}'>{title}</a></div>" for href, title, author in entries)
+    base = "https://books.example.org/book/show/"
+    assert candidates(spark, html) == [(0, "Salt", "Wren & Oak", f"{base}5.Salt", "5"), (1, "Rye", "Ash", f"{base}880", "880")]
 
 
 def test_search_results_in_a_table_come_first(spark):

@@ -14,6 +14,7 @@ def book(**reviews):
 
 
 def test_count_by_review_total(spark):
+    # Fixed value: so many reviews make 111 pages.
     stats = {"books": {"current": {"reviewStats": {"totalReviews": 3329}}}}
     assert count(spark, page(initialState=stats)) == 111
 
