@@ -112,7 +112,8 @@ class Packer:
             size = len(ids) - whole
             level = self.place(size)
             held = self.open[level].pop() if level else []
-            held.append((doc, whole, ids[whole:]))
+            # A copy: a view would keep all ids of the document alive as long as its last ones wait.
+            held.append((doc, whole, ids[whole:].copy()))
             if level:
                 self.levels[level] -= 1
             if level + size == self.window:

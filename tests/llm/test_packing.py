@@ -117,3 +117,11 @@ def test_pieces_hold_added_tokens(make):
         for r in pieces:
             piece = np.array(ids[r["start"] : r["start"] + r["length"]], "<u4")
             assert r["doc_tokens"] == len(ids) and zlib.crc32(piece.tobytes()) == r["ids_crc32"]
+
+
+def test_waiting_pieces_hold_their_own_ids_only():
+    packer = packing.Packer(64)
+    for i in range(50):
+        packer.add((i, 6401), np.arange(6401 + i, dtype=np.uint32))
+    waiting = [ids for level in packer.open for held in level for _, _, ids in held]
+    assert waiting and all(ids.base is None for ids in waiting)
