@@ -178,20 +178,26 @@ def links(
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_column: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    shingle: int = 3,
+    max_bits: int = 3,
+    id_column: str = "doc_id",
+    text: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``.
+    """(doc_id, fp, component_id, root) and the columns to keep for every row of ``docs``.
 
     Texts are lower-cased in A-Z and cut at ASCII white space. Fingerprints within ``max_bits`` are
-    linked, equal ones too; ``component_id`` is the least id reachable. Null and empty texts have
+    linked, equal ones too; ``component_id`` is the least id reachable. ``root`` is a fingerprint that
+    stands for the component: ids may clash, so that two components have the same least id. Null and empty texts have
     fingerprint 0 and are linked like others. Rows with a null id take part and get the component's
     id, which is null if no member has an id. Repeated rows stay, an empty table gives none.
     """
-    ids = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    marked = checkpointed(unpacked(with_fingerprint(ids, shingle, keep=["doc_id"]), F.col("fp")))
+    ids = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), *keep)
+    marked = checkpointed(unpacked(with_fingerprint(ids, shingle, keep=["doc_id", *keep]), F.col("fp")))
     distinct = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = components(links(distinct, max_bits)).withColumnRenamed("node", "fp")
     placed = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = placed.join(least, "root").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = placed.join(least, "root").select("fp", "component_id", "root")
+    return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id", "root", *keep)

@@ -68,10 +68,16 @@ def test_packing_takes_all(outputs):
 
 
 def test_repeated_and_unnamed_rows(spark, make):
-    docs = make((1, "a b c"), (1, "a b c"), (2, "a b c"), (None, "a b c"), (1, "other text here"))
+    long = "x y z w v u t s r q"
+    docs = make((1, "a b c"), (1, "a b c"), (2, "a b c"), (None, "a b c"), (1, long), (1, long), (None, "only here it is"), (None, None), (7, ""))
     kept = cp.keep_one_of_near_duplicates(spark, docs, DATA)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1]
+    got = sorted(((r["doc_id"] or 0), r["text"]) for r in kept.collect())
+    assert got == [(0, "only here it is"), (1, "a b c"), (1, long), (7, "")]
+
+
+def test_near_duplicates_of_an_empty_table(spark, make):
+    assert cp.keep_one_of_near_duplicates(spark, make(), DATA).count() == 0
 
 
 def test_run(spark, outputs):
@@ -84,7 +90,7 @@ import sys
 class Gone:
     def find_spec(self, name, path=None, target=None):
         if name.split(".")[:2] == ["shelfmark", "llm"] or name == "corpus_pipeline":
-            raise ModuleNotFoundError(name)
+            raise ModuleNotFoundError(name, name=name)
 sys.meta_path.insert(0, Gone())
 import __spark_entry__ as e
 assert len(e.queries()) > 50 and not [n for n in e.queries() if n.startswith("op") or n == "pipeline"]
