@@ -31,18 +31,25 @@ def delete_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id, and one row of it.
+    """Of each group of near-duplicates one row, that of the smallest id.
 
-    Documents without an id cannot stand for a group or be named; they stay.
+    Ids may be repeated or null: a row is chosen by its id and text, so a group never loses all its
+    rows to another group that shares an id. Rows without an id come after all others of their group.
+    Of rows alike in id and text the one with the least hash stays. Columns may have any names.
     """
-    marked = simhash.near_duplicates(docs, shingle=3, max_bits=3)
-    first = marked.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    # Rows that share an id lie in one partition already.
-    row = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    names = [F.col("row").getField(c).alias(c) for c in docs.columns]
-    one = kept.select("doc_id", F.struct(*docs.columns).alias("row"), row.alias("n")).filter("n = 1").select(*names)
-    return one.union(docs.filter("doc_id is null").select(*docs.columns))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("digest"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select("doc_id", "text", key.alias("key"), F.struct(F.xxhash64(row), row.alias("row")).alias("ranked"))
+    marked = simhash.near_duplicates(keyed.select("doc_id", "text", "key"), shingle=3, max_bits=3, keep=("key",))
+    # Narrow rows, aggregated before the shuffle however large a group is.
+    chosen = marked.groupBy("root").agg(F.min("key").alias("key")).select("key").distinct()
+    digest, none, number = F.col("key.digest"), F.col("key.none"), F.coalesce(F.col("key.id"), F.lit(0))
+    named = [digest.alias("digest"), none.alias("none"), number.alias("id")]
+    kept = keyed.select(*named, "ranked").join(chosen.select(*named), ["digest", "none", "id"], "left_semi")
+    # Rows that are alike lie in one partition already.
+    one = F.row_number().over(Window.partitionBy("digest", "none", "id").orderBy("ranked.col1"))
+    kept = kept.withColumn("n", one).filter("n = 1")
+    return kept.select(*[F.col("ranked.row").getField(c).alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
