@@ -17,8 +17,9 @@ surroundings, and equal windows hold it at the same place. The job follows from
 3. The covered words are removed.
 
 A slice of documents announces a name once and settles its own repeats at once, so a passage that a
-third of all documents hold costs one entry per slice. Entries travel packed, by hash buckets whose
-number follows the measured size of the texts. No task sees more than its buckets.
+third of all documents hold costs its bucket one entry per slice. What a slice has settled is told to
+the documents by way of buckets of theirs. Entries travel packed, by hash buckets whose number follows
+the measured size of the texts. No task sees more than its buckets.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ REACH, LONGEST = 4, 4
 # Words that a slice gathers before it announces, and bytes of text per bucket.
 SLICE_WORDS = 1 << 20
 BUCKET_BYTES = 32 << 20
-LEAST_BUCKETS, MOST_BUCKETS = 24, 1 << 17
+LEAST_BUCKETS = 24
 BUCKET = np.uint32
 # Bytes of a cut's name that travel; false candidates cost little, since windows are verified.
 CUT_BYTES = 5
@@ -136,7 +137,8 @@ def large(data: bytes, kind: str) -> np.ndarray:
 
 
 def message(bucket: int, known: bool, names: np.ndarray, owners: np.ndarray, places: np.ndarray, d, dk, size: int) -> dict:
-    """Entries of one bucket, ``size`` bytes of each name; a document's id is there once."""
+    """Entries of one bucket, ``size`` bytes of each name, none if known; a document's id is there once."""
+    size = 0 if known else size
     docs, counts = np.unique(owners, return_counts=True)
     return {
         "bucket": bucket,
@@ -152,18 +154,20 @@ def message(bucket: int, known: bool, names: np.ndarray, owners: np.ndarray, pla
 def entries(m: dict) -> tuple[np.ndarray, ...]:
     """Names, ids, text keys and places of a message's entries."""
     size = m["size"]
-    names = np.zeros((len(m["names"]) // size, 8), np.uint8)
-    names[:, :size] = np.frombuffer(m["names"], np.uint8).reshape(-1, size)
+    names = np.zeros((len(m["names"]) // size if size else 0, 8), np.uint8)
+    if size:
+        names[:, :size] = np.frombuffer(m["names"], np.uint8).reshape(-1, size)
     d, counts = np.split(large(m["docs"], "<i8"), 2)
     dk = np.frombuffer(m["dk"], "<i4")
     return names.view("<u8").ravel(), np.repeat(d, counts), np.repeat(dk, counts), large(m["places"], "<u4")
 
 
-def announced(names, buckets, owners, places, d, dk, size: int, smaller_only: bool) -> list[dict]:
+def announced(names, buckets, owners, places, d, dk, size: int, smaller_only: bool, n_buckets: int) -> list[dict]:
     """Messages of a slice, whose entries come by document, the documents by id.
 
     Names that its documents share are settled here: known to all of them or, with ``smaller_only``,
-    to those with a larger id than another. One entry goes out for a name.
+    to those with a larger id than another. One entry goes out for a name to the name's bucket; known
+    ones, of which a shared passage has as many as documents, are dealt by document.
     """
     order = np.argsort(names, kind="stable")
     sorted_names, sorted_owners = names[order], owners[order]
@@ -180,8 +184,9 @@ def announced(names, buckets, owners, places, d, dk, size: int, smaller_only: bo
     else:
         known = np.bincount(group)[group] > 1 if len(group) else new
         asks = new
+    home = (mixed(dk.astype(np.uint64)) % np.uint64(n_buckets)).astype(BUCKET)
     out = []
-    for which, is_known in ((known, True), (asks, False)):
+    for which, is_known, buckets in ((known, True, home[owners]), (asks, False, buckets)):
         at = np.sort(order[which])
         at = at[np.argsort(buckets[at], kind="stable")]
         edges = np.flatnonzero(np.diff(buckets[at].astype(np.int64), prepend=-1)).tolist() if len(at) else []
@@ -293,7 +298,7 @@ def without_repeats(
         raise ValueError(f"windows need {2 * REACH + LONGEST - 1} words at least")
     if n_buckets is None:
         size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
-        n_buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, size // BUCKET_BYTES))
+        n_buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
     keyed = docs.select(
         F.col(f"`{id_column}`").cast("bigint").alias("doc_id"),
         F.coalesce(F.col(f"`{id_column}`").cast("bigint"), F.lit(NO_ID)).alias("d"),
@@ -307,7 +312,7 @@ def without_repeats(
             at, names = part.cuts()
             own = part.owner[at]
             buckets = ((names >> np.uint64(40)) % np.uint64(n_buckets)).astype(BUCKET)
-            return announced(names, buckets, own, at - part.start[own], *ids_of(rows), CUT_BYTES, False)
+            return announced(names, buckets, own, at - part.start[own], *ids_of(rows), CUT_BYTES, False, n_buckets)
 
         yield from in_slices(batches, work)
 
@@ -331,7 +336,7 @@ def without_repeats(
             own = part.owner[starts]
             windows = sequences(part.words, starts, width, 2)
             buckets = (sequences(part.words, starts, width, 5) % np.uint64(n_buckets)).astype(BUCKET)
-            return announced(windows, buckets, own, starts - part.start[own], *ids_of(rows), 8, True)
+            return announced(windows, buckets, own, starts - part.start[own], *ids_of(rows), 8, True, n_buckets)
 
         yield from in_slices(batches, work)
 
