@@ -85,7 +85,12 @@ found AS ({found}),
 placed AS (SELECT *, hi - length(m) AS lo FROM (
   SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS hi FROM found)),
 base AS (SELECT doc_id, kind, lo, hi FROM placed WHERE kind < {first} AND length(v) >= CASE kind {least} END),
-candidates AS (SELECT * FROM placed WHERE kind >= {first} AND NOT ({allowed})),
+cut AS (SELECT doc_id, kind, i, lo, string_split_regex(m, {quote(secrets.PLACEHOLDER)}) AS parts,
+  regexp_extract_all(m, {quote(secrets.PLACEHOLDER)}) AS words FROM placed WHERE kind >= {first}),
+pieces AS (SELECT doc_id, kind, i * 1000000 + k AS i, parts[k] AS m,
+  lo + coalesce(list_sum(list_transform(list_concat(parts[1:k - 1], words[1:k - 1]), lambda x: length(x))), 0) AS lo
+  FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS k FROM cut)),
+candidates AS (SELECT * FROM pieces WHERE NOT ({allowed})),
 hot AS ({hot}),
 islands AS (SELECT *, sum(CASE WHEN s <= before + w THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, kind, i ORDER BY s) AS island
   FROM (SELECT *, lag(s) OVER (PARTITION BY doc_id, kind, i ORDER BY s) AS before FROM hot)),

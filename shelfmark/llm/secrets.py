@@ -3,7 +3,9 @@
 Patterns give base spans of known kinds. Candidate strings of a character class are then scanned
 with a sliding window whose Shannon entropy is kept by incremental counts: one character enters, one
 leaves, and the sum of c * log2(c) over the counts changes by table values. Windows of high entropy
-are merged to spans, unless an allow-list pattern fits the candidate or a base span covers them.
+are merged to spans. The allow-list suppresses: a placeholder word cuts a candidate, and what is left on
+either side is judged by itself; a candidate that is a word, a number or a UUID as a whole is left out;
+and so are windows that a base span covers.
 """
 
 from __future__ import annotations
@@ -56,11 +58,12 @@ CLASSES = [
     CharacterClass("mixed_hex", "0-9A-Fa-f", DIGITS + "ABCDEF" + "abcdef", 24, 3.0),
     CharacterClass("base64", "A-Za-z0-9+/_=-", DIGITS + UPPER + LOWER + "+/_=-", 24, 3.9),
 ]
-# Candidates that are no secrets: words and paths without digits, placeholders, UUIDs, bare numbers.
+# Words in candidates that are no part of a secret.
+PLACEHOLDER = r"(?i)(?:example|sample|placeholder|changeme|dummy|your[_-]?(?:key|token|secret)|x{6,}|0123456789|abcdefghij)"
+# Candidates that are no secrets: words and paths without digits, bare numbers, UUIDs.
 ALLOWED = [
     r"^[^0-9]*$",
     r"^[0-9]*$",
-    r"(?i)example|sample|placeholder|changeme|dummy|your[_-]?(key|token|secret)|x{6,}|0123456789|abcdefghij",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
 ]
 
@@ -129,7 +132,8 @@ def with_secrets(docs: DataFrame, text: str = "text", allowed: list[str] | None
     in code points, end exclusive, in order; ``kind`` numbers ``KINDS``.
 
     Base spans are the leftmost matches of each kind that do not overlap, without those that are too
-    short. Added spans are merged windows of high entropy; the allow-list suppresses only these. A
+    short. Added spans are merged windows of high entropy; the allow-list suppresses only these. What
+    is shorter than a window, 24 characters, is judged by the base patterns alone. Columns may have any names. A
     null text counts as empty and has no span. Very long texts with very many matches are added up
     in parts. Repeated rows get equal results; an empty table gives none.
     """
@@ -155,7 +159,7 @@ def with_secrets(docs: DataFrame, text: str = "text", allowed: list[str] | None
         for i, (_, _, _, least) in enumerate(BASE)
     ]
     rules = ALLOWED if allowed is None else allowed
-    candidates = {f"candidates_{i}": candidates_of(i, rules) for i in range(len(BASE), len(patterns))}
+    candidates = {f"candidates_{i}": candidates_of(i, c, rules) for i, c in enumerate(CLASSES, len(BASE))}
     scanned = compute_once(scanned, **{f"places_{i}": placed(i) for i in range(len(patterns))})
     scanned = compute_once(scanned.drop("t"), base=F.array_sort(F.concat(*base)), **candidates)
     hot = F.concat(*[hot_spans(i, c) for i, c in enumerate(CLASSES, len(BASE))])
@@ -164,10 +168,20 @@ def with_secrets(docs: DataFrame, text: str = "text", allowed: list[str] | None
     return scanned.select("row", "base", outside.alias("added"))
 
 
-def candidates_of(i: int, rules: list[str]) -> Column:
-    """Start and text of the matches of class i that no allow-list rule fits."""
-    both = F.zip_with(f"places_{i}", f"found_{i}", lambda p, f: F.struct(p["lo"].alias("lo"), f.alias("text")))
-    return F.filter(both, lambda x: ~any_match(x["text"], rules))
+def candidates_of(i: int, c: CharacterClass, rules: list[str]) -> Column:
+    """Start and text of the matches of class i, cut at placeholder words, that no allow-list rule fits."""
+    words = PLACEHOLDER.replace("'", "''")
+    pieces = F.expr(
+        f"""flatten(transform(zip_with(places_{i}, found_{i}, (p, f) -> struct(p.lo as lo, f as text)), x -> if(
+        not x.text rlike r'{words}', array(x), aggregate(
+          zip_with(split(x.text, r'{words}', -1), regexp_extract_all(x.text, r'{words}', 0),
+            (part, word) -> struct(part as part, coalesce(length(word), 0) as skip)),
+          struct(x.lo as upto, cast(array() as array<struct<lo:int,text:string>>) as done),
+          (s, y) -> struct(s.upto + length(y.part) + y.skip as upto,
+            array_append(s.done, struct(s.upto as lo, y.part as text)) as done),
+          s -> s.done))))"""
+    )
+    return F.filter(pieces, lambda x: (F.char_length(x["text"]) >= c.window) & ~any_match(x["text"], rules))
 
 
 def any_match(candidate: Column, rules: list[str]) -> Column:

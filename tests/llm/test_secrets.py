@@ -26,6 +26,8 @@ CASES = [
     "3F2504E04F8941D39A0C0305E82C3301 F00DFACE99AA77B1C2D3E4F5",
     "3f2504e0-4f89-41d3-9a0c-0305e82c3301",
     "example-" + BLOB,
+    f"/a/example/{BLOB}/b and {BLOB}SAMPLE{BLOB[::-1]}-Dummy{BLOB[:20]}xxxxxxx",
+    f"sample{BLOB} changemechangeme{BLOB[:23]}",
     "9" * 60,
     (BLOB + " ") * 40,
     " ".join(f"token=abcdefgh{i} \n x" for i in range(2600)),
@@ -40,10 +42,20 @@ def brute(text):
     added = []
     for kind, c in enumerate(s.CLASSES, len(s.BASE)):
         for m in re.finditer(c.pattern, text):
-            x = m.group()
-            if any(re.search(a, x) for a in s.ALLOWED):
-                continue
-            spans = []
+            added += judged(m, kind, c)
+    added = [h for h in added if not any(b[0] <= h[0] and b[2] >= h[2] for b in base)]
+    return sorted(base), sorted(added)
+
+
+def judged(m, kind, c):
+    """Spans of one candidate, piece by piece between its placeholder words."""
+    edges = [(m.start(), m.start())] + [(m.start() + w.start(), m.start() + w.end()) for w in re.finditer(s.PLACEHOLDER, m.group())]
+    edges.append((m.end(), m.end()))
+    added = []
+    for (_, start), (end, _) in zip(edges, edges[1:]):
+        x = m.string[start:end]
+        spans = []
+        if not any(re.search(a, x) for a in s.ALLOWED):
             for lo in range(len(x) - c.window + 1):
                 w = x[lo : lo + c.window]
                 bits = -sum(w.count(a) / c.window * math.log2(w.count(a) / c.window) for a in set(w))
@@ -52,9 +64,8 @@ def brute(text):
                         spans[-1][1] = lo + c.window
                     else:
                         spans.append([lo, lo + c.window])
-            added += [(m.start() + a, kind, m.start() + b) for a, b in spans]
-    added = [h for h in added if not any(b[0] <= h[0] and b[2] >= h[2] for b in base)]
-    return sorted(base), sorted(added)
+        added += [(start + a, kind, start + b) for a, b in spans]
+    return added
 
 
 def test_against_brute_force(make):
