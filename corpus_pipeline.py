@@ -16,13 +16,21 @@ from shelfmark.llm.queries import THRESHOLD, remainder
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score stays below the threshold."""
+    """Documents whose score stays below the threshold.
+
+    Null and empty texts have a score too. Repeated rows are judged alike, null ids are not learned from,
+    an empty table stays empty, and columns may have any names.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=remainder("doc_id", 4) != 2)
     return unpacked(toxicity.with_toxicity(docs, model).filter(F.col("score") < THRESHOLD))
 
 
 def delete_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the later copies of repeated line runs; ``n_chars`` follows the text."""
+    """All documents, without the later copies of repeated line runs; ``n_chars`` follows the text.
+
+    A null text stays null, an emptied one stays in place. Repeated rows are treated alike, null ids come
+    after all others, an empty table stays empty, and columns may have any names.
+    """
     found = lines.without_repeated_lines(docs)
     changed = {"text": F.col("kept")}
     if "n_chars" in docs.columns:
@@ -53,12 +61,20 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item.
+
+    Null and empty texts hold none and stay, as do repeated rows without one; an empty table stays empty,
+    and columns may have any names.
+    """
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in training sequences."""
+    """The pieces of all documents in training sequences.
+
+    A null or empty text has one piece, the id that ends a document. Repeated rows and null ids are packed
+    like others; an empty table gives no piece. Only ``doc_id`` and ``text`` are read.
+    """
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
