@@ -342,8 +342,10 @@ kinds AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ')
 damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
   unnest(range(0, CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM kinds WHERE kind <> 0),
-placed AS (SELECT *, row_number() OVER c AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS times,
-  lead(role[:1]) OVER c AS following FROM damaged WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+-- Equal rows have no order but this number, so it decides which of them comes first.
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS times,
+  lead(role[:1]) OVER (PARTITION BY conv_id ORDER BY i) AS following FROM numbered),
 judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
 ]') THEN 'blank' WHEN times > 1 THEN 'duplicate'
   WHEN NOT regexp_matches(text, '[.!?][ 	-

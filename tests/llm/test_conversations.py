@@ -1,12 +1,13 @@
 import hashlib
 import random
 import re
+import zlib
 from functools import cache
 
 import pytest
 
 from shelfmark.llm import conversations as conv
-from shelfmark.llm.queries import QUERIES
+from shelfmark.llm.queries import ORACLE, QUERIES
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, row string, audit int"
 P = conv.Prices()
@@ -157,3 +158,30 @@ def test_query_takes_conversations_that_vanish(spark, tmp_path):
     empty = hashlib.sha256(b"").hexdigest()
     gone = [r for r in got if r["audit"] == ""]
     assert gone and all(tuple(r)[1:] == (0, 0, 0, 0, 0, 0, "", empty) for r in gone)
+
+
+def damaged(rows):
+    """The damage that the query does, row by row."""
+    out = {}
+    for c, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if c is None else c}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        role = "user" if kind == 4 else role
+        out.setdefault(c, []).extend([(turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1))
+    return out
+
+
+def test_sql_against_brute_force():
+    """Also where the damage repeats a row, so that equal rows have one turn."""
+    duckdb = pytest.importorskip("duckdb")
+    rng = random.Random(12)
+    rows = [(c, t, rng.choice(ROLES[:5]), rng.choice(TEXTS) if rng.random() < 0.3 else f"{c} {t}.") for c in range(250) for t in range(rng.randint(1, 6))]
+    rows += [(None, t, "user", None) for t in range(3)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    names = "conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256"
+    told_by_sql = {r[0]: r[1:] for r in con.execute(f"SELECT {names} FROM ({ORACLE['op11_conversation_repair']})").fetchall()}
+    assert told_by_sql == {c: brute(r) for c, r in damaged(rows).items()}
+    assert sum("KD" in r[6] for r in told_by_sql.values()) > 5
