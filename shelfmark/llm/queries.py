@@ -133,30 +133,59 @@ def op3_license_scan(spark, sf_dir):
 
 def license_sql() -> str:
     quote = lambda x: "'" + x.replace("'", "''") + "'"
-    known = ", ".join(f"({quote(s)}, {quote(i)})" for s, i in licenses.known_sentences().items())
+    sentences = licenses.known_sentences()
+    known = ", ".join(f"({quote(s)}, {quote(i)})" for s, i in sentences.items())
+    opening = ", ".join(f"({quote(s)})" for s in licenses.openings(sentences))
+    spdx = ", ".join(f"({quote(s)}, {quote(i)})" for s, i in licenses.spdx_names().items())
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    for pattern, by in licenses.REPLACED:
+        lowered = f"regexp_replace({lowered}, {quote(pattern)}, {quote(by.replace('{1}', chr(92) + '1'))}, 'g')"
     chain = "sequence"
-    for number, (_, ids) in enumerate(licenses.RULES):
+    for number, (_, ids) in enumerate(licenses.EVERY_RULE):
         chain = f"replace({chain}, {quote(';' + ';;'.join(ids) + ';')}, ';#{number};')"
-    names = ", ".join(quote(name) for name, _ in licenses.RULES)
+    names = ", ".join(quote(name) for name, _ in licenses.EVERY_RULE)
+    tag = licenses.SPDX_TAG
+    # These expressions cannot look ahead: the letter or digit behind a label is put back instead.
+    label = licenses.LABEL.replace("(?=[a-z0-9])", "([a-z0-9])")
     return rf"""
-WITH
+WITH RECURSIVE
 sentences(sentence, id) AS (VALUES {known}),
-lowered AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
-  FROM documents),
+openings(opening) AS (VALUES {opening}),
+spdx(name, id) AS (VALUES {spdx}),
+lowered AS (SELECT doc_id, {lowered} AS t FROM documents),
 -- The blanks behind a mark become a line break, since these expressions cannot look behind.
-cut AS (SELECT doc_id, string_split_regex(regexp_replace(t, '([.;:!?])[ 	]+', '' || chr(10), 'g'), '[
-
-]+') AS raw
-  FROM lowered),
-plain AS (SELECT doc_id, list_filter(list_transform(raw, lambda s: trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))),
-  lambda s: s <> '') AS s FROM cut),
-each AS (SELECT doc_id, unnest(s) AS sentence, unnest(range(0, len(s))) AS place FROM plain),
-known AS (SELECT doc_id, string_agg(place || ':' || id, ',' ORDER BY place) AS sentences,
-  ';' || string_agg(id, ';;' ORDER BY place) || ';' AS sequence FROM each JOIN sentences USING (sentence) GROUP BY doc_id),
-taken AS (SELECT doc_id, sentences, regexp_extract_all({chain}, '#([0-9]+);', 1) AS rules FROM known)
+cut AS (SELECT row_number() OVER () AS doc, doc_id, string_split_regex(regexp_replace(t, '([.;:!?])[\x20\x09]+', '\1' || chr(10), 'g'),
+  '[\x0A\x0D]+') AS raw FROM lowered),
+plain AS (SELECT doc, doc_id, list_filter(list_transform(raw, lambda r: {{
+    'words': trim(regexp_replace(regexp_replace(r, '{label}', '\1'), '[^a-z0-9]+', ' ', 'g')),
+    'stop': regexp_matches(r, '{licenses.ENDED}')}}), lambda s: s.words <> '') AS s FROM cut),
+each AS (SELECT doc, unnest(range(0, len(s))) AS place, unnest(s).words AS words, unnest(s).stop AS stop FROM plain),
+-- Runs of pieces, as long as they open a known sentence; known ones have an id.
+runs AS (
+  SELECT doc, place, 1 AS n, words AS run, (NOT stop AND opening IS NOT NULL) AS goes_on, id
+  FROM each LEFT JOIN sentences ON words = sentence LEFT JOIN openings ON words = opening
+  WHERE id IS NOT NULL OR (NOT stop AND opening IS NOT NULL)
+  UNION ALL
+  SELECT r.doc, r.place, r.n + 1, r.run || ' ' || e.words, (NOT e.stop AND o.opening IS NOT NULL), k.id
+  FROM runs r JOIN each e ON e.doc = r.doc AND e.place = r.place + r.n
+  LEFT JOIN sentences k ON k.sentence = r.run || ' ' || e.words LEFT JOIN openings o ON o.opening = r.run || ' ' || e.words
+  WHERE r.goes_on),
+longest AS (SELECT doc, place, max(n) AS n, arg_max(id, n) AS id FROM runs WHERE id IS NOT NULL GROUP BY doc, place),
+before AS (SELECT *, max(place + n) OVER (PARTITION BY doc ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto
+  FROM longest),
+followed AS (SELECT doc, place, words, lead(words) OVER (PARTITION BY doc ORDER BY place) AS next FROM each),
+tags AS (SELECT doc, place, string_split_regex(replace(CASE WHEN suffix(words, '{tag}') THEN next
+    ELSE substr(words, {len(tag) + 2}) END, ' or later', ' orlater'), '{licenses.OPERATOR}') AS parts
+  FROM followed WHERE suffix(words, '{tag}') OR prefix(words, '{tag} ')),
+named AS (SELECT doc, place, unnest(parts) AS name, unnest(range(1, len(parts) + 1)) AS part FROM tags),
+every AS (SELECT doc, place, 0 AS part, id FROM before WHERE upto IS NULL OR upto < place + n
+  UNION ALL SELECT doc, place, part, id FROM named JOIN spdx USING (name)),
+known AS (SELECT doc, string_agg(place || ':' || id, ',' ORDER BY place, part) AS sentences,
+  ';' || string_agg(id, ';;' ORDER BY place, part) || ';' AS sequence FROM every GROUP BY doc),
+taken AS (SELECT doc, sentences, regexp_extract_all({chain}, '#([0-9]+);', 1) AS rules FROM known)
 SELECT doc_id, len(s) AS n_sentences, coalesce(sentences, '') AS sentences,
   coalesce(array_to_string(list_transform(rules, lambda n: [{names}][CAST(n AS INTEGER) + 1]), ','), '') AS licenses
-FROM plain LEFT JOIN taken USING (doc_id)
+FROM plain LEFT JOIN taken USING (doc)
 """
 
 

@@ -3,6 +3,7 @@ import textwrap
 import pytest
 
 from shelfmark.llm import licenses as li
+from shelfmark.llm.queries import ORACLE
 
 MIT = "\n".join(li.SENTENCES[i][0] for i in ("MITgrant", "MITnotice", "MITwarranty"))
 
@@ -99,3 +100,79 @@ def test_usual_headers(make):
 
 
 WRAPPED_APACHE = ["Apache2ref", "Apache2comply", "Apache2copy", "Apache2asis"]
+
+
+BSD3 = ["BSDgrant", "BSDsource", "BSDbinary", "BSDendorse", "BSDwarranty"]
+HOLDERS = ["Example Inc.", "the University of Somewhere, its Regents", "Foo & Bar GmbH"]
+
+
+def held(holder, leader="", width=72):
+    """A three-clause text of a holder who is named in two sentences."""
+    text = []
+    for i in BSD3:
+        one = li.SENTENCES[i][0].replace("the copyright holder nor", holder + " nor")
+        one = one.replace("the copyright holders and contributors", holder + " AND CONTRIBUTORS")
+        text += [*textwrap.fill(one, width).split("\n"), ""]
+    return "\n".join(leader + line for line in text)
+
+
+@pytest.mark.parametrize("holder", HOLDERS)
+def test_holders_are_named(make, holder):
+    got = found(make, *[held(holder, leader, width) for leader in ("", " * ", "# ") for width in (24, 72, 10_000)])
+    for r in got.values():
+        assert r["licenses"] == ["BSD-3-Clause"] and [k["id"] for k in r["known"]] == BSD3
+
+
+NOTICES = [
+    ("SPDX-License-Identifier: MIT\nx = 1", ["MIT"]),
+    ("// SPDX-License-Identifier: GPL-2.0-or-later\n", ["GPL-2.0-or-later"]),
+    ("/* SPDX-License-Identifier: (GPL-2.0+ OR BSD-3-Clause) */", ["GPL-2.0-or-later", "BSD-3-Clause"]),
+    ("# SPDX-License-Identifier: GPL-2.0-only WITH Some-exception", ["GPL-2.0-only"]),
+    ("# SPDX-License-Identifier:Apache-2.0 AND MIT AND Nothing-1.0", ["Apache-2.0", "MIT"]),
+    ("rem SPDX-License-Identifier: Nothing-1.0", []),
+    ("All rights reserved. SPDX-License-Identifier:", ["Proprietary"]),
+    ("MIT License\nSPDX-License-Identifier: GPL-3.0\nISC License", ["MIT", "GPL-3.0-only", "ISC"]),
+    ("Mozilla Public License Version 2.0", ["MPL-2.0"]),
+    ("Apache License, Version 2.0 or MIT", ["Apache-2.0 OR MIT"]),
+    ("    GNU GENERAL PUBLIC LICENSE\n       Version 3, 29 June 2007\n\n Copyright", ["GPL-3.0-only"]),
+    (
+        "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\n"
+        "License as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+        ["LGPL-2.1-or-later"],
+    ),
+    (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version.",
+        ["GPL-3.0-or-later"],
+    ),
+]
+
+
+def test_tags_heads_and_notices(make):
+    got = found(make, *[t for t, _ in NOTICES])
+    assert [got[i]["licenses"] for i in range(len(NOTICES))] == [want for _, want in NOTICES]
+
+
+def test_very_long_text(make):
+    # Words that open a sentence again and again, with tags and a holder far behind.
+    text = "Neither the name of\n" * 30_000 + "SPDX-License-Identifier: MIT\n" * 2_000 + held("Example Inc.")
+    row = found(make, text)[0]
+    assert row["licenses"] == ["MIT"] * 2_000 + ["BSD-3-Clause"]
+
+
+def test_sql_says_the_same(spark, make):
+    duckdb = pytest.importorskip("duckdb")
+    texts = [t for t, _ in NOTICES] + [held(h, leader, 30) for h in HOLDERS for leader in ("", " * ")]
+    texts += [wrapped(ids, leader, width) for ids in WRAPPED.values() for leader in ("# ", "dnl ") for width in (20, 72)]
+    texts += [wrapped(["BSDgrant"]) + wrapped(["BSDsource"], label="1) ") + wrapped(["BSDbinary"], label="(b) ")]
+    texts += [None, "", "v. 2.0.", "GPL-2.0+ MIT License\r\n\r\nMIT\tLicense", "SPDX-License-Identifier: MIT", "SPDX-License-Identifier: MIT"]
+    rows = list(enumerate(texts))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, n_sentences, sentences, licenses FROM ({ORACLE['op3_license_scan']})").fetchall()}
+    got = found(make, *texts)
+    assert len(want) == len(got) == len(texts)
+    for i, r in got.items():
+        names = ",".join(f"{k['place']}:{k['id']}" for k in r["known"])
+        assert (r["n_sentences"], names, ",".join(r["licenses"])) == want[i], texts[i]
