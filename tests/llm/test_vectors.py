@@ -57,9 +57,51 @@ def test_footrule():
         full[order] = np.arange(5)
         return full
 
-    for q, rows in zip(asked, vectors.footrule(asked, own, 12, 20)):
-        distance = np.array([np.abs(places(q) - places(o)).sum() for o in own])
-        assert rows.tolist() == np.flatnonzero(distance <= sorted(distance)[19]).tolist()
+    files = vectors.Files(own.astype(np.int32), 2)
+    for q in asked:
+        distance = [np.abs(places(q) - places(o)).sum() for o in own]
+        assert files.footrule(q, np.arange(60)).tolist() == distance
+        assert files.footrule(q, np.array([3, 50])).tolist() == [distance[3], distance[50]]
+        assert files.posted(q[:3]).tolist() == [i for i, o in enumerate(own) if set(o[:2]) & set(q[:3])]
+    assert files.posted(np.array([99])).tolist() == []
+
+
+def test_units_are_bounded():
+    counts = np.array([5, 3, 30, 2, 9, 0, 11])
+    first, parts = vectors.units_of(counts, np.arange(7), 10)
+    held = {}
+    for f, p, c in zip(first, parts, counts):
+        for u in range(p):
+            held[f + u] = held.get(f + u, 0) + c / p
+    assert max(held.values()) <= 10 and parts.tolist() == [1, 1, 3, 1, 1, 1, 2]
+
+
+def test_clusters_open_few_files(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(60, 24))
+    x = centres[rng.integers(0, 60, 6000)] + 0.25 * rng.normal(size=(6000, 24))
+    df = spark.createDataFrame([(i, v.tolist(), 1, "x") for i, v in enumerate(x)], SCHEMA.replace("float", "double"))
+    monkeypatch.setattr(vectors, "BLOCK", 500)
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", 16)
+    opened, deal = [], vectors.Index.deal
+    monkeypatch.setattr(vectors.Index, "deal", lambda index, points: (opened.append(index.opened / len(index.pivots)), deal(index, points)))
+    got = {}
+    for r in vectors.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    shares = [len(set(got[q]) & set(brute(list(range(6000)), x, q, 20))) / 20 for q in got]
+    assert len(got) == 300 and all(len(v) == 20 for v in got.values()) and np.mean(shares) >= 0.9
+    assert opened[0] < 0.3
+
+
+def test_repeated_ids_with_different_vectors(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i % 60, rng.normal(size=4).tolist(), 1, "a") for i in range(180)]
+    got = {}
+    for r in vectors.nearest(spark.createDataFrame(rows, SCHEMA.replace("float", "double")), F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], []).append((-r["score"], r["vec_id"]))
+    assert sorted(got) == [0, 20, 40]
+    for q, found in got.items():
+        assert len(found) == len({i for _, i in found}) == 20 and sorted(found) == found and q not in {i for _, i in found}
 
 
 def test_odd_vectors_ties_and_few(spark):
