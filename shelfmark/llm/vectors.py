@@ -133,13 +133,14 @@ class Files:
         slots = slots.reshape(own.shape)
         rows = np.arange(len(own))
         # The last line stands for all pivots that none of the vectors has in its order.
-        self.places = np.full((len(self.pivots) + 1, len(own)), self.prefix, np.int16)
+        # Differences of places and their sums in pairs fit the kind.
+        self.kind = np.int8 if self.prefix < 64 else np.int32
+        self.places = np.full((len(self.pivots) + 1, len(own)), self.prefix, self.kind)
         for place in range(self.prefix):
             self.places[slots[:, place], rows] = place
         posted = slots[:, :files].ravel()
         by_pivot = np.argsort(posted, kind="stable")
-        self.rows = np.repeat(rows, min(files, self.prefix))[by_pivot]
-        self.ends = np.searchsorted(posted[by_pivot], np.arange(len(self.pivots) + 1))
+        self.rows, self.file = np.repeat(rows, min(files, self.prefix))[by_pivot], posted[by_pivot]
 
     def slots(self, pivots: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.pivots, pivots)
@@ -149,16 +150,18 @@ class Files:
 
     def posted(self, opened: np.ndarray) -> np.ndarray:
         """The rows in the opened files."""
+        is_open = np.zeros(len(self.pivots) + 1, bool)
+        is_open[self.slots(opened)] = True
         found = np.zeros(self.places.shape[1], bool)
-        for s in self.slots(opened):
-            if s < len(self.pivots):
-                found[self.rows[self.ends[s] : self.ends[s + 1]]] = True
+        found[self.rows[is_open[self.file]]] = True
         return np.flatnonzero(found)
 
     def footrule(self, order: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Sums of the place differences between one order and those of the rows."""
-        theirs = self.places[self.slots(order)][:, rows]
-        shared = np.abs(theirs - np.arange(self.prefix, dtype=np.int16)[:, None]) + theirs - self.prefix
+        theirs = self.places[self.slots(order)].take(rows, axis=1)
+        shared = np.abs(theirs - np.arange(self.prefix, dtype=self.kind)[:, None])
+        shared += theirs
+        shared -= self.kind(self.prefix)
         return shared.sum(axis=0, dtype=np.int32) + self.prefix * (self.prefix + 1) // 2
 
 
@@ -328,6 +331,9 @@ class Index:
                     last = max(self.upto, int(np.partition(distance, self.least - 1)[self.least - 1]))
                     rows = rows[distance <= last]
                 scores = x[rows] @ y[i]
+                if len(rows) > self.least:
+                    among = scores >= np.partition(scores, len(rows) - self.least)[len(rows) - self.least]
+                    rows, scores = rows[among], scores[among]
                 best, last_score = {}, -math.inf
                 for j in np.lexsort((smallest[rows], -scores)):
                     if len(best) > self.k and scores[j] < last_score:
