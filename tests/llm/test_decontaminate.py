@@ -1,5 +1,7 @@
+import pickle
 import random
 
+import numpy as np
 import pytest
 
 from shelfmark.llm import decontaminate as dc
@@ -67,6 +69,26 @@ def test_random_words(spark, make):
     check(spark, make, texts, items, width=5, block_bytes=60)
 
 
+def test_long_items_and_texts_in_pieces(spark, make, monkeypatch):
+    rng = random.Random(4)
+    monkeypatch.setattr(dc, "PIECE", 7)
+    monkeypatch.setattr(dc, "AT_A_TIME", 5)
+    long = [f"w{rng.randint(0, 40)}" for _ in range(1500)]
+    items = [(1, " ".join(long[:600])), (2, " ".join(long[300:330])), (-1, "w1 w2"), (3, " ".join(long[590:600]))]
+    texts = [" ".join(long), " ".join(long[250:420] * 3), " ".join(long[595:]), "w1 w2 " * 50, " ".join(long[591:599])]
+    check(spark, make, texts, items, block_bytes=400)
+    check(spark, make, texts, items)
+
+
+def test_index_is_a_few_arrays():
+    rng = random.Random(9)
+    words = [f"{rng.randint(0, 5000):x}" for _ in range(120_000)]
+    index = dc.Index([(i, " ".join(words[i : i + 2000]).encode()) for i in range(0, len(words), 2000)], 10, 3)
+    index.set_prefixes(np.arange(0), np.arange(0))
+    size = len(pickle.dumps(index))
+    assert len(index.windows) > 110_000 and size < 100 * len(words)
+
+
 def test_clean_keeps_columns_and_rows(spark, make):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     docs = make((1, "short item"), (2, "clean text"), (None, None), (2, "clean text"))
