@@ -90,3 +90,30 @@ def with_policy(
             if tests:
                 allowed = allowed.when(functools.reduce(operator.or_, tests), kind == "allow")
     return urls.withColumn("allowed", allowed.otherwise(True))
+
+
+def with_policy_joined(
+    urls: DataFrame,
+    path: str,
+    rules: list[tuple[str, str, str]],
+    mode: str = "any_agent",
+    agent: str = "*",
+) -> DataFrame:
+    """What ``with_policy`` adds, by an equi-join of path prefixes with the literal heads of the rules.
+
+    The rules are a table, of any length. A path is cut only at the lengths that heads have, and what
+    the head lets through gets the full test. Distinct paths are tested once, however often they occur.
+    """
+    rows = []
+    for kind, pattern in _applicable(rules, mode, agent):
+        literal = mode == "any_agent"
+        head = pattern if literal else re.split(r"\*|\$\Z", pattern)[0]
+        rows.append((head, "^" + re.escape(pattern) if literal else _regex(pattern), len(pattern), kind == "allow"))
+    heads = urls.sparkSession.createDataFrame(rows, "head string, regex string, length int, allow boolean")
+    lengths = F.array(*[F.lit(n) for n in sorted({len(r[0]) for r in rows})]).cast("array<int>")
+    paths = urls.select(F.col(path).alias("_path")).filter("_path IS NOT NULL").distinct()
+    cut = paths.withColumn("n", F.explode(F.filter(lengths, lambda n: n <= F.char_length("_path"))))
+    hits = cut.withColumn("head", F.left("_path", "n")).join(heads, "head").filter(F.regexp_like("_path", "regex"))
+    best = hits.groupBy("_path").agg(F.max(F.struct("length", "allow")).alias("_best"))
+    joined = urls.join(best, F.col(path) == F.col("_path"), "left")
+    return joined.select(*urls.columns, F.coalesce("_best.allow", F.lit(True)).alias("allowed"))

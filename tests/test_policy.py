@@ -1,6 +1,6 @@
 import pytest
 
-from shelfmark.operators.policy import parse_rules, rule_table, with_policy
+from shelfmark.operators.policy import parse_rules, rule_table, with_policy, with_policy_joined
 
 TEXT = """# a comment
 User-agent: spider
@@ -94,3 +94,26 @@ def test_rules_are_one_expression_and_bounded(urls):
     assert allowed(with_policy(urls, "path", [*many, ("*", "allow", "/x")], "agent")) == set(PATHS)
     with pytest.raises(ValueError):
         with_policy(urls, "path", [("*", "disallow", "/" + "x" * 600_000)], "agent")
+
+
+def test_joined_rules_say_the_same(spark, urls):
+    rules = parse_rules(TEXT)
+    for mode, agent in (("any_agent", "*"), ("agent", "*"), ("agent", "Spider"), ("agent", "two")):
+        assert allowed(with_policy_joined(urls, "path", rules, mode, agent)) == allowed(with_policy(urls, "path", rules, mode, agent))
+    assert allowed(with_policy_joined(urls, "path", [], "agent")) == set(PATHS)
+    table = spark.createDataFrame([(1, "/search", "x"), (2, None, "y")], "no int, path string, tail string")
+    got = with_policy_joined(table, "path", rules, "agent")
+    assert got.columns == ["no", "path", "tail", "allowed"]
+    assert {r.no: r.allowed for r in got.collect()} == {1: False, 2: True}
+
+
+def test_joined_rules_go_beyond_the_bound_of_an_expression(urls):
+    many = [("*", "disallow", "/" + "x" * 600_000), ("*", "disallow", "/work"), ("*", "allow", "/work/*tions$")]
+    assert allowed(with_policy_joined(urls, "path", many, "agent")) == set(PATHS) - {"/work/quotes"}
+
+
+def test_query_of_joined_rules_uses_the_whole_group():
+    """Wildcards, lengths and permissions of the common group, not two literal prohibitions of a named one."""
+    from shelfmark.plans.oracle import ORACLE
+
+    assert ORACLE["url_policy_joined"] == ORACLE["url_policy_agent"]
