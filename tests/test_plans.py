@@ -12,7 +12,7 @@ from shelfmark.operators import linking, pagecheck, paging, quality, report
 from shelfmark.operators import reviews as rv
 from shelfmark.operators.markupreviews import markup_reviews
 from shelfmark.operators.pagestate import review_rows, with_reviews
-from shelfmark.plans import pipeline
+from shelfmark.plans import derived, pipeline
 
 STATE_PARSE = "StructField(props,"
 
@@ -153,3 +153,20 @@ def test_no_join_is_forced_or_crossed(spark):
         assert text.count(".collect(") == (path.name == "records.py"), path
         # The other hint is for a filter of bounded size.
         assert text.count("broadcast(") == (path.name in ("records.py", "keyfilter.py")), path
+
+
+@pytest.fixture(scope="module")
+def tables_folder(spark, tmp_path_factory):
+    """Tables of the derived rows, a few of each."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    part = spark.range(40).select(
+        F.col("id").alias("p_partkey"), F.concat(F.lit("a title "), "id").alias("p_name"), F.concat(F.lit("brand "), F.col("id") % 7).alias("p_brand")
+    )
+    part.write.parquet(f"{folder}/part.parquet")
+    return folder
+
+
+def test_search_results_are_not_sent_through_the_driver(spark, tables_folder):
+    """Ten rows for each part, and a key for each query: the planner takes both for small tables."""
+    text = plan(derived.keyed_search_pages(spark, tables_folder), "simple")
+    assert text.count("SortMergeJoin") == 2 and "Broadcast" not in text
