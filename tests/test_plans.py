@@ -163,6 +163,12 @@ def tables_folder(spark, tmp_path_factory):
         F.col("id").alias("p_partkey"), F.concat(F.lit("a title "), "id").alias("p_name"), F.concat(F.lit("brand "), F.col("id") % 7).alias("p_brand")
     )
     part.write.parquet(f"{folder}/part.parquet")
+    event = spark.range(300).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") * 5000).alias("ts"), (F.col("id") % 9).alias("user_id"),
+        (F.col("id") % 25).cast("double").alias("value"), F.lit('{"k": 3}').alias("props"),
+    )
+    event.write.parquet(f"{folder}/events.parquet")
+    spark.range(20).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 300).alias("text")).write.parquet(f"{folder}/documents.parquet")
     return folder
 
 
@@ -170,3 +176,28 @@ def test_search_results_are_not_sent_through_the_driver(spark, tables_folder):
     """Ten rows for each part, and a key for each query: the planner takes both for small tables."""
     text = plan(derived.keyed_search_pages(spark, tables_folder), "simple")
     assert text.count("SortMergeJoin") == 2 and "Broadcast" not in text
+
+
+def test_texts_of_derived_pages_are_dealt_once(spark, tables_folder):
+    """The copies of a page are brought together where the page was written."""
+    text = plan(rv.latest_extracted(derived.saved_pages(spark, tables_folder)), "simple")
+    dealt = [line for line in text.splitlines() if re.search(r"Exchange hashpartitioning\((page_url|book_no|page)#", line)]
+    assert len(dealt) == 1 and "REPARTITION_BY_COL" in dealt[0], text
+    assert "Window" in text
+
+
+def test_lists_per_book_are_dealt_once(spark):
+    nested = spark.createDataFrame(
+        [("1", "t", "a", "u", page, [("x", 4.0, "r", "n", 0, "", "")]) for page in (1, 101, 102, 102)],
+        f"book_id string, title string, author string, book_url string, page int, reviews array<{rv.REVIEW}>",
+    )
+    listed = rv.reviews_per_book(nested)
+    assert plan(listed, "simple").count("Exchange hashpartitioning") == 1
+    assert sorted((r.chunk, len(r.reviews)) for r in listed.collect()) == [(0, 1), (1, 2), (1, 2)]
+
+
+def test_markup_reviews_are_dealt_by_page_only(spark, stored):
+    books = spark.createDataFrame([("1", "t", "a", "https://books.example.org/b")], "book_id string, title string, author string, book_url string")
+    text = plan(rv.markup_reviews_of_books(books, stored.select("page_url", "page", "html")), "simple")
+    assert not re.search(r"hashpartitioning\(page_url#\d+, page#\d+, _digest", text)
+    assert text.count("SortAggregate") == 0
