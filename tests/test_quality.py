@@ -118,3 +118,14 @@ def test_ratings_as_written(spark):
     assert (report["null_review_rating"], report["rating_whole"]) == (1, 1)
     assert {r.rule: r.violations for r in q.run_suite(df, "sample").collect()}["rating_range"] == 2
     assert [r.value for r in q.first_broken(df, "sample", ["book_id"]).filter("rule = 'rating_range'").collect()].count("five") == 1
+
+
+def test_several_suites_in_one_pass(spark):
+    df = spark.createDataFrame([row(), row(book_id="2", review_text=None), row(review_text="Mock review")], SCHEMA)
+    both = q.run_suites(df, ["sample", "release"])
+    apart = [q.run_suite(df, name).withColumn("suite", F.lit(name)) for name in ("sample", "release")]
+    assert both.columns == apart[0].columns
+    assert sorted(both.collect()) == sorted(apart[0].union(apart[1]).collect())
+    assert q.run_suites(df.limit(0), ["sample"]).count() == q.run_suite(df, "sample").count()
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
