@@ -1,6 +1,8 @@
 import pytest
 from conftest import page, page_table
+from pyspark.sql import functions as F
 
+from shelfmark.operators import pagestate
 from shelfmark.operators.pagecheck import quarantine
 from shelfmark.operators.pagestate import review_rows, with_reviews
 
@@ -258,3 +260,31 @@ OTHER = GOOD.replace("real", "hidden")
 )
 def test_states_in_comments_are_passed_over(spark, html, found):
     assert one_review(spark, html) == (found, "entities" if found else "no_state")
+
+
+TAG, CLOSE = '<script id="__NEXT_DATA__">', "</script>"
+PLACES = {
+    "usual": ("<title>x</title>" + TAG + "{1}" + CLOSE + "<p>", "{1}"),
+    "none": ("<p>__NEXT_DATA__</p>", None),
+    "in other case first": ("<script id='__next_data__'>{1}</script>" + TAG + "{2}" + CLOSE, "{1}"),
+    "mark in text first": ("<p>__NEXT_DATA__ > </p>" + TAG + "{1}" + CLOSE, "{1}"),
+    "mark twice in a tag": ('<script id="__NEXT_DATA__" class="__NEXT_DATA__">{1}' + CLOSE, "{1}"),
+    "tag not ended": ("<p>" + TAG[:-1], None),
+    "hidden": ("<!-- " + TAG + "{1}" + CLOSE + " -->" + TAG + "{2}" + CLOSE, "{2}"),
+    "comment closed before": ("<!-- x -->" + TAG + "{1}" + CLOSE, "{1}"),
+    "other scripts behind": (TAG + "{1}" + CLOSE + "<script>2</script><script>3</script>", "{1}"),
+    "other case of end": (TAG + "{1}</SCRIPT>" + "<script>2</script>", "{1}"),
+    "no end": (TAG + "{é1}", "{é1}"),
+    "nothing": (TAG + CLOSE, None),
+    "null": (None, None),
+}
+
+
+def test_place_of_state(spark):
+    """Both ways to find the state agree, and the one that searches the whole page is for odd pages only."""
+    df = spark.createDataFrame([(k, html) for k, (html, _) in PLACES.items()], "k string, html string")
+    found = df.select("k", pagestate.state_text(F.col("html")).alias("state"), pagestate.usual_head(F.col("html")).alias("usual"))
+    rows = found.collect()
+    assert {r.k: r.state for r in rows} == {k: state for k, (_, state) in PLACES.items()}
+    odd = {"none", "in other case first", "mark in text first", "tag not ended", "hidden", "null"}
+    assert {r.k for r in rows if not r.usual} == odd
