@@ -116,3 +116,13 @@ def test_search_results_in_a_table_come_first(spark):
       <div class="bookTitle"><a href="/book/show/2">Two</a><div class="authorName">B</div></div>"""
     assert [c[1] for c in candidates(spark, html)] == ["One"]
     assert candidates(spark, "<p>nothing found</p>") == []
+
+
+def test_text_outside_elements_is_left_empty():
+    page = (
+        '<p>before</p><div class="a"><i class="b">1</i><div class="a b"><br class="b">2</div><b>3</b></div>\n'
+        '<i class="b">4</i>after<div class="a"><i class="b">5<div class="a">'
+    )
+    scanned = _Scan(["div.a", ".b", ".a .b"]).result(page)
+    assert scanned["pieces"] == ["", "1", "2", "3", "", "4", "", "5"]
+    assert _Scan(["div.c"]).result(page) == {"pieces": [""] * 8, "elements": []}
