@@ -79,6 +79,17 @@ def test_review_csv_round_trip(spark, tmp_path):
         assert back.asDict() == expected
 
 
+def test_packed_review_csv_is_small_and_in_several_files(spark, tmp_path):
+    one = sample_reviews(spark).withColumn("shelves", F.array(F.lit("a,b"), F.lit("c")))
+    text = F.concat("review_text", F.repeat(F.concat(F.lit('\n"said" no. '), F.col("id").cast("string")), 30))
+    df = one.crossJoin(spark.range(0, 45_000, 1, 1)).withColumn("review_text", text).withColumn("reviewer_id", F.col("id").cast("string")).drop("id")
+    sinks.write_reviews(df, str(tmp_path / "p"), [str(tmp_path / "c")], packed=True)
+    files = list((tmp_path / "c").glob("part-*"))
+    assert len(files) >= 3 and all(f.name.endswith(".csv.gz") for f in files) and sum(f.stat().st_size for f in files) < 5_000_000
+    back = tables.read_reviews(spark, str(tmp_path / "c")).select("reviewer_id", "review_text")
+    assert back.exceptAll(df.select("reviewer_id", "review_text")).isEmpty() and back.count() == 45_000
+
+
 def test_missing_and_empty_output(spark, tmp_path):
     assert tables.read_reviews(spark, str(tmp_path / "none")) is None
     sinks.write_empty_reviews(spark, str(tmp_path / "empty"))
