@@ -9,7 +9,7 @@ from shelfmark.plans import pipeline
 from shelfmark.schema import RAW_RATING
 from shelfmark.schema import page_table as page_schema
 from shelfmark.schema import required_columns, review_table
-from shelfmark.sources import sinks, tables
+from shelfmark.sources import pagefiles, sinks, tables
 
 
 def write(folder, name, text, encoding="utf-8"):
@@ -64,6 +64,42 @@ def test_saved_page_files(spark, tmp_path):
     assert keyed.join(tables.read_saved_pages(spark, str(tmp_path)), "page_key").count() == 2
 
 
+def test_pages_are_written_as_files_in_few_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pagefiles, "PER_FOLDER", 5)
+    keys = [f"x.org_{i}_page={i}" for i in range(12)] + ["_hidden%2B+é &#_page=7", ".dot", "007", "twice", "twice", None, ""]
+    rows = [(k, f"text {i} é\n" if i % 2 else None) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "page_key string, html string").coalesce(1)
+    pagefiles.write_pages(df, str(tmp_path / "pages"))
+    folders = sorted(p.name for p in (tmp_path / "pages").iterdir())
+    assert folders == [f"shard=s00000-{i:04d}" for i in range(4)]
+    files = [p.name for p in (tmp_path / "pages").rglob("*.html")]
+    assert len(files) == 17
+    got = {r.page_key: (r.page, r.html) for r in tables.read_saved_pages(spark, str(tmp_path / "pages")).collect()}
+    assert got.pop("twice") == (None, "text 15 é\n\n\n")
+    texts = {k: f"{t or ''}\n" for k, t in rows[:15]}
+    assert {k: h for k, (_, h) in got.items() if k is not None} == texts
+    assert got["_hidden%2B+é &#_page=7"][0] == 7 and got["x.org_3_page=3"][0] == 3
+    assert got[None] == (None, "text 17 é\n\n\n")
+    with pytest.raises(FileExistsError):
+        pagefiles.write_pages(df, f"file:{tmp_path}/pages")
+
+
+def test_many_small_pages_are_read_by_few_tasks(spark, tmp_path):
+    df = spark.range(600).select(F.concat(F.lit("k_page="), "id").alias("page_key"), F.col("id").cast("string").alias("html"))
+    pagefiles.write_pages(df, str(tmp_path / "pages"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    back = tables.read_saved_pages(spark, str(tmp_path / "pages"))
+    n = back.rdd.getNumPartitions()
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert n < 100
+    assert sorted((r.page, r.html) for r in back.collect()) == [(i, f"{i}\n") for i in range(600)]
+
+
+def test_no_pages_are_written(spark, tmp_path):
+    pagefiles.write_pages(spark.createDataFrame([], "page_key string, html string"), str(tmp_path / "none"))
+    assert tables.read_saved_pages(spark, str(tmp_path / "none")).count() == 0
+
+
 def sample_reviews(spark):
     row = ("1", 'A "title"', None, "u", "line one\nline, two", 4, "007", "", 3, "2023-01-15T00:00:00", "/r")
     return spark.createDataFrame([row], review_table())
