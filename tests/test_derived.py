@@ -1,8 +1,12 @@
 """Pages derived from tables, and queries that take their texts along."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.functions import packing
+from shelfmark.plans import derived
 from shelfmark.plans.registry import QUERIES
 
 TEXTS = ["first\nsecond, \"said\" & <done>", "one two " * 400, "", "é\tà ", None]
@@ -31,3 +35,32 @@ def test_markup_csv_holds_the_texts(spark, folder):
     whole = QUERIES["flat_markup_reviews"](spark, folder).select("review_url", F.nullif("review_text", F.lit("")))
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
     assert {r.review_text for r in back.collect()} >= {TEXTS[0], TEXTS[1].strip(), None}
+
+
+def test_texts_travel_packed(spark, folder):
+    """The text of a document is packed before any shuffle and unpacked behind the last one."""
+    for pages in (derived.state_pages(spark, folder), derived.markup_pages(spark, folder)):
+        tree = pages._jdf.queryExecution().executedPlan().toString()
+        steps = re.findall(r"ArrowEvalPython \[(\w+)\(|(REPARTITION_BY_COL)", tree)
+        assert steps == [("texts", ""), ("", "REPARTITION_BY_COL"), ("packed", "")], tree
+
+
+def test_packed_pages_are_the_same(spark, folder):
+    for shape in (None, "edges", "state"):
+        ours, plain = (derived.state_pages(spark, folder, shape, packed=p) for p in (True, False))
+        assert ours.count() > 30 and ours.dtypes == plain.dtypes
+        assert ours.exceptAll(plain).isEmpty() and plain.exceptAll(ours).isEmpty()
+
+
+def test_packing_changes_nothing(spark):
+    texts = [None, "", "a", "prose of some length, not much repeated, " + " ".join(map(str, range(200))), "again " * 100_000, "é\u0000\n\U0001f600"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1)
+    raw = df.union(spark.sql("SELECT 6, CAST(X'FF61FE' AS STRING)"))
+    done = raw.withColumn("p", packing.pack(F.col("t"))).withColumn("back", packing.unpack("p"))
+    assert done.filter("NOT CAST(back AS BINARY) <=> CAST(t AS BINARY)").isEmpty()
+    sizes = {r.i: (r.n, r.m) for r in done.select("i", F.octet_length("p").alias("n"), F.octet_length("t").alias("m")).collect()}
+    assert sizes[3][0] < 0.6 * sizes[3][1] and all(n * packing.MOST >= m for n, m in sizes.values() if m)
+    lists = done.groupBy((F.col("i") % 2).alias("k")).agg(F.array_sort(F.collect_list(F.struct("i", "t", "p"))).alias("l"))
+    lists = lists.union(spark.range(1).select(F.lit(9), F.lit(None).cast(lists.schema["l"].dataType)))
+    lists = lists.withColumn("back", packing.unpack_list(F.col("l.p")))
+    assert lists.count() == 3 and lists.filter(~F.col("back").eqNullSafe(F.col("l.t"))).isEmpty()
