@@ -64,3 +64,12 @@ def test_packing_changes_nothing(spark):
     lists = lists.union(spark.range(1).select(F.lit(9), F.lit(None).cast(lists.schema["l"].dataType)))
     lists = lists.withColumn("back", packing.unpack_list(F.col("l.p")))
     assert lists.count() == 3 and lists.filter(~F.col("back").eqNullSafe(F.col("l.t"))).isEmpty()
+
+
+def test_markup_texts_are_joined_packed(spark, folder):
+    """Texts read from markup are packed before they meet the books, and unpacked behind that join."""
+    tree = QUERIES["flat_markup_reviews"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    steps = re.findall(r"ArrowEvalPython \[(text|packed|scan_pages)\(|(?<!\w)(Window|SortMergeJoin|BroadcastHashJoin) \[", tree)
+    steps = [python or step for python, step in steps]
+    scanned = steps.index("scan_pages")
+    assert steps[0] == "text" and steps[1].endswith("Join") and steps[scanned - 2 : scanned] == ["Window", "packed"], steps
