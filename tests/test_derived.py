@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.functions import packing
-from shelfmark.plans import derived
+from shelfmark.plans import derived, registry
 from shelfmark.plans.registry import QUERIES
+from shelfmark.sources import sinks
 
 TEXTS = ["first\nsecond, \"said\" & <done>", "one two " * 400, "", "é\tà ", None]
 
@@ -73,3 +74,15 @@ def test_markup_texts_are_joined_packed(spark, folder):
     steps = [python or step for python, step in steps]
     scanned = steps.index("scan_pages")
     assert steps[0] == "text" and steps[1].endswith("Join") and steps[scanned - 2 : scanned] == ["Window", "packed"], steps
+
+
+def test_list_order_is_written_packed(spark, folder, tmp_path, monkeypatch):
+    """Compressed files of a few rows each still follow each other in the order asked for."""
+    monkeypatch.setattr(registry, "work_folder", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setitem(sinks.PACKED_CSV, "maxRecordsPerFile", "7")
+    got = QUERIES["list_order_written"](spark, folder).orderBy("n").collect()
+    files = list((tmp_path / "list" / "reviews").glob("part-*"))
+    assert len(files) > 10 and all(f.name.endswith(".csv.gz") for f in files)
+    assert [r.n for r in got] == list(range(len(got))) and len(got) > 100
+    order = [(r.book_seq, r.page, r.pos) for r in got]
+    assert order == sorted(order)
